@@ -1,27 +1,456 @@
 """Registered queries: key -> callable(spark, sf_dir) -> DataFrame.
 
-Each callable builds its frames from the test tables through
+Each callable builds its inputs from the test tables through
 :mod:`ovenplan.sources.testdata` and composes library operators. Column
-names match :mod:`ovenplan.plans.oracle`.
+names match :mod:`ovenplan.plans.oracle`. Floating results whose last bits
+depend on the summation algorithm (standard deviations, EWMA, logs, sines,
+error metrics) are reported rounded half to even to a fixed number of
+digits, in the query and in its SQL alike.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ovenplan.operators import rollup
+from ovenplan.functions import guarded_ratio, round_half_even
+from ovenplan.models import gbt
+from ovenplan.operators import dimension, evaluation, exogenous, forecast, reports, rollup, series
+from ovenplan.schemas import SALES
+from ovenplan.session import checkpoint_root, shared_dir
+from ovenplan.sources import files, landing, payloads
 from ovenplan.sources import testdata as td
+from ovenplan.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the registered queries (test calendar: 1992 .. 2001-11-04).
+RANGE_FROM, RANGE_TO = "1996-01-01", "1998-12-31"
+CUTOFF = "2001-01-01"
+STOP_CUTOFF = "2000-07-01"
+TARGET = "2001-11-05"
+EXTEND_DAYS = 14
+MODEL_ITERATIONS = 30
 
-def q_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return rollup.daily_rollup(td.sales(spark, sf), td.nomenclature(spark, sf))
+KEYS = ["date", "product_key", "warehouse_key"]
+
+
+def r(c: Column | str, digits: int) -> Column:
+    return round_half_even(c, digits)
+
+
+class Inputs:
+    """The test tables seen as the planning model, for one (spark, sf_dir)."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+
+    @property
+    def sales(self) -> DataFrame:
+        return td.sales(self.spark, self.sf)
+
+    @property
+    def nomenclature(self) -> DataFrame:
+        return td.nomenclature(self.spark, self.sf)
+
+    @property
+    def weather(self) -> DataFrame:
+        return td.weather_daily(self.spark, self.sf)
+
+    @property
+    def holidays(self) -> DataFrame:
+        return td.holidays(self.spark, self.sf)
+
+    @property
+    def daily(self) -> DataFrame:
+        return rollup.daily_rollup(self.sales, self.nomenclature)
+
+
+# ---- sources, rollup, data quality -------------------------------------------------
+
+
+def q_scan_sales(spark, sf):
+    return files.conform(Inputs(spark, sf).sales, SALES)
+
+
+def q_sales_in_range(spark, sf):
+    return files.sales_in_range(Inputs(spark, sf).sales, RANGE_FROM, RANGE_TO)
+
+
+def q_sales_named(spark, sf):
+    i = Inputs(spark, sf)
+    named = dimension.with_product_name(i.sales, i.nomenclature)
+    return named.select("period", "product_key", "product_name", "warehouse_key", "quantity", "amount")
+
+
+def q_daily_rollup(spark, sf):
+    return Inputs(spark, sf).daily
+
+
+def q_daily_rollup_no_dim(spark, sf):
+    return rollup.daily_rollup(Inputs(spark, sf).sales, None)
+
+
+def q_rollup_audit(spark, sf):
+    return rollup.rollup_audit(Inputs(spark, sf).sales)
+
+
+def q_dq_missing_counts(spark, sf):
+    i = Inputs(spark, sf)
+    no_temp = exogenous.rows_without_temperature(i.daily, i.weather)
+    return rollup.records_without_name(i.sales, i.nomenclature).select(
+        "sales_without_name", no_temp.select("rows_without_temperature").scalar().alias("daily_without_temperature")
+    )
+
+
+# ---- enrichment ----------------------------------------------------------------------
+
+
+def q_calendar_features(spark, sf):
+    i = Inputs(spark, sf)
+    df = exogenous.with_calendar(i.daily, i.holidays, iso_week=True)
+    return df.select(*KEYS, "quantity", "day_of_week", "month", "day_of_year", "week_of_year", "is_weekend", "is_holiday")
+
+
+def q_cyclic_features(spark, sf):
+    i = Inputs(spark, sf)
+    df = exogenous.with_calendar(i.daily, None, iso_week=False, cyclic=True)
+    cyc = ["dow_sin", "dow_cos", "month_sin", "month_cos", "doy_sin", "doy_cos"]
+    return df.select(*KEYS, *[r(c, 9).alias(c) for c in cyc])
+
+
+def q_weather_join_median_fill(spark, sf):
+    i = Inputs(spark, sf)
+    return exogenous.with_weather(i.daily, i.weather).select(*KEYS, "quantity", "temperature", "precipitation")
+
+
+def q_product_category(spark, sf):
+    i = Inputs(spark, sf)
+    return dimension.with_category(i.daily, i.nomenclature).select(*KEYS, "product_name", "category")
+
+
+def q_unit_price(spark, sf):
+    d = Inputs(spark, sf).daily
+    return d.select(*KEYS, "quantity", "amount", guarded_ratio("amount", "quantity").alias("avg_price"))
+
+
+# ---- series windows ------------------------------------------------------------------
+
+
+def _series(spark, sf, **kw) -> DataFrame:
+    defaults = dict(lags=(), moving_avgs=(), std_window=None, ewma_spans=(), trend=None)
+    defaults.update(kw)
+    return series.with_series_features(Inputs(spark, sf).daily, **defaults)
+
+
+def q_series_lags(spark, sf):
+    return _series(spark, sf, lags=(1, 7, 14, 30)).select(*KEYS, "quantity", "lag_1", "lag_7", "lag_14", "lag_30")
+
+
+def q_series_moving_avg(spark, sf):
+    return _series(spark, sf, moving_avgs=(7, 14, 30)).select(*KEYS, "quantity", "ma_7", "ma_14", "ma_30")
+
+
+def q_series_volatility(spark, sf):
+    return _series(spark, sf, std_window=7).select(*KEYS, "quantity", r("std_7", 9).alias("std_7"))
+
+
+def q_series_ewma(spark, sf):
+    df = _series(spark, sf, ewma_spans=(7, 14))
+    return df.select(*KEYS, "quantity", r("ewma_7", 6).alias("ewma_7"), r("ewma_14", 6).alias("ewma_14"))
+
+
+def q_series_trend(spark, sf):
+    return _series(spark, sf, trend=(7, 30)).select(*KEYS, "quantity", "trend_7_30")
+
+
+# ---- reports -------------------------------------------------------------------------
+
+
+def q_daily_totals(spark, sf):
+    return reports.daily_totals(Inputs(spark, sf).daily)
+
+
+def q_daily_totals_ma7(spark, sf):
+    return reports.daily_totals_ma7(Inputs(spark, sf).daily, 7)
+
+
+def q_top_products_by_amount(spark, sf):
+    return reports.top_products(Inputs(spark, sf).daily, "amount", 20)
+
+
+def q_top_products_by_quantity(spark, sf):
+    return reports.top_products(Inputs(spark, sf).daily, "quantity", 15)
+
+
+def q_weekday_totals(spark, sf):
+    return reports.weekday_totals(Inputs(spark, sf).daily)
+
+
+def q_monthly_totals(spark, sf):
+    return reports.monthly_totals(Inputs(spark, sf).daily)
+
+
+def q_top_product_month_matrix(spark, sf):
+    return reports.product_month_long(Inputs(spark, sf).daily, 10)
+
+
+def q_product_summary(spark, sf):
+    return reports.product_summary(Inputs(spark, sf).daily)
+
+
+def q_kpis(spark, sf):
+    return reports.kpis(Inputs(spark, sf).daily)
+
+
+# ---- splits, metrics, validation (naive forecasts: no model needed) ----------------------
+
+
+def _split_summary(df: DataFrame) -> DataFrame:
+    return df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.sum("quantity").alias("quantity"),
+    )
+
+
+def q_split_counts(spark, sf):
+    return _split_summary(evaluation.split_label(Inputs(spark, sf).daily, CUTOFF))
+
+
+def q_ordered_split_counts(spark, sf):
+    return _split_summary(evaluation.ordered_split(Inputs(spark, sf).daily, 0.2))
+
+
+def q_log_target(spark, sf):
+    d = Inputs(spark, sf).daily
+    lt = F.log1p("quantity")
+    return d.select(*KEYS, "quantity", r(lt, 9).alias("log_target"), r(F.expm1(lt), 6).alias("back_transformed"))
+
+
+def _naive(spark, sf) -> DataFrame:
+    """Validation rows with naive forecasts (previous-rows features)."""
+    feats = series.with_series_features(
+        Inputs(spark, sf).daily, lags=(7,), moving_avgs=(7, 30), std_window=None, ewma_spans=(7,)
+    )
+    return evaluation.time_split(feats, CUTOFF)[1]
+
+
+def _metrics_row(val: DataFrame, seq: int, name: str, col: str) -> DataFrame:
+    m = evaluation.regression_metrics(val, "quantity", col)
+    return m.select(F.lit(seq).cast("long").alias("seq"), F.lit(name).alias("model"), *[r(c, 6).alias(c) for c in ("mae", "rmse", "r2", "mape")], "n")
+
+
+def q_regression_metrics(spark, sf):
+    return _metrics_row(_naive(spark, sf), 1, "naive_lag_7", "lag_7")
+
+
+def q_model_comparison(spark, sf):
+    val = _naive(spark, sf)
+    log = (
+        _metrics_row(val, 1, "naive_lag_7", "lag_7")
+        .unionByName(_metrics_row(val, 2, "naive_ma_7", "ma_7"))
+        .unionByName(_metrics_row(val, 3, "naive_ma_30", "ma_30"))
+    )
+    current = _metrics_row(val, 4, "naive_ewma_7", "ewma_7")
+    out = evaluation.compare_to_log(log, current)
+    return out.select(*[r(c, 6).alias(c) if c in ("delta", "delta_vs_first", "pct_vs_first") else c for c in out.columns])
+
+
+def _predictions(spark, sf) -> DataFrame:
+    return evaluation.predictions(_naive(spark, sf), "ma_7")
+
+
+def q_validation_overall(spark, sf):
+    v = evaluation.validation_overall(_predictions(spark, sf))
+    return v.select(*[r(c, 6).alias(c) if c in ("mae", "diff_pct") else c for c in v.columns])
+
+
+def q_validation_by_product(spark, sf):
+    return evaluation.validation_by_product(_predictions(spark, sf))
+
+
+def q_validation_by_day(spark, sf):
+    return evaluation.validation_by_day(_predictions(spark, sf))
+
+
+def q_validation_daily_accuracy(spark, sf):
+    a = evaluation.validation_daily_accuracy(evaluation.validation_by_day(_predictions(spark, sf)))
+    return a.select(r("daily_mae", 6).alias("daily_mae"), r("daily_mape", 6).alias("daily_mape"))
+
+
+# ---- forecast ------------------------------------------------------------------------
+
+
+def q_recent_sales(spark, sf):
+    return forecast.recent_sales(Inputs(spark, sf).sales, TARGET, 45)
+
+
+def q_active_series(spark, sf):
+    return forecast.active_series(forecast.recent_sales(Inputs(spark, sf).sales, TARGET, 45))
+
+
+def q_window_unit_price(spark, sf):
+    return forecast.window_unit_price(forecast.recent_sales(Inputs(spark, sf).sales, TARGET, 45))
+
+
+def _features(spark, sf, days_back: int) -> DataFrame:
+    i = Inputs(spark, sf)
+    f = forecast.forecast_features(i.sales, i.weather, i.holidays, TARGET, days_back, mode="reference")
+    return f.withColumn("std_7", r("std_7", 9))
+
+
+def q_forecast_features(spark, sf):
+    return _features(spark, sf, 45)
+
+
+def q_forecast_features_400(spark, sf):
+    return _features(spark, sf, 400)
+
+
+def q_forecast_report(spark, sf):
+    i = Inputs(spark, sf)
+    feats = forecast.forecast_features(i.sales, i.weather, i.holidays, TARGET, 45, mode="reference")
+    return forecast.forecast_report(feats, i.nomenclature, "ma_7")
+
+
+# ---- ingestion: windows, landing, payloads, stream -----------------------------------------
+
+
+def _bounds(sales: DataFrame, extend: int = 0) -> DataFrame:
+    b = sales.agg(F.min(F.to_date("period")).alias("date_from"), F.max(F.to_date("period")).alias("date_to"))
+    return b.withColumn("date_to", F.date_add("date_to", extend)) if extend else b
+
+
+def q_week_windows(spark, sf):
+    return landing.week_windows(_bounds(Inputs(spark, sf).sales))
+
+
+def q_pending_windows(spark, sf):
+    s = Inputs(spark, sf).sales
+    landed = landing.week_windows(_bounds(s))
+    planned = landing.week_windows(_bounds(s, EXTEND_DAYS))
+    return landing.pending_windows(planned, landed)
+
+
+def _land_all(spark, sales: DataFrame) -> str:
+    path = shared_dir(spark, "landing")
+    landing.land_windows(spark, sales, landing.week_windows(_bounds(sales)), path)
+    return path
+
+
+def q_merge_chunks(spark, sf):
+    path = _land_all(spark, Inputs(spark, sf).sales)
+    return landing.merge_chunks(spark, path)
+
+
+def q_parse_sales_json(spark, sf):
+    return payloads.parse_sales_payloads(payloads.sales_payloads(Inputs(spark, sf).sales))
+
+
+def q_parse_weather_json(spark, sf):
+    return payloads.parse_weather_payloads(payloads.weather_payloads(Inputs(spark, sf).weather))
+
+
+def q_ingest_available_now(spark, sf):
+    path = _land_all(spark, Inputs(spark, sf).sales)
+    out = shared_dir(spark, "ingested")
+    ingest.ingest_available_now(spark, f"{path}/data", f"{out}/data", f"{out}/checkpoint")
+    return ingest.read_ingested(spark, f"{out}/data")
+
+
+# ---- models (rows-only) ------------------------------------------------------------------
+
+
+def _training(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    i = Inputs(spark, sf)
+    frame = gbt.training_frame(i.daily, i.weather, i.holidays, i.nomenclature)
+    # Boosting re-reads the frame every iteration: cut the lineage once, into
+    # the shared checkpoint folder, so a lost executor does not replay the windows.
+    checkpoint_root(spark)
+    frame = frame.checkpoint()
+    return evaluation.three_way_split(frame, STOP_CUTOFF, CUTOFF)
+
+
+def _model_metrics(fs: gbt.FeatureSet) -> Query:
+    def run(spark, sf):
+        train, stop, test = _training(spark, sf)
+        fitted = gbt.fit(train, stop, fs, max_iter=MODEL_ITERATIONS)
+        return gbt.evaluate(fitted, test)
+
+    run.__name__ = f"q_model_{fs.name}"
+    return run
+
+
+def q_model_feature_importance(spark, sf):
+    train, stop, _ = _training(spark, sf)
+    fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
+    return fitted.feature_importance(spark)
+
+
+def q_model_forecast_report(spark, sf):
+    i = Inputs(spark, sf)
+    train, stop, _ = _training(spark, sf)
+    fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
+    feats = forecast.forecast_features(i.sales, i.weather, i.holidays, TARGET, 400, mode="consistent")
+    return forecast.forecast_report(fitted.predict(feats, "prediction"), i.nomenclature, "prediction")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "scan_sales": q_scan_sales,
+        "sales_in_range": q_sales_in_range,
+        "sales_named": q_sales_named,
         "daily_rollup": q_daily_rollup,
+        "daily_rollup_no_dim": q_daily_rollup_no_dim,
+        "rollup_audit": q_rollup_audit,
+        "dq_missing_counts": q_dq_missing_counts,
+        "calendar_features": q_calendar_features,
+        "cyclic_features": q_cyclic_features,
+        "weather_join_median_fill": q_weather_join_median_fill,
+        "product_category": q_product_category,
+        "unit_price": q_unit_price,
+        "series_lags": q_series_lags,
+        "series_moving_avg": q_series_moving_avg,
+        "series_volatility": q_series_volatility,
+        "series_ewma": q_series_ewma,
+        "series_trend": q_series_trend,
+        "daily_totals": q_daily_totals,
+        "daily_totals_ma7": q_daily_totals_ma7,
+        "top_products_by_amount": q_top_products_by_amount,
+        "top_products_by_quantity": q_top_products_by_quantity,
+        "weekday_totals": q_weekday_totals,
+        "monthly_totals": q_monthly_totals,
+        "top_product_month_matrix": q_top_product_month_matrix,
+        "product_summary": q_product_summary,
+        "kpis": q_kpis,
+        "split_counts": q_split_counts,
+        "ordered_split_counts": q_ordered_split_counts,
+        "log_target": q_log_target,
+        "regression_metrics": q_regression_metrics,
+        "model_comparison": q_model_comparison,
+        "validation_overall": q_validation_overall,
+        "validation_by_product": q_validation_by_product,
+        "validation_by_day": q_validation_by_day,
+        "validation_daily_accuracy": q_validation_daily_accuracy,
+        "recent_sales": q_recent_sales,
+        "active_series": q_active_series,
+        "window_unit_price": q_window_unit_price,
+        "forecast_features": q_forecast_features,
+        "forecast_features_400": q_forecast_features_400,
+        "forecast_report": q_forecast_report,
+        "week_windows": q_week_windows,
+        "pending_windows": q_pending_windows,
+        "merge_chunks": q_merge_chunks,
+        "parse_sales_json": q_parse_sales_json,
+        "parse_weather_json": q_parse_weather_json,
+        "ingest_available_now": q_ingest_available_now,
+        "model_baseline_metrics": _model_metrics(gbt.BASELINE),
+        "model_v2_metrics": _model_metrics(gbt.V2),
+        "model_v3_metrics": _model_metrics(gbt.V3),
+        "model_feature_importance": q_model_feature_importance,
+        "model_forecast_report": q_model_forecast_report,
     }
