@@ -166,7 +166,8 @@ class FittedModel:
         names = self.feature_set.features
         imp = gbt.featureImportances.toArray().tolist()
         rows = [(n, float(v) * 100.0) for n, v in zip(names, imp)]
-        return spark.createDataFrame(rows, "feature string, importance double")
+        df = spark.createDataFrame(rows, "feature string, importance double")
+        return df.orderBy(F.col("importance").desc(), "feature")
 
 
 def fit(

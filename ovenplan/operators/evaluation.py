@@ -64,16 +64,19 @@ def ordered_split(df: DataFrame, test_size: float = 0.2, keys: tuple[str, ...] =
 
 
 def regression_metrics(pred: DataFrame, label: str = "quantity", prediction: str = "predicted") -> DataFrame:
-    """One row: n, mae, rmse, r2 (= 1 - SSres/SStot, two-pass), mape (% over label > 0)."""
+    """One row: n, mae, rmse, r2 (= 1 - SSres/SStot), mape (% over label > 0).
+
+    SStot is ``var_pop(y) * n``: Spark's variance merges partial moments
+    (no ``sum(y^2) - n*mean^2`` cancellation), in the same single pass.
+    """
     y, p = F.col(label), F.col(prediction)
-    mean_y = pred.agg(F.avg(label)).scalar()
     err = y - p
     agg = pred.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.sum(err * err).alias("_ss_res"),
-        F.sum((y - mean_y) * (y - mean_y)).alias("_ss_tot"),
+        (F.var_pop(y) * F.count(y)).alias("_ss_tot"),
         (F.avg(F.when(y > 0, F.abs(err) / y)) * F.lit(100.0)).alias("mape"),
     )
     return agg.select(

@@ -1,0 +1,112 @@
+"""Property tests: EWMA against pandas, rollup invariance, and the no-leak property."""
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ovenplan.operators import rollup, series
+
+DAILY_DDL = "date date, product_key string, warehouse_key string, quantity double, amount double"
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def frame(spark, values, key="A"):
+    d0 = dt.date(2020, 1, 1)
+    rows = [(d0 + dt.timedelta(days=i), key, "W", float(v), float(v) * 2.0) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, DAILY_DDL)
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=1, max_value=500), min_size=1, max_size=60), st.sampled_from([7, 14]))
+def test_ewma_equals_pandas(spark, values, span):
+    out = series.with_series_features(
+        frame(spark, values), lags=(), moving_avgs=(), std_window=None, ewma_spans=(span,)
+    ).orderBy("date")
+    got = [r[f"ewma_{span}"] for r in out.select(f"ewma_{span}").collect()]
+    want = pd.Series(values, dtype=float).shift(1).ewm(span=span, adjust=True, min_periods=1).mean().fillna(0.0)
+    assert got == pytest.approx(want.tolist(), rel=1e-12, abs=1e-12)
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=1, max_value=50), min_size=2, max_size=40))
+def test_moving_features_equal_pandas(spark, values):
+    out = series.with_series_features(frame(spark, values), lags=(7,), moving_avgs=(7, 30), std_window=7).orderBy("date")
+    rows = out.collect()
+    s = pd.Series(values, dtype=float)
+    ma7 = s.shift(1).rolling(7, min_periods=1).mean().fillna(0)
+    std7 = s.shift(1).rolling(7, min_periods=2).std().fillna(0)
+    lag7 = s.shift(7).fillna(0)
+    assert [r.ma_7 for r in rows] == pytest.approx(ma7.tolist(), abs=1e-9)
+    assert [r.std_7 for r in rows] == pytest.approx(std7.tolist(), abs=1e-9)
+    assert [r.lag_7 for r in rows] == pytest.approx(lag7.tolist(), abs=1e-12)
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(st.integers(1, 5), st.sampled_from(["A", "B"]), st.integers(-5, 9), st.integers(0, 23)),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_rollup_invariant_under_permutation_and_split(spark, recs):
+    rows = [
+        (dt.datetime(2024, 1, d, h), k, "W", float(q), float(q) * 1.25, "sale") for d, k, q, h in recs
+    ]
+    ddl = "period timestamp_ntz, product_key string, warehouse_key string, quantity double, amount double, recorder_type string"
+    a = spark.createDataFrame(rows, ddl)
+    b = spark.createDataFrame(list(reversed(rows)), ddl).repartition(3)
+    half = len(rows) // 2
+    c = spark.createDataFrame(rows[:half] or rows[:0], ddl).unionByName(spark.createDataFrame(rows[half:], ddl))
+
+    def result(df):
+        return sorted(tuple(r) for r in rollup.daily_rollup(df, None).collect())
+
+    assert result(a) == result(b) == result(c)
+
+
+def test_no_feature_reads_the_future(spark):
+    """Changing rows at >= t never changes a feature at t."""
+    base = [5, 3, 8, 1, 9, 2, 7, 4, 6, 10, 3, 5]
+    t = 8
+    changed = base[:t] + [100 + v for v in base[t:]]
+    kw = dict(lags=(1, 7), moving_avgs=(7, 14), std_window=7, ewma_spans=(7,), trend=(7, 14), trailing_price=True)
+    cols = ["lag_1", "lag_7", "ma_7", "ma_14", "std_7", "ewma_7", "trend_7_14", "trailing_price"]
+
+    def feats(vals):
+        out = series.with_series_features(frame(spark, vals), **kw).orderBy("date").select(*cols).collect()
+        return [tuple(r) for r in out]
+
+    a, b = feats(base), feats(changed)
+    assert a[: t + 1] == b[: t + 1]
+    assert a[t + 1 :] != b[t + 1 :]
+
+
+def test_series_keys_are_independent(spark):
+    a = frame(spark, [1, 2, 3, 4], "A")
+    b = frame(spark, [10, 20, 30, 40], "B")
+    out = series.with_series_features(a.unionByName(b), lags=(1,), moving_avgs=(), std_window=None)
+    got = {(r.product_key, r.date.day): r.lag_1 for r in out.collect()}
+    assert got[("A", 2)] == 1.0 and got[("B", 2)] == 10.0 and got[("A", 1)] == 0.0
+
+
+def test_rollup_keeps_all_rows_under_skew(spark):
+    """One key holding most records: nothing dropped, sums exact."""
+    n = 20000
+    df = spark.range(n).select(
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("period"),
+        F.when(F.col("id") % 10 < 8, F.lit("HOT")).otherwise(F.concat(F.lit("K"), (F.col("id") % 97).cast("string"))).alias("product_key"),
+        F.lit("W").alias("warehouse_key"),
+        F.lit(1.0).alias("quantity"),
+        F.lit(0.01).alias("amount"),
+        F.lit("sale").alias("recorder_type"),
+    )
+    out = rollup.daily_rollup(df, None)
+    tot = out.agg(F.sum("quantity"), F.sum("amount")).collect()[0]
+    assert tot[0] == n
+    hot = out.where("product_key = 'HOT'").collect()[0]
+    assert hot.quantity == 16000 and hot.amount == 160.0
