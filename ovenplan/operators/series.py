@@ -5,8 +5,10 @@ sales, so frames count *selling days*, not calendar days. After the rollup a
 series holds at most one row per day: a window partition is bounded by the
 length of the calendar however skewed the raw records are.
 
-All features share one ``partitionBy(keys).orderBy(date)`` spec, so Catalyst
-evaluates them in a single ``Window`` operator over a single sort.
+Lags, means, volatility, trend and price share one
+``partitionBy(keys).orderBy(date)`` spec, so Catalyst evaluates them in a
+single ``Window`` operator over a single sort; the EWMA adds two window
+passes on the same partitioning (no further shuffle).
 Every frame ends at the previous row: no feature of row *t* reads row *t*.
 """
 
@@ -31,28 +33,60 @@ def ewma_depth(span: int) -> int:
     return math.ceil(53.0 * math.log(2.0) / -math.log(r))
 
 
-def ewma(value: str, span: int, w) -> Column:
-    """pandas ``shift(1).ewm(span, adjust=True, min_periods=1).mean()``.
+def ewma_block(spans: Sequence[int]) -> int:
+    """Block length for :func:`with_ewma`: at least every span's depth."""
+    return max(ewma_depth(s) for s in spans)
 
-    Weighted mean of previous rows with weights ``r**age`` (``r = 1-2/(span+1)``),
-    folded oldest to newest as ``num = num*r + x``, ``den = den*r + 1``.
-    The frame stops at :func:`ewma_depth` rows, beyond which a weight no
-    longer changes a double. The running closed form would overflow
-    (``r**-i`` is infinite after ~2,500 rows); this fold cannot.
+
+def with_ewma(
+    df: DataFrame,
+    value: str,
+    spans: Sequence[int],
+    keys: Sequence[str] = SERIES_KEYS,
+    order: str = "date",
+    index: str | None = None,
+) -> DataFrame:
+    """pandas ``shift(1).ewm(span, adjust=True, min_periods=1).mean()`` per series.
+
+    The mean of previous rows with weights ``r**age`` (``r = 1 - 2/(span+1)``).
+    Rows are cut into blocks of B rows (B >= the depth after which a weight
+    is below 2**-53 of the newest). Inside a block, values are scaled by
+    ``r**-offset`` (bounded by ``r**-B``: no overflow, unlike the running
+    closed form whose ``r**-i`` is infinite after ~2,500 rows). Then for row
+    *i* at offset *o* in block *k*:
+
+        num = r**(o-1) * (prefix sum of scaled values in block k before i)
+            + r**(o+B-1) * (sum of scaled values of block k-1)
+        den = (1 - r**n) / (1 - r),  n = rows counted
+
+    Three window passes (row index; prefix in block; previous block by a
+    range frame), all partitioned by the series, so one shuffle; no arrays.
+    Blocks before k-1 weigh less than 2**-53 and are left out.
     """
-    r = 1.0 - 2.0 / (span + 1.0)
-    hist = F.collect_list(F.col(value)).over(w.rowsBetween(-ewma_depth(span), -1))
-    zero = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"))
-    folded = F.aggregate(
-        hist,
-        zero,
-        lambda acc, x: F.struct(
-            (acc["num"] * F.lit(r) + x).alias("num"),
-            (acc["den"] * F.lit(r) + F.lit(1.0)).alias("den"),
-        ),
-        lambda acc: F.when(acc["den"] > 0, acc["num"] / acc["den"]),
+    block = ewma_block(spans)
+    w = series_window(keys, order)
+    out = df
+    if index is None:
+        index = "_ewma_i"
+        out = out.withColumn(index, F.row_number().over(w) - 1)
+    i = F.col(index)
+    out = out.withColumn("_ewma_blk", F.floor(i / F.lit(block))).withColumn(
+        "_ewma_off", i - F.col("_ewma_blk") * F.lit(block)
     )
-    return folded
+    in_block = Window.partitionBy(*keys, "_ewma_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    prev_block = Window.partitionBy(*keys).orderBy("_ewma_blk").rangeBetween(-1, -1)
+    off = F.col("_ewma_off")
+    rows_counted = F.least(i, off + F.lit(block))
+    for s in spans:
+        r = 1.0 - 2.0 / (s + 1.0)
+        scaled = F.col(value) * F.pow(F.lit(r), -off)
+        within = F.coalesce(F.sum(scaled).over(in_block), F.lit(0.0))
+        before = F.coalesce(F.sum(scaled).over(prev_block), F.lit(0.0))
+        num = F.pow(F.lit(r), off - 1) * within + F.pow(F.lit(r), off + F.lit(block - 1)) * before
+        den = (F.lit(1.0) - F.pow(F.lit(r), rows_counted)) / F.lit(1.0 - r)
+        out = out.withColumn(f"ewma_{s}", F.when(i > 0, num / den))
+    drop = ["_ewma_blk", "_ewma_off"] + (["_ewma_i"] if index == "_ewma_i" else [])
+    return out.drop(*drop)
 
 
 def with_series_features(
@@ -72,7 +106,7 @@ def with_series_features(
     * ``lag_k``: value k rows back.
     * ``ma_n``: mean of the previous n rows (at least one).
     * ``std_n``: sample standard deviation of the previous n rows (at least two).
-    * ``ewma_s``: exponentially weighted mean of previous rows, :func:`ewma`.
+    * ``ewma_s``: exponentially weighted mean of previous rows, :func:`with_ewma`.
     * ``trend_a_b``: ``ma_a / ma_b`` if ``ma_b > 0`` else 1.0, taken before the fill.
     * ``trailing_price``: ``sum(amount) / sum(quantity)`` over all previous rows
       (a price feature that does not read the target row).
@@ -87,8 +121,6 @@ def with_series_features(
         feats[f"ma_{n}"] = F.avg(v).over(w.rowsBetween(-n, -1))
     if std_window:
         feats[f"std_{std_window}"] = F.stddev_samp(v).over(w.rowsBetween(-std_window, -1))
-    for s in ewma_spans:
-        feats[f"ewma_{s}"] = ewma(value, s, w)
     if trailing_price:
         past = w.rowsBetween(Window.unboundedPreceding, -1)
         q = F.sum(v).over(past)
@@ -99,13 +131,11 @@ def with_series_features(
         ma_b = feats.get(f"ma_{b}", F.avg(v).over(w.rowsBetween(-b, -1)))
         feats[f"trend_{a}_{b}"] = F.when(ma_b > 0, ma_a / ma_b).otherwise(F.lit(1.0))
     out = daily.select("*", *[c.alias(n) for n, c in feats.items()])
+    names = list(feats)
+    if ewma_spans:
+        out = with_ewma(out.withColumn("_row", F.row_number().over(w) - 1), value, ewma_spans, keys, index="_row")
+        out = out.drop("_row")
+        names += [f"ewma_{s}" for s in ewma_spans]
     if fill_zero:
-        out = out.fillna(0.0, subset=list(feats))
+        out = out.fillna(0.0, subset=names)
     return out
-
-
-def rolling_mean_including_current(value: str, n: int, order: str = "date", partition: Sequence[str] = ()) -> Column:
-    """pandas ``rolling(n).mean()``: mean of this row and the n-1 before; NULL until n rows."""
-    w = Window.partitionBy(*partition).orderBy(order) if partition else Window.orderBy(order)
-    frame = w.rowsBetween(-(n - 1), 0)
-    return F.when(F.count(F.col(value)).over(frame) == n, F.avg(F.col(value)).over(frame))

