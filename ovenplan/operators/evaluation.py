@@ -63,25 +63,61 @@ def ordered_split(df: DataFrame, test_size: float = 0.2, keys: tuple[str, ...] =
     )
 
 
+def _metric_columns(y: Column, p: Column) -> list[Column]:
+    err = y - p
+    return [
+        F.count(F.lit(1)),
+        F.avg(F.abs(err)),
+        F.sqrt(F.avg(err * err)),
+        F.sum(err * err),
+        F.var_pop(y) * F.count(y),
+        F.avg(F.when(y > 0, F.abs(err) / y)) * F.lit(100.0),
+    ]
+
+
+def _finish_metrics(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[c for c in df.columns if c not in ("n", "mae", "rmse", "_ss_res", "_ss_tot", "mape")],
+        "n",
+        "mae",
+        "rmse",
+        (F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_ss_tot"))).alias("r2"),
+        "mape",
+    )
+
+
+_METRIC_NAMES = ["n", "mae", "rmse", "_ss_res", "_ss_tot", "mape"]
+
+
 def regression_metrics(pred: DataFrame, label: str = "quantity", prediction: str = "predicted") -> DataFrame:
     """One row: n, mae, rmse, r2 (= 1 - SSres/SStot), mape (% over label > 0).
 
     SStot is ``var_pop(y) * n``: Spark's variance merges partial moments
     (no ``sum(y^2) - n*mean^2`` cancellation), in the same single pass.
     """
-    y, p = F.col(label), F.col(prediction)
-    err = y - p
-    agg = pred.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.abs(err)).alias("mae"),
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.sum(err * err).alias("_ss_res"),
-        (F.var_pop(y) * F.count(y)).alias("_ss_tot"),
-        (F.avg(F.when(y > 0, F.abs(err) / y)) * F.lit(100.0)).alias("mape"),
-    )
-    return agg.select(
-        "n", "mae", "rmse", (F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_ss_tot"))).alias("r2"), "mape"
-    )
+    cols = _metric_columns(F.col(label), F.col(prediction))
+    return _finish_metrics(pred.agg(*[c.alias(n) for c, n in zip(cols, _METRIC_NAMES)]))
+
+
+def regression_metrics_many(pred: DataFrame, predictions: dict[str, str], label: str = "quantity") -> DataFrame:
+    """Metrics of several prediction columns in ONE pass; one row per model.
+
+    ``predictions`` maps a model name to its column. All aggregates are
+    computed by a single (partial + final) aggregation, then the one wide
+    row is unpivoted to ``model, n, mae, rmse, r2, mape``.
+    """
+    y = F.col(label)
+    aggs = []
+    for i, col in enumerate(predictions.values()):
+        for c, n in zip(_metric_columns(y, F.col(col)), _METRIC_NAMES):
+            aggs.append(c.alias(f"m{i}_{n}"))
+    wide = pred.agg(*aggs)
+    structs = [
+        F.struct(F.lit(name).alias("model"), *[F.col(f"m{i}_{n}").alias(n) for n in _METRIC_NAMES])
+        for i, name in enumerate(predictions)
+    ]
+    long = wide.select(F.inline(F.array(*structs)))
+    return _finish_metrics(long)
 
 
 def predictions(scored: DataFrame, prediction: Column | str, label: str = "quantity") -> DataFrame:
@@ -166,18 +202,27 @@ def validation_daily_accuracy(by_day: DataFrame) -> DataFrame:
 
 
 def compare_to_log(metrics_log: DataFrame, current: DataFrame) -> DataFrame:
-    """Compare one metrics row with every logged model and with the first logged one.
+    """Compare the current model's metrics with every logged model and with the first one.
 
     ``metrics_log``: seq, model, mae, ...; ``current``: one row with ``model, mae``.
-    The first model's MAE and the current MAE are scalar subqueries.
+    Both are small (one row per model run). They are unioned and the first
+    and current MAE are read with a window over that small frame, so the
+    inputs are evaluated once (no scalar subqueries that would re-run them).
     """
-    first_mae = metrics_log.agg(F.min_by("mae", "seq")).scalar()
-    cur_mae = current.select("mae").scalar()
-    cur_model = current.select("model").scalar()
-    return metrics_log.select(
+    log = metrics_log.select("seq", "model", "mae", F.lit(False).alias("_cur"))
+    cur = current.select(F.lit(None).cast("long").alias("seq"), "model", "mae", F.lit(True).alias("_cur"))
+    everything = Window.partitionBy()
+    rows = log.unionByName(cur).select(
+        "*",
+        F.min_by(F.when(~F.col("_cur"), F.col("mae")), F.when(~F.col("_cur"), F.col("seq"))).over(everything).alias("_first"),
+        F.max(F.when(F.col("_cur"), F.col("mae"))).over(everything).alias("_cur_mae"),
+        F.max(F.when(F.col("_cur"), F.col("model"))).over(everything).alias("_cur_model"),
+    )
+    cur_mae, first_mae = F.col("_cur_mae"), F.col("_first")
+    return rows.where(~F.col("_cur")).select(
         F.col("model").alias("baseline_model"),
         F.col("mae").alias("baseline_mae"),
-        cur_model.alias("model"),
+        F.col("_cur_model").alias("model"),
         cur_mae.alias("mae"),
         (cur_mae - F.col("mae")).alias("delta"),
         (cur_mae - first_mae).alias("delta_vs_first"),

@@ -75,24 +75,38 @@ def top_product_names(daily: DataFrame, n: int = 10, by: str = "amount") -> list
 
 
 def product_month_matrix(daily: DataFrame, n: int = 10) -> DataFrame:
-    """Month x top-n products quantity matrix, one column per product, missing = 0.
+    """Month x top-n products quantity matrix (wide: one column per product), missing = 0.
 
-    Rows are the months in which at least one top-n product sold.
+    The column names must be known to build the plan, so the top-n names
+    (at most n values) are fetched first; use :func:`product_month_long`
+    for a fully lazy plan.
     """
     names = top_product_names(daily, n)
-    top = daily.join(F.broadcast(daily.sparkSession.createDataFrame([(x,) for x in names], "product_name string")),
-                     "product_name", "left_semi")
-    wide = top.groupBy(month_label("date").alias("month")).pivot("product_name", names).agg(F.sum("quantity"))
+    top = F.broadcast(top_products(daily, "amount", n).select("product_name"))
+    cells = daily.join(top, "product_name", "left_semi")
+    wide = cells.groupBy(month_label("date").alias("month")).pivot("product_name", names).agg(F.sum("quantity"))
     return wide.fillna(0.0, subset=names)
 
 
 def product_month_long(daily: DataFrame, n: int = 10) -> DataFrame:
-    """The matrix of :func:`product_month_matrix` in long form: month, product_name, quantity."""
-    wide = product_month_matrix(daily, n)
-    names = [c for c in wide.columns if c != "month"]
-    if not names:
-        return wide.select("month", F.lit(None).cast("string").alias("product_name"), F.lit(0.0).alias("quantity")).limit(0)
-    return wide.unpivot(["month"], names, "product_name", "quantity")
+    """The month x top-n matrix in long form: month, product_name, quantity (0 if none).
+
+    Rows are the months in which at least one top-n product sold, times the
+    n products. The product list is a scalar subquery (an array of at most
+    n names) exploded per month: no cross join, no driver round trip. The
+    top-n frame is bounded by n, so it is broadcast to the semi join.
+    """
+    top = top_products(daily, "amount", n).select("product_name")
+    names = top.agg(F.sort_array(F.collect_list("product_name"))).scalar()
+    cells = (
+        daily.join(F.broadcast(top), "product_name", "left_semi")
+        .groupBy(month_label("date").alias("month"), "product_name")
+        .agg(F.sum("quantity").alias("quantity"))
+    )
+    grid = cells.select("month").distinct().select("month", F.explode(names).alias("product_name"))
+    return grid.join(cells, ["month", "product_name"], "left").select(
+        "month", "product_name", F.coalesce(F.col("quantity"), F.lit(0.0)).alias("quantity")
+    )
 
 
 def product_summary(daily: DataFrame) -> DataFrame:

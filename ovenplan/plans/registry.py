@@ -239,23 +239,24 @@ def _naive(spark, sf) -> DataFrame:
     return evaluation.time_split(feats, CUTOFF)[1]
 
 
-def _metrics_row(val: DataFrame, seq: int, name: str, col: str) -> DataFrame:
-    m = evaluation.regression_metrics(val, "quantity", col)
-    return m.select(F.lit(seq).cast("long").alias("seq"), F.lit(name).alias("model"), *[r(c, 6).alias(c) for c in ("mae", "rmse", "r2", "mape")], "n")
+NAIVE_MODELS = {"naive_lag_7": "lag_7", "naive_ma_7": "ma_7", "naive_ma_30": "ma_30", "naive_ewma_7": "ewma_7"}
+
+
+def _naive_metrics(val: DataFrame, models: dict[str, str]) -> DataFrame:
+    m = evaluation.regression_metrics_many(val, models)
+    seq = F.array_position(F.array(*[F.lit(k) for k in models]), F.col("model"))
+    return m.select(seq.cast("long").alias("seq"), "model", *[r(c, 6).alias(c) for c in ("mae", "rmse", "r2", "mape")], "n")
 
 
 def q_regression_metrics(spark, sf):
-    return _metrics_row(_naive(spark, sf), 1, "naive_lag_7", "lag_7")
+    return _naive_metrics(_naive(spark, sf), {"naive_lag_7": "lag_7"})
 
 
 def q_model_comparison(spark, sf):
-    val = _naive(spark, sf)
-    log = (
-        _metrics_row(val, 1, "naive_lag_7", "lag_7")
-        .unionByName(_metrics_row(val, 2, "naive_ma_7", "ma_7"))
-        .unionByName(_metrics_row(val, 3, "naive_ma_30", "ma_30"))
-    )
-    current = _metrics_row(val, 4, "naive_ewma_7", "ewma_7")
+    """The first three naive models are the log; the EWMA one is compared with them."""
+    metrics = _naive_metrics(_naive(spark, sf), NAIVE_MODELS)
+    log = metrics.where(F.col("seq") < 4)
+    current = metrics.where(F.col("seq") == 4)
     out = evaluation.compare_to_log(log, current)
     return out.select(*[r(c, 6).alias(c) if c in ("delta", "delta_vs_first", "pct_vs_first") else c for c in out.columns])
 
