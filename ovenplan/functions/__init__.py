@@ -16,6 +16,7 @@ from ovenplan.functions.numeric import (
     pct_diff,
     round_half_even,
     round_to_long,
+    units,
     zero_sum,
 )
 
@@ -34,6 +35,7 @@ __all__ = [
     "pct_diff",
     "round_half_even",
     "round_to_long",
+    "units",
     "weekday_name",
     "zero_sum",
 ]

@@ -16,6 +16,16 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def units(c: ColumnOrName, scale: int) -> Column:
+    """The value as a whole number of ``10**-scale`` units (``long``).
+
+    ``rint`` is plain double arithmetic (``round`` on a double goes through a
+    BigDecimal per row); for values carrying at most ``scale`` decimals,
+    ``x * 10**scale`` is within 1e-9 of an integer, so both give the same.
+    """
+    return F.rint(_col(c) * F.lit(float(10**scale))).cast("long")
+
+
 def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
     """Order-independent sum of a money column, returned as double.
 
@@ -25,15 +35,13 @@ def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
     itself does for short decimals (sum of unscaled values).
     """
     factor = 10**scale
-    units = F.round(_col(c) * F.lit(float(factor))).cast("long")
-    return F.coalesce(F.sum(units), F.lit(0)) / F.lit(float(factor))
+    return F.coalesce(F.sum(units(c, scale)), F.lit(0)) / F.lit(float(factor))
 
 
 def exact_avg(c: ColumnOrName, scale: int) -> Column:
     """Mean of a column whose values carry at most ``scale`` decimals."""
     factor = 10**scale
-    units = F.round(_col(c) * F.lit(float(factor))).cast("long")
-    return F.sum(units) / F.lit(float(factor)) / F.count(_col(c))
+    return F.sum(units(c, scale)) / F.lit(float(factor)) / F.count(_col(c))
 
 
 def zero_sum(c: ColumnOrName) -> Column:

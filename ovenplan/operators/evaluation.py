@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ovenplan.functions import clamp_zero, exact_avg, pct_diff, round_half_even, round_to_long
+from ovenplan.functions import clamp_zero, exact_avg, pct_diff, round_half_even, round_to_long, units
 from ovenplan.operators.ordering import running_before
 
 # Status bands of |diff %| (ok below the first, warn below the second).
@@ -140,7 +140,7 @@ def _band(diff: Column, bands: tuple[float, float]) -> Column:
 
 
 def _tenths(c: str) -> Column:
-    return F.sum(F.round(F.col(c) * F.lit(10.0)).cast("long")) / F.lit(10.0)
+    return F.sum(units(c, 1)) / F.lit(10.0)
 
 
 def validation_overall(pred: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ovenplan.functions import day_of_week, money_sum, month_label, round_half_even, zero_sum
+from ovenplan.functions import day_of_week, money_sum, month_label, round_half_even, units, zero_sum
 from ovenplan.operators.ordering import day_index, trailing_sums
 
 
@@ -29,7 +29,7 @@ def daily_totals_ma7(daily: DataFrame, n: int = 7) -> DataFrame:
     """
     totals = daily.groupBy("date").agg(
         zero_sum("quantity").alias("quantity"),
-        F.coalesce(F.sum(F.round(F.col("amount") * F.lit(100.0)).cast("long")), F.lit(0)).alias("cents"),
+        F.coalesce(F.sum(units("amount", 2)), F.lit(0)).alias("cents"),
     )
     indexed = totals.join(day_index(totals), "date")
     windows = trailing_sums(indexed, n, ["quantity", "cents"])

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ovenplan.sources.files import spread
+
 # Month-day list standing in for a national holiday calendar.
 HOLIDAY_MONTH_DAYS = [
     "01-01", "01-02", "01-07", "03-08", "03-21", "03-22", "03-23",
@@ -20,15 +22,32 @@ HOLIDAY_MONTH_DAYS = [
 
 SALE = "sale"
 
+# Schemas of the test tables read here (fixed, so no scan infers them).
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """period, product_key, warehouse_key, quantity, amount, recorder_type."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"
+    li = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+            "l_shipdate",
+        ),
+        ["l_orderkey"],
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
