@@ -19,7 +19,7 @@ from ovenplan.functions import guarded_ratio, round_half_even
 from ovenplan.models import gbt
 from ovenplan.operators import dimension, evaluation, exogenous, forecast, reports, rollup, series
 from ovenplan.schemas import SALES
-from ovenplan.session import checkpoint_root, shared_dir
+from ovenplan.session import materialize, shared_dir
 from ovenplan.sources import files, landing, payloads
 from ovenplan.sources import testdata as td
 from ovenplan.streaming import ingest
@@ -67,6 +67,11 @@ class Inputs:
     def daily(self) -> DataFrame:
         return rollup.daily_rollup(self.sales, self.nomenclature)
 
+    @property
+    def daily_table(self) -> DataFrame:
+        """The rollup written once to the shared folder, for queries that read it in several passes."""
+        return materialize(self.daily, "daily")
+
 
 # ---- sources, rollup, data quality -------------------------------------------------
 
@@ -123,7 +128,8 @@ def q_cyclic_features(spark, sf):
 
 def q_weather_join_median_fill(spark, sf):
     i = Inputs(spark, sf)
-    return exogenous.with_weather(i.daily, i.weather).select(*KEYS, "quantity", "temperature", "precipitation")
+    # Two passes over the rollup (the median, then the fill): read it from the written table.
+    return exogenous.with_weather(i.daily_table, i.weather).select(*KEYS, "quantity", "temperature", "precipitation")
 
 
 def q_product_category(spark, sf):
@@ -174,7 +180,7 @@ def q_daily_totals(spark, sf):
 
 
 def q_daily_totals_ma7(spark, sf):
-    return reports.daily_totals_ma7(Inputs(spark, sf).daily, 7)
+    return reports.daily_totals_ma7(Inputs(spark, sf).daily_table, 7)
 
 
 def q_top_products_by_amount(spark, sf):
@@ -194,7 +200,7 @@ def q_monthly_totals(spark, sf):
 
 
 def q_top_product_month_matrix(spark, sf):
-    return reports.product_month_long(Inputs(spark, sf).daily, 10)
+    return reports.product_month_long(Inputs(spark, sf).daily_table, 10)
 
 
 def q_product_summary(spark, sf):
@@ -222,7 +228,7 @@ def q_split_counts(spark, sf):
 
 
 def q_ordered_split_counts(spark, sf):
-    return _split_summary(evaluation.ordered_split(Inputs(spark, sf).daily, 0.2))
+    return _split_summary(evaluation.ordered_split(Inputs(spark, sf).daily_table, 0.2))
 
 
 def q_log_target(spark, sf):
@@ -254,7 +260,9 @@ def q_regression_metrics(spark, sf):
 
 def q_model_comparison(spark, sf):
     """The first three naive models are the log; the EWMA one is compared with them."""
-    metrics = _naive_metrics(_naive(spark, sf), NAIVE_MODELS)
+    # One pass computes all four models' metrics; the 4-row result is written
+    # once because the log and the current row are both read from it.
+    metrics = materialize(_naive_metrics(_naive(spark, sf), NAIVE_MODELS), "naive_metrics")
     log = metrics.where(F.col("seq") < 4)
     current = metrics.where(F.col("seq") == 4)
     out = evaluation.compare_to_log(log, current)
@@ -368,11 +376,10 @@ def q_ingest_available_now(spark, sf):
 
 def _training(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     i = Inputs(spark, sf)
-    frame = gbt.training_frame(i.daily, i.weather, i.holidays, i.nomenclature)
-    # Boosting re-reads the frame every iteration: cut the lineage once, into
-    # the shared checkpoint folder, so a lost executor does not replay the windows.
-    checkpoint_root(spark)
-    frame = frame.checkpoint()
+    frame = gbt.training_frame(i.daily_table, i.weather, i.holidays, i.nomenclature)
+    # Boosting re-reads the frame every iteration: write it once to the shared
+    # folder, so iterations (and a lost executor) read files, not the window plan.
+    frame = materialize(frame, "training_frame")
     return evaluation.three_way_split(frame, STOP_CUTOFF, CUTOFF)
 
 

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster job wants as well: AQE re-plans joins from real sizes
 # (broadcast only when the built side is measured small), splits skewed
@@ -59,3 +59,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one run of one job."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    For a frame that later steps read more than once (each use would
+    otherwise re-run its whole plan, and Catalyst prunes each use differently,
+    so exchanges are not shared). The written table cuts the lineage: a lost
+    executor re-reads files instead of replaying the plan, and reads get
+    column pruning and filter pushdown.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
