@@ -87,11 +87,11 @@ def training_frame(
     ``leaky_price``: then it is the same-row ``amount / quantity``, which
     reads the label.
     """
-    df = exogenous.with_calendar(daily, holidays, iso_week=True, cyclic=True)
-    df = exogenous.with_weather(df, weather)
-    df = dimension.with_category(df, nomenclature)
+    # Series windows first, on the narrow rollup (the shuffle and the window
+    # buffers carry 6 columns, not 30); the enrichment after them is row-wise
+    # projections and broadcast joins of calendar-bounded tables (no shuffle).
     df = series.with_series_features(
-        df,
+        daily.select("date", "product_key", "product_name", "warehouse_key", "quantity", "amount"),
         lags=(1, 7, 14, 30),
         moving_avgs=(7, 14, 30),
         std_window=7,
@@ -99,6 +99,9 @@ def training_frame(
         trend=(7, 30),
         trailing_price=not leaky_price,
     )
+    df = exogenous.with_calendar(df, holidays, iso_week=True, cyclic=True)
+    df = exogenous.with_weather(df, weather)
+    df = dimension.with_category(df, nomenclature)
     if leaky_price:
         df = df.withColumn("avg_price", F.when(F.col("quantity") > 0, F.col("amount") / F.col("quantity")).otherwise(0.0))
     else:

@@ -70,13 +70,13 @@ def with_ewma(
         index = "_ewma_i"
         out = out.withColumn(index, F.row_number().over(w) - 1)
     i = F.col(index)
-    out = out.withColumn("_ewma_blk", F.floor(i / F.lit(block))).withColumn(
-        "_ewma_off", i - F.col("_ewma_blk") * F.lit(block)
-    )
+    blk = F.floor(i / F.lit(block))
+    out = out.select("*", blk.alias("_ewma_blk"), (i - blk * F.lit(block)).alias("_ewma_off"))
     in_block = Window.partitionBy(*keys, "_ewma_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     prev_block = Window.partitionBy(*keys).orderBy("_ewma_blk").rangeBetween(-1, -1)
     off = F.col("_ewma_off")
     rows_counted = F.least(i, off + F.lit(block))
+    cols = []
     for s in spans:
         r = 1.0 - 2.0 / (s + 1.0)
         scaled = F.col(value) * F.pow(F.lit(r), -off)
@@ -84,9 +84,9 @@ def with_ewma(
         before = F.coalesce(F.sum(scaled).over(prev_block), F.lit(0.0))
         num = F.pow(F.lit(r), off - 1) * within + F.pow(F.lit(r), off + F.lit(block - 1)) * before
         den = (F.lit(1.0) - F.pow(F.lit(r), rows_counted)) / F.lit(1.0 - r)
-        out = out.withColumn(f"ewma_{s}", F.when(i > 0, num / den))
-    drop = ["_ewma_blk", "_ewma_off"] + (["_ewma_i"] if index == "_ewma_i" else [])
-    return out.drop(*drop)
+        cols.append(F.when(i > 0, num / den).alias(f"ewma_{s}"))
+    drop = {"_ewma_blk", "_ewma_off"} | ({"_ewma_i"} if index == "_ewma_i" else set())
+    return out.select(*[c for c in out.columns if c not in drop], *cols)
 
 
 def with_series_features(
@@ -130,12 +130,15 @@ def with_series_features(
         ma_a = feats.get(f"ma_{a}", F.avg(v).over(w.rowsBetween(-a, -1)))
         ma_b = feats.get(f"ma_{b}", F.avg(v).over(w.rowsBetween(-b, -1)))
         feats[f"trend_{a}_{b}"] = F.when(ma_b > 0, ma_a / ma_b).otherwise(F.lit(1.0))
+    if ewma_spans:
+        feats["_row"] = F.row_number().over(w) - 1
     out = daily.select("*", *[c.alias(n) for n, c in feats.items()])
-    names = list(feats)
+    names = [n for n in feats if n != "_row"]
     if ewma_spans:
-        out = with_ewma(out.withColumn("_row", F.row_number().over(w) - 1), value, ewma_spans, keys, index="_row")
-        out = out.drop("_row")
+        out = with_ewma(out, value, ewma_spans, keys, index="_row").drop("_row")
         names += [f"ewma_{s}" for s in ewma_spans]
     if fill_zero:
-        out = out.fillna(0.0, subset=names)
+        # fillna semantics: NULL and NaN both become 0.
+        filled = {n: F.nanvl(F.coalesce(F.col(n), F.lit(0.0)), F.lit(0.0)).alias(n) for n in names}
+        out = out.select(*[filled.get(c, F.col(c)) for c in out.columns])
     return out
