@@ -19,6 +19,26 @@ from ovenplan.operators.dimension import UNKNOWN_NAME, with_product_name
 SERIES_KEYS = ("product_key", "warehouse_key")
 
 
+def daily_groups(sales: DataFrame, keys: tuple[str, ...] = SERIES_KEYS) -> DataFrame:
+    """All (date, keys) groups of the records, NULL keys included, with the
+    record count, net quantity and net amount: the one pass over the records
+    that the rollup and the record-level data-quality counts both derive from.
+    """
+    return sales.groupBy(F.to_date("period").alias("date"), *keys).agg(
+        F.count(F.lit(1)).alias("records"),
+        zero_sum("quantity").alias("quantity"),
+        money_sum("amount").alias("amount"),
+    )
+
+
+def keyed_groups(groups: DataFrame, keys: tuple[str, ...] = SERIES_KEYS) -> DataFrame:
+    """Groups with every key present (pandas ``groupby`` drops NULL keys)."""
+    out = groups
+    for k in keys:
+        out = out.where(F.col(k).isNotNull())
+    return out.select("date", *keys, "quantity", "amount")
+
+
 def net_daily(sales: DataFrame, keys: tuple[str, ...] = SERIES_KEYS) -> DataFrame:
     """All (date, keys) groups with net quantity and amount, before the HAVING.
 
@@ -41,7 +61,13 @@ def daily_sales(sales: DataFrame, keys: tuple[str, ...] = SERIES_KEYS) -> DataFr
 
 def daily_rollup(sales: DataFrame, nomenclature: DataFrame | None, unknown: str = UNKNOWN_NAME) -> DataFrame:
     """date, product_key, product_name, warehouse_key, quantity, amount."""
-    named = with_product_name(daily_sales(sales), nomenclature, unknown)
+    return name_rollup(daily_sales(sales), nomenclature, unknown)
+
+
+def name_rollup(net: DataFrame, nomenclature: DataFrame | None, unknown: str = UNKNOWN_NAME) -> DataFrame:
+    """Net-positive groups (from :func:`daily_sales` or :func:`keyed_groups`) with product names."""
+    positive = net.where(F.col("quantity") > 0)
+    named = with_product_name(positive, nomenclature, unknown)
     return named.select("date", "product_key", "product_name", "warehouse_key", "quantity", "amount")
 
 
@@ -61,7 +87,13 @@ def records_without_name(sales: DataFrame, nomenclature: DataFrame) -> DataFrame
     Records are first counted per product key (map-side partial aggregate),
     so the join sees one row per product, not one per record.
     """
-    per_key = sales.groupBy("product_key").agg(F.count(F.lit(1)).alias("n"))
+    per_key = sales.groupBy("product_key").agg(F.count(F.lit(1)).alias("records"))
+    return unnamed_records(per_key, nomenclature)
+
+
+def unnamed_records(counted: DataFrame, nomenclature: DataFrame) -> DataFrame:
+    """Sum of ``records`` over rows whose ``product_key`` is not in the dimension; one row."""
+    per_key = counted.groupBy("product_key").agg(F.sum("records").alias("n"))
     keys = nomenclature.select(F.col("ref_key").alias("product_key")).distinct()
     unmatched = per_key.join(keys, "product_key", "left_anti")
     return unmatched.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("sales_without_name"))

@@ -103,9 +103,12 @@ def q_rollup_audit(spark, sf):
 
 
 def q_dq_missing_counts(spark, sf):
+    """One pass over the records: the grouped table feeds both counts."""
     i = Inputs(spark, sf)
-    no_temp = exogenous.rows_without_temperature(i.daily, i.weather)
-    return rollup.records_without_name(i.sales, i.nomenclature).select(
+    groups = materialize(rollup.daily_groups(i.sales), "daily_groups")
+    daily = rollup.name_rollup(rollup.keyed_groups(groups), i.nomenclature)
+    no_temp = exogenous.rows_without_temperature(daily, i.weather)
+    return rollup.unnamed_records(groups, i.nomenclature).select(
         "sales_without_name", no_temp.select("rows_without_temperature").scalar().alias("daily_without_temperature")
     )
 
