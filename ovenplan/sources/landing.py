@@ -58,13 +58,10 @@ def land_windows(spark: SparkSession, sales: DataFrame, windows: DataFrame, path
         .where(F.to_date("period") <= F.col("window_end"))
         .drop("window_end")
     )
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(conf, "static")
-    spark.conf.set(conf, "dynamic")
-    try:
-        rows.write.mode("overwrite").partitionBy("window_start").parquet(f"{path}/data")
-    finally:
-        spark.conf.set(conf, old)
+    # Dynamic overwrite, per write: only the window partitions present are replaced.
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_start").parquet(
+        f"{path}/data"
+    )
     starts.write.mode("append").parquet(f"{path}/manifest")
     return starts
 

@@ -97,3 +97,12 @@ def test_spread_only_when_under_split(spark, daily):
     spread = files.spread(narrow, ["date"])
     assert spread.rdd.getNumPartitions() == cores
     assert spread.count() == daily.count()
+
+
+def test_wide_matrix_equals_long_form(daily):
+    wide = reports.product_month_matrix(daily, 2)
+    names = [c for c in wide.columns if c != "month"]
+    assert len(names) == 2
+    from_wide = sorted((r.month, n, r[n]) for r in wide.collect() for n in names)
+    from_long = sorted(tuple(r) for r in reports.product_month_long(daily, 2).collect())
+    assert from_wide == from_long
