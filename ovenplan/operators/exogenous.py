@@ -28,17 +28,17 @@ def one_per_day(daily_dim: DataFrame) -> DataFrame:
 
 def with_calendar(df: DataFrame, holidays: DataFrame | None, iso_week: bool = True, cyclic: bool = False) -> DataFrame:
     """day_of_week (Mon=0), month, day_of_year, [week_of_year], is_weekend, is_holiday [+ sin/cos]."""
-    out = df.select("*", *calendar_columns("date", iso_week=iso_week))
     if holidays is None:
-        out = out.withColumn("is_holiday", F.lit(0))
+        base, holiday = df, F.lit(0)
     else:
-        flags = one_per_day(holidays.select("date")).withColumn("_hol", F.lit(1))
-        out = out.join(F.broadcast(flags), "date", "left").withColumn(
-            "is_holiday", F.coalesce(F.col("_hol"), F.lit(0))
-        ).drop("_hol")
+        flags = one_per_day(holidays.select("date")).select("date", F.lit(1).alias("_hol"))
+        base, holiday = df.join(F.broadcast(flags), "date", "left"), F.coalesce(F.col("_hol"), F.lit(0))
+    cal = calendar_columns("date", iso_week=iso_week)
+    extra = []
     if cyclic:
-        out = out.select("*", *cyclic_columns())
-    return out
+        d = F.col("date")
+        extra = cyclic_columns(F.weekday(d), F.month(d), F.dayofyear(d))
+    return base.select(*[F.col(c) for c in df.columns], *cal, holiday.alias("is_holiday"), *extra)
 
 
 def with_weather(df: DataFrame, weather: DataFrame, fill_median: bool = True) -> DataFrame:
@@ -50,14 +50,17 @@ def with_weather(df: DataFrame, weather: DataFrame, fill_median: bool = True) ->
     temperatures) and substituted as a constant; no cross join.
     """
     w = one_per_day(weather.select("date", "temperature", "precipitation"))
+    df = df.drop("temperature", "precipitation")
     joined = df.join(F.broadcast(w), "date", "left")
     if fill_median:
         med = joined.agg(F.median("temperature")).scalar()
         temperature = F.coalesce(F.col("temperature"), med)
     else:
         temperature = F.col("temperature")
-    return joined.withColumn("temperature", temperature).withColumn(
-        "precipitation", F.coalesce(F.col("precipitation"), F.lit(0.0))
+    return joined.select(
+        *[F.col(c) for c in df.columns],
+        temperature.alias("temperature"),
+        F.coalesce(F.col("precipitation"), F.lit(0.0)).alias("precipitation"),
     )
 
 

@@ -11,6 +11,7 @@ digits, in the query and in its SQL alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,32 +43,36 @@ def r(c: Column | str, digits: int) -> Column:
 
 
 class Inputs:
-    """The test tables seen as the planning model, for one (spark, sf_dir)."""
+    """The test tables seen as the planning model, for one (spark, sf_dir).
+
+    One instance per query call; each frame is built once per instance, so a
+    query that uses the rollup in several places shares one plan object.
+    """
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
 
-    @property
+    @cached_property
     def sales(self) -> DataFrame:
         return td.sales(self.spark, self.sf)
 
-    @property
+    @cached_property
     def nomenclature(self) -> DataFrame:
         return td.nomenclature(self.spark, self.sf)
 
-    @property
+    @cached_property
     def weather(self) -> DataFrame:
         return td.weather_daily(self.spark, self.sf)
 
-    @property
+    @cached_property
     def holidays(self) -> DataFrame:
         return td.holidays(self.spark, self.sf)
 
-    @property
+    @cached_property
     def daily(self) -> DataFrame:
         return rollup.daily_rollup(self.sales, self.nomenclature)
 
-    @property
+    @cached_property
     def daily_table(self) -> DataFrame:
         """The rollup written once to the shared folder, for queries that read it in several passes."""
         return materialize(self.daily, "daily")
@@ -377,8 +382,7 @@ def q_ingest_available_now(spark, sf):
 # ---- models (rows-only) ------------------------------------------------------------------
 
 
-def _training(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    i = Inputs(spark, sf)
+def _training(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     frame = gbt.training_frame(i.daily_table, i.weather, i.holidays, i.nomenclature)
     # Boosting re-reads the frame every iteration: write it once to the shared
     # folder, so iterations (and a lost executor) read files, not the window plan.
@@ -388,7 +392,7 @@ def _training(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _model_metrics(fs: gbt.FeatureSet) -> Query:
     def run(spark, sf):
-        train, stop, test = _training(spark, sf)
+        train, stop, test = _training(Inputs(spark, sf))
         fitted = gbt.fit(train, stop, fs, max_iter=MODEL_ITERATIONS)
         return gbt.evaluate(fitted, test)
 
@@ -397,14 +401,14 @@ def _model_metrics(fs: gbt.FeatureSet) -> Query:
 
 
 def q_model_feature_importance(spark, sf):
-    train, stop, _ = _training(spark, sf)
+    train, stop, _ = _training(Inputs(spark, sf))
     fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
     return fitted.feature_importance(spark)
 
 
 def q_model_forecast_report(spark, sf):
     i = Inputs(spark, sf)
-    train, stop, _ = _training(spark, sf)
+    train, stop, _ = _training(i)
     fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
     feats = forecast.forecast_features(i.sales, i.weather, i.holidays, TARGET, 400, mode="consistent")
     return forecast.forecast_report(fitted.predict(feats, "prediction"), i.nomenclature, "prediction")
