@@ -134,3 +134,29 @@ def test_long_series_ewma_is_finite(spark):
     assert bad == 0
     last = out.orderBy(F.col("date").desc()).first()
     assert 1.0 <= last.ewma_7 <= 13.0
+
+
+def test_short_series_serving_features(spark):
+    from ovenplan.operators import forecast
+
+    rows = [(dt.date(2024, 1, 1), "ONE", "W", 4.0, 8.0)]
+    rows += [(dt.date(2024, 1, 1 + i), "SIX", "W", float(q), float(q)) for i, q in enumerate([1, 2, 3, 4, 5, 6])]
+    recent = spark.createDataFrame(rows, "date date, product_key string, warehouse_key string, quantity double, amount double")
+    got = {r.product_key: r for r in forecast.tail_features(recent, mode="reference").collect()}
+    one, six = got["ONE"], got["SIX"]
+    assert (one.ma_7, one.ma_30, one.lag_7, one.std_7, one.avg_price) == (4.0, 4.0, 0.0, 0.0, 2.0)
+    assert six.ma_7 == 3.5 and six.lag_7 == 0.0 and six.std_7 == 0.0  # fewer than 7 rows
+    assert six.avg_price == 1.0
+
+
+def test_forecast_report_clamps_rounds_and_merges_names(spark):
+    from ovenplan.operators import forecast
+
+    scored = spark.createDataFrame(
+        [("A", "W1", 2.5), ("A", "W2", 3.5), ("B", "W1", -4.0), ("C", "W1", 0.4)],
+        "product_key string, warehouse_key string, prediction double",
+    )
+    nom = spark.createDataFrame([("A", "Bread", None), ("B", "Bread", None)], NOM_DDL)
+    got = [tuple(r) for r in forecast.forecast_report(scored, nom).collect()]
+    # A: rint(2.5)=2 + rint(3.5)=4; B clamps to 0 and merges into "Bread"; C rounds to 0 and is dropped.
+    assert got == [("Bread", 6)]
