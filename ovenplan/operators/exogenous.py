@@ -7,7 +7,7 @@ fact volume (a century is 36,525 rows), so they are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ovenplan.functions import calendar_columns, cyclic_columns
@@ -41,20 +41,32 @@ def with_calendar(df: DataFrame, holidays: DataFrame | None, iso_week: bool = Tr
     return base.select(*[F.col(c) for c in df.columns], *cal, holiday.alias("is_holiday"), *extra)
 
 
+def row_weighted_median(df: DataFrame, daily_values: DataFrame, value: str) -> Column:
+    """Exact median of ``value`` over the rows of ``df`` joined to one-row-per-day ``daily_values``.
+
+    Equal to ``median`` over the joined rows, computed without them: rows are
+    counted per date (a partial aggregate over the date column alone), joined
+    to the daily table (at most one row per calendar day) and the median is
+    ``percentile(value, 0.5, frequency=rows)``. Returned as a scalar subquery.
+    """
+    per_day = df.groupBy("date").agg(F.count(F.lit(1)).alias("_rows"))
+    weighted = per_day.join(F.broadcast(daily_values.select("date", value)), "date")
+    return weighted.agg(F.percentile(F.col(value), F.lit(0.5), F.col("_rows"))).scalar()
+
+
 def with_weather(df: DataFrame, weather: DataFrame, fill_median: bool = True) -> DataFrame:
     """Left join daily weather; NULL temperature -> median of the joined rows; NULL precipitation -> 0.
 
     The median is row-weighted: a day counts once per fact row, as in the
-    joined frame. It is evaluated once as a scalar subquery (exact
-    ``median``; each task keeps a value->count map bounded by the distinct
-    temperatures) and substituted as a constant; no cross join.
+    joined frame (:func:`row_weighted_median`: exact, interpolated, over at
+    most one row per day). It is a scalar subquery, evaluated once and
+    substituted as a constant; no cross join.
     """
     w = one_per_day(weather.select("date", "temperature", "precipitation"))
     df = df.drop("temperature", "precipitation")
     joined = df.join(F.broadcast(w), "date", "left")
     if fill_median:
-        med = joined.agg(F.median("temperature")).scalar()
-        temperature = F.coalesce(F.col("temperature"), med)
+        temperature = F.coalesce(F.col("temperature"), row_weighted_median(df, w, "temperature"))
     else:
         temperature = F.col("temperature")
     return joined.select(

@@ -35,6 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("OVENPLAN_DRIVER_MEMORY", "16g"))
+        # Small local inputs: keep CPU-bound stages (windows) spread over the
+        # cores instead of coalescing a few MB of shuffle into 2-3 tasks.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for k, v in CLUSTER_CONF.items():
         builder = builder.config(k, v)
