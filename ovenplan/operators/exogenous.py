@@ -18,12 +18,16 @@ DEFAULT_PRECIPITATION = 0.0
 
 
 def one_per_day(daily_dim: DataFrame) -> DataFrame:
-    """Keep one row per date (the smallest values), so a join never multiplies facts."""
+    """Keep one row per date (each value column's smallest value), so a join never multiplies facts.
+
+    Per-column ``min`` is a hash aggregate with map-side combine; for a
+    well-formed daily table (one row per date) it returns that row, and for
+    duplicated dates it is deterministic.
+    """
     others = [c for c in daily_dim.columns if c != "date"]
     if not others:
         return daily_dim.select("date").distinct()
-    best = F.min(F.struct(*others)).alias("_best")
-    return daily_dim.groupBy("date").agg(best).select("date", *[F.col(f"_best.{c}").alias(c) for c in others])
+    return daily_dim.groupBy("date").agg(*[F.min(c).alias(c) for c in others])
 
 
 def with_calendar(df: DataFrame, holidays: DataFrame | None, iso_week: bool = True, cyclic: bool = False) -> DataFrame:
