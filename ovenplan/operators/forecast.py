@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ovenplan.functions import calendar_columns, clamp_zero, floored_ratio, money_sum, round_to_long
+from ovenplan.functions import calendar_columns, clamp_zero, floored_ratio, money_sum, round_to_long, weekday_name
 from ovenplan.operators.dimension import UNKNOWN_NAME, with_product_name
 from ovenplan.operators.exogenous import weather_for_day
 from ovenplan.operators.rollup import SERIES_KEYS, daily_sales
@@ -112,10 +112,7 @@ def forecast_features(
     t = _date(target)
     feats = tail_features(recent_sales(sales, target, days_back), mode=mode)
     temperature, precipitation = weather_for_day(weather, target)
-    if holidays is None:
-        holiday = F.lit(0)
-    else:
-        holiday = F.when(holidays.where(F.col("date") == t).select(F.count(F.lit(1))).scalar() > 0, 1).otherwise(0)
+    holiday = holiday_flag(holidays, target)
     return feats.select(
         "product_key",
         "warehouse_key",
@@ -148,3 +145,34 @@ def forecast_report(
     named = with_product_name(per_series, nomenclature, unknown)
     report = named.groupBy("product_name").agg(F.sum("forecast_qty").alias("forecast_qty"))
     return report.where(F.col("forecast_qty") > 0).orderBy(F.col("forecast_qty").desc(), "product_name")
+
+
+# Display width of the product name and the holiday labels.
+NAME_WIDTH = 35
+HOLIDAY_LABELS = ("yes", "no")
+
+
+def holiday_flag(holidays: DataFrame | None, target) -> Column:
+    """1 if ``target`` is in the holiday table (a scalar subquery), else 0."""
+    if holidays is None:
+        return F.lit(0)
+    t = _date(target)
+    return F.when(holidays.where(F.col("date") == t).select(F.count(F.lit(1))).scalar() > 0, 1).otherwise(0)
+
+
+def report_layout(
+    report: DataFrame, weather: DataFrame, holidays: DataFrame | None, target, name_width: int = NAME_WIDTH
+) -> DataFrame:
+    """The morning table for the production planner: product (name cut to
+    ``name_width``), quantity, weekday name, temperature and holiday yes/no
+    of the target day (one scalar each, shared by every row)."""
+    t = _date(target)
+    temperature, _ = weather_for_day(weather, target)
+    yes, no = HOLIDAY_LABELS
+    return report.select(
+        F.substring("product_name", 1, name_width).alias("product"),
+        "forecast_qty",
+        weekday_name(t).alias("weekday"),
+        temperature.alias("temperature"),
+        F.when(holiday_flag(holidays, target) == 1, yes).otherwise(no).alias("holiday"),
+    )

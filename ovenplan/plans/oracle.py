@@ -478,6 +478,23 @@ SELECT COALESCE(d.description, 'Unknown') AS product_name, SUM(s.q) AS forecast_
 FROM s LEFT JOIN dim d ON s.product_key = d.ref_key GROUP BY 1 HAVING SUM(s.q) > 0""",
     )
 
+    q["forecast_report_layout"] = with_ctes(
+        SALES,
+        NOMENCLATURE,
+        W,
+        serving_cte(45),
+        """
+s AS (SELECT product_key, CAST(round_even(GREATEST(ma_7, 0), 0) AS BIGINT) AS q FROM serving),
+rep AS (SELECT COALESCE(d.description, 'Unknown') AS product_name, SUM(s.q) AS forecast_qty
+        FROM s LEFT JOIN dim d ON s.product_key = d.ref_key GROUP BY 1 HAVING SUM(s.q) > 0)""",
+        body=f"""
+SELECT substr(product_name, 1, 35) AS product, forecast_qty,
+       ['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'][isodow({TARGET})] AS weekday,
+       COALESCE((SELECT temperature FROM weather_daily WHERE date = {TARGET}), 10.0) AS temperature,
+       CASE WHEN EXISTS (SELECT 1 FROM holidays WHERE date = {TARGET}) THEN 'yes' ELSE 'no' END AS holiday
+FROM rep""",
+    )
+
     # ---- ingestion
     q["week_windows"] = with_ctes(SALES, windows_cte("planned", 0), body="SELECT * FROM planned")
     q["pending_windows"] = with_ctes(

@@ -334,6 +334,13 @@ def q_forecast_report(spark, sf):
     return forecast.forecast_report(feats, i.nomenclature, "ma_7")
 
 
+def q_forecast_report_layout(spark, sf):
+    i = Inputs(spark, sf)
+    feats = forecast.forecast_features(i.sales, i.weather, i.holidays, TARGET, 45, mode="reference")
+    report = forecast.forecast_report(feats, i.nomenclature, "ma_7")
+    return forecast.report_layout(report, i.weather, i.holidays, TARGET)
+
+
 # ---- ingestion: windows, landing, payloads, stream -----------------------------------------
 
 
@@ -457,6 +464,7 @@ def queries() -> dict[str, Query]:
         "forecast_features": q_forecast_features,
         "forecast_features_400": q_forecast_features_400,
         "forecast_report": q_forecast_report,
+        "forecast_report_layout": q_forecast_report_layout,
         "week_windows": q_week_windows,
         "pending_windows": q_pending_windows,
         "merge_chunks": q_merge_chunks,
