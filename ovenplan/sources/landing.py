@@ -58,6 +58,10 @@ def land_windows(spark: SparkSession, sales: DataFrame, windows: DataFrame, path
         .where(F.to_date("period") <= F.col("window_end"))
         .drop("window_end")
     )
+    # REBALANCE clusters rows by window before the partitioned write, and AQE
+    # splits large windows / merges small ones: a few right-sized files per
+    # window, instead of one file per (task, window).
+    rows = rows.hint("rebalance", "window_start")
     # Dynamic overwrite, per write: only the window partitions present are replaced.
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_start").parquet(
         f"{path}/data"
