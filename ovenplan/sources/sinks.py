@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a Parquet dataset; with ``partition_by`` only the partitions written are replaced."""
-    w = df.write.mode("overwrite")
+    """Overwrite a Parquet dataset; with ``partition_by`` only the partitions written are replaced.
+
+    A partitioned write is rebalanced on the partition columns first (AQE
+    sizes the files), so each output partition gets a few right-sized files.
+    """
     if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    w.parquet(path)
+        df = df.hint("rebalance", *partition_by)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_csv_report(df: DataFrame, path: str, single_file: bool = False) -> None:

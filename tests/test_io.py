@@ -126,3 +126,12 @@ def test_registered_sources_read_whole_tables(spark):
 
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert Inputs(spark, SF_SMALL).sales.count() == li
+
+
+def test_partitioned_sink_replaces_only_written_partitions(spark, tmp_dir):
+    s = small_sales(spark, range(1, 11)).withColumn("day", F.dayofmonth("period"))
+    sinks.write_parquet(s, f"{tmp_dir}/p", partition_by=["day"])
+    sinks.write_parquet(s.where("day <= 2").withColumn("quantity", F.lit(9.0)), f"{tmp_dir}/p", partition_by=["day"])
+    back = spark.read.parquet(f"{tmp_dir}/p")
+    assert back.count() == 10
+    assert back.where("quantity = 9.0").count() == 2
