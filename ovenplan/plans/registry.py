@@ -413,6 +413,13 @@ def q_model_feature_importance(spark, sf):
     return fitted.feature_importance(spark)
 
 
+def q_model_validation_by_product(spark, sf):
+    """Forecast vs fact per product on the V2 model's predictions for the reported set."""
+    train, stop, test = _training(Inputs(spark, sf))
+    fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
+    return evaluation.validation_by_product(gbt.validation_predictions(fitted, test))
+
+
 def q_model_forecast_report(spark, sf):
     i = Inputs(spark, sf)
     train, stop, _ = _training(i)
@@ -475,5 +482,6 @@ def queries() -> dict[str, Query]:
         "model_v2_metrics": _model_metrics(gbt.V2),
         "model_v3_metrics": _model_metrics(gbt.V3),
         "model_feature_importance": q_model_feature_importance,
+        "model_validation_by_product": q_model_validation_by_product,
         "model_forecast_report": q_model_forecast_report,
     }
