@@ -184,6 +184,10 @@ def fit(
     """Fit with early stopping on ``stop`` (skipped when ``stop`` is None)."""
     n = max_iter or fs.max_iter
     tr = _labelled(train, fs).cache()
+    # Indexed keys are categorical features: trees need maxBins >= categories
+    # (+1 for the unseen-value index). Counted with one aggregate.
+    counts = tr.agg(*[F.count_distinct(c) for c in fs.categorical]).first() if fs.categorical else []
+    max_bins = max([max_bins] + [int(c) + 1 for c in counts])
     model = _pipeline(fs, n, max_bins, seed).fit(tr)
     errors: list[float] = []
     iters = n

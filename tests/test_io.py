@@ -135,3 +135,15 @@ def test_partitioned_sink_replaces_only_written_partitions(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/p")
     assert back.count() == 10
     assert back.where("quantity = 9.0").count() == 2
+
+
+def test_model_handles_more_categories_than_default_bins(spark):
+    d0 = dt.date(2021, 1, 4)
+    rows = [(d0 + dt.timedelta(days=i % 37), f"P{i % 300}", "W", float(i % 7 + 1), 1.0, "x") for i in range(6000)]
+    daily = spark.createDataFrame(
+        rows, "date date, product_key string, warehouse_key string, quantity double, amount double, product_name string"
+    ).dropDuplicates(["date", "product_key", "warehouse_key"])
+    weather = daily.select("date").distinct().select("date", F.lit(1.0).alias("temperature"), F.lit(0.0).alias("precipitation"))
+    frame = gbt.training_frame(daily, weather, None, None)
+    fitted = gbt.fit(frame, None, gbt.BASELINE, max_iter=2)
+    assert fitted.predict(frame).count() == daily.count()
