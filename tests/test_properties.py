@@ -110,3 +110,20 @@ def test_rollup_keeps_all_rows_under_skew(spark):
     assert tot[0] == n
     hot = out.where("product_key = 'HOT'").collect()[0]
     assert hot.quantity == 16000 and hot.amount == 160.0
+
+
+def test_ewma_across_block_boundaries_equals_pandas(spark):
+    """800 rows: crosses the 257-row block boundary three times."""
+    import random
+
+    rnd = random.Random(7)
+    values = [rnd.randint(0, 400) + rnd.random() for _ in range(800)]
+    out = series.with_series_features(
+        frame(spark, values), lags=(), moving_avgs=(), std_window=None, ewma_spans=(7, 14)
+    ).orderBy("date")
+    rows = out.select("ewma_7", "ewma_14").collect()
+    s = pd.Series(values, dtype=float).shift(1)
+    for span, col in ((7, 0), (14, 1)):
+        want = s.ewm(span=span, adjust=True, min_periods=1).mean().fillna(0.0).tolist()
+        got = [r[col] for r in rows]
+        assert got == pytest.approx(want, rel=1e-10, abs=1e-10)
