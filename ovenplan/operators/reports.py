@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ovenplan.functions import day_of_week, money_sum, month_label, round_half_even, units, zero_sum
-from ovenplan.operators.ordering import day_index, trailing_sums
+from ovenplan.operators.ordering import running_before, trailing_sums
 
 
 def daily_totals(daily: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def daily_totals_ma7(daily: DataFrame, n: int = 7) -> DataFrame:
     """Company totals per day with the n-day rolling mean (this day and the n-1
     selling days before; NULL until n days), pandas ``rolling(n).mean()``.
 
-    Per-day totals are indexed by date (:func:`day_index`, no single-task
+    Per-day totals are indexed by date (:func:`running_before`, no single-task
     window) and every day is added to the n windows that contain it. Sums are
     exact (amount in cents), so the mean does not depend on evaluation order.
     """
@@ -31,7 +31,10 @@ def daily_totals_ma7(daily: DataFrame, n: int = 7) -> DataFrame:
         zero_sum("quantity").alias("quantity"),
         F.coalesce(F.sum(units("amount", 2)), F.lit(0)).alias("cents"),
     )
-    indexed = totals.join(day_index(totals), "date")
+    # One row per date already: its position is the count of earlier dates.
+    indexed = running_before(totals.withColumn("_one", F.lit(1)), "_one", "idx").select(
+        "date", "quantity", "cents", F.col("idx").cast("long").alias("idx")
+    )
     windows = trailing_sums(indexed, n, ["quantity", "cents"])
     full = F.col("_cnt") == n
     return windows.select(
