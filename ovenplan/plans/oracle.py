@@ -105,8 +105,9 @@ serving AS (
 
 def features_body() -> str:
     return f"""
-SELECT product_key, warehouse_key, {TARGET} AS date, isodow({TARGET}) - 1 AS day_of_week, month({TARGET}) AS month,
-       dayofyear({TARGET}) AS day_of_year, weekofyear({TARGET}) AS week_of_year,
+SELECT product_key, warehouse_key, {TARGET} AS date, CAST(isodow({TARGET}) - 1 AS INTEGER) AS day_of_week,
+       CAST(month({TARGET}) AS INTEGER) AS month, CAST(dayofyear({TARGET}) AS INTEGER) AS day_of_year,
+       CAST(weekofyear({TARGET}) AS INTEGER) AS week_of_year,
        CASE WHEN isodow({TARGET}) >= 6 THEN 1 ELSE 0 END AS is_weekend,
        CASE WHEN EXISTS (SELECT 1 FROM holidays WHERE date = {TARGET}) THEN 1 ELSE 0 END AS is_holiday,
        COALESCE((SELECT temperature FROM weather_daily WHERE date = {TARGET}), 10.0) AS temperature,
@@ -239,8 +240,9 @@ SELECT (SELECT COUNT(*) FROM sales s LEFT JOIN dim d ON s.product_key = d.ref_ke
     q["calendar_features"] = with_ctes(
         *ALL,
         body="""
-SELECT x.date, x.product_key, x.warehouse_key, x.quantity, isodow(x.date) - 1 AS day_of_week, month(x.date) AS month,
-       dayofyear(x.date) AS day_of_year, weekofyear(x.date) AS week_of_year,
+SELECT x.date, x.product_key, x.warehouse_key, x.quantity, CAST(isodow(x.date) - 1 AS INTEGER) AS day_of_week,
+       CAST(month(x.date) AS INTEGER) AS month, CAST(dayofyear(x.date) AS INTEGER) AS day_of_year,
+       CAST(weekofyear(x.date) AS INTEGER) AS week_of_year,
        CASE WHEN isodow(x.date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
        CASE WHEN h.date IS NULL THEN 0 ELSE 1 END AS is_holiday
 FROM daily x LEFT JOIN holidays h ON x.date = h.date""",
@@ -327,7 +329,7 @@ FROM t WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     q["top_products_by_quantity"] = with_ctes(*BASE, body=f"{totals} ORDER BY quantity DESC, product_name LIMIT 15")
     q["weekday_totals"] = with_ctes(
         *BASE,
-        body=f"SELECT isodow(date) - 1 AS day_of_week, SUM(quantity) AS quantity, {money()} AS amount FROM daily GROUP BY 1",
+        body=f"SELECT CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, SUM(quantity) AS quantity, {money()} AS amount FROM daily GROUP BY 1",
     )
     q["monthly_totals"] = with_ctes(
         *BASE,
@@ -474,7 +476,7 @@ FROM by_day""",
         """
 s AS (SELECT product_key, CAST(round_even(GREATEST(ma_7, 0), 0) AS BIGINT) AS q FROM serving)""",
         body="""
-SELECT COALESCE(d.description, 'Unknown') AS product_name, SUM(s.q) AS forecast_qty
+SELECT COALESCE(d.description, 'Unknown') AS product_name, CAST(SUM(s.q) AS BIGINT) AS forecast_qty
 FROM s LEFT JOIN dim d ON s.product_key = d.ref_key GROUP BY 1 HAVING SUM(s.q) > 0""",
     )
 
@@ -485,7 +487,7 @@ FROM s LEFT JOIN dim d ON s.product_key = d.ref_key GROUP BY 1 HAVING SUM(s.q) >
         serving_cte(45),
         """
 s AS (SELECT product_key, CAST(round_even(GREATEST(ma_7, 0), 0) AS BIGINT) AS q FROM serving),
-rep AS (SELECT COALESCE(d.description, 'Unknown') AS product_name, SUM(s.q) AS forecast_qty
+rep AS (SELECT COALESCE(d.description, 'Unknown') AS product_name, CAST(SUM(s.q) AS BIGINT) AS forecast_qty
         FROM s LEFT JOIN dim d ON s.product_key = d.ref_key GROUP BY 1 HAVING SUM(s.q) > 0)""",
         body=f"""
 SELECT substr(product_name, 1, 35) AS product, forecast_qty,
