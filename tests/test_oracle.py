@@ -40,11 +40,26 @@ def con():
     return c
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison.
+SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, con, key):
     df = entry.queries()[key](spark, SF_SMALL)
     rel = con.sql(entry.oracle_sql()[key])
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(rel.columns, rel.fetchall())
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
 
 
 def test_every_query_has_sql_or_is_model():
