@@ -86,24 +86,23 @@ def nomenclature(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .withColumn("k", F.substring("ref_key", 7, 64).cast("int"))
     )
-    group = F.concat(F.lit("G"), (F.col("k") % 5).cast("string"))
-    items = brands.where(F.col("k") % 11 != 0).select(
-        "ref_key",
-        F.when(F.col("k") == 2, F.lit("Product 1"))
-        .otherwise(F.concat(F.lit("Product "), F.col("k").cast("string")))
-        .alias("description"),
-        group.alias("parent_key"),
+    k = F.col("k")
+    group = (k % 5).cast("string")
+    # One pass over the distinct brands emits each brand's item row and its
+    # folder row (a NULL key marks a row the catalogue does not have); the
+    # final distinct collapses the folder rows shared by several brands.
+    item = F.struct(
+        F.when(k % 11 != 0, F.col("ref_key")).alias("ref_key"),
+        F.when(k == 2, F.lit("Product 1")).otherwise(F.concat(F.lit("Product "), k.cast("string"))).alias("description"),
+        F.concat(F.lit("G"), group).alias("parent_key"),
     )
-    folders = (
-        brands.where(F.col("k") % 5 != 4)
-        .select(
-            group.alias("ref_key"),
-            F.concat(F.lit("Group "), (F.col("k") % 5).cast("string")).alias("description"),
-            F.lit(None).cast("string").alias("parent_key"),
-        )
-        .distinct()
+    folder = F.struct(
+        F.when(k % 5 != 4, F.concat(F.lit("G"), group)).alias("ref_key"),
+        F.concat(F.lit("Group "), group).alias("description"),
+        F.lit(None).cast("string").alias("parent_key"),
     )
-    return items.unionByName(folders)
+    rows = brands.select(F.inline(F.array(item, folder)))
+    return rows.where(F.col("ref_key").isNotNull()).distinct()
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
