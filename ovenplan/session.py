@@ -10,6 +10,7 @@ setting is unset, as in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,12 +48,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set one only if unset."""
+    """The shared checkpoint folder named by the session.
+
+    Unset, a local session gets a temporary folder; on a cluster that would
+    be each machine's own disk, so it is an error there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Unset: only happens locally (tests, bench). A cluster names a shared folder.
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[[^\]]*\])?$", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="ovenplan-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
