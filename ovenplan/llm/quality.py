@@ -38,7 +38,7 @@ TREES = 128
 TREE_ROWS = 256
 GOOD_LOSS = 0.005
 #: A good share rejected costs as much as so many times that share of the bad ones missed.
-GOOD_WEIGHT = 10
+GOOD_WEIGHT = 5
 STEPS = 1000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ovenplan.llm import line_dedup, packing, simhash
+import corpus_pipeline
+from ovenplan.llm import line_dedup, packing, pii, quality, secret_scan, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (line_dedup.op2_line_dedup, packing.op8_best_fit_packing, simhash.op10_simhash_near_dedup)
-    }
+    found = [
+        line_dedup.op2_line_dedup,
+        quality.op4_quality_rules,
+        pii.op6_pii,
+        secret_scan.op7_secret_scan,
+        packing.op8_best_fit_packing,
+        simhash.op10_simhash_near_dedup,
+    ]
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -216,25 +216,60 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, shard_rows: in
     return placed.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
-) -> DataFrame:
-    """(doc_id, fp, component_id, n_rows): the class of each row; n_rows counts the rows of its fingerprint."""
-    rows = materialize(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "_fp"), "simhash")
-    rows = rows.withColumnRenamed("_fp", "fp")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"))
+def fingerprint_classes(rows: DataFrame, max_bits: int, shard_rows: int) -> DataFrame:
+    """(fp, root, least, n_rows, n_least) of the distinct fingerprints of ``rows`` (doc_id, fp).
+
+    ``least`` is the smallest doc_id with the fingerprint, on ``n_least`` of its rows.
+    """
+    each = rows.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))
+    classes = each.groupBy("fp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("m"), F.sum("n").alias("n_rows")
+    )
+    classes = classes.select("fp", F.col("m.doc_id").alias("least"), F.col("m.n").alias("n_least"), "n_rows")
     classes = materialize(classes, "simhash-classes")
     links = fingerprint_links(classes.select("fp"), max_bits, shard_rows)
     member = common.connected_components(links, "simhash-links").withColumnRenamed("node", "fp")
-    grouped = materialize(
+    return materialize(
         classes.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-members"
     )
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(grouped.join(least, "root").select("fp", "component_id", "n_rows"), "simhash-named")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """(doc_id, fp, component_id, n_rows): the class of each row; n_rows counts the rows of its fingerprint."""
+    rows = with_fingerprint(docs.select("doc_id", "text"), shingle, "fp").select("doc_id", "fp")
+    rows = materialize(rows, "simhash")
+    classes = fingerprint_classes(rows, max_bits, shard_rows)
+    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = materialize(classes.join(least, "root").select("fp", "component_id", "n_rows"), "simhash-named")
     hot = named.orderBy(F.desc("n_rows"), "fp").limit(HOT_FINGERPRINTS)
     return common.salted_join(rows, named, "fp", hot, F.xxhash64("doc_id"))
 
 
+def one_of_each_group(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
+
+    Of rows that share both that doc_id and the fingerprint any one stays.
+    """
+    rows = materialize(with_fingerprint(docs.select("doc_id", "text"), shingle, "fp").select("doc_id", "fp"), "simhash")
+    classes = fingerprint_classes(rows, max_bits, shard_rows)
+    chosen = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp", "n_least")).alias("m")
+    chosen = classes.groupBy("root").agg(chosen).select(
+        F.col("m.fp").alias("_fp"), F.col("m.least").alias("_least"), (F.col("m.n_least") > 1).alias("_many")
+    )
+    chosen = materialize(chosen, "simhash-chosen")
+    hot = rows.groupBy(F.col("fp").alias("_fp")).count().orderBy(F.desc("count"), "_fp").limit(HOT_FINGERPRINTS)
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    keyed = with_fingerprint(docs.select("doc_id", "text", whole), shingle).select("doc_id", "row", "_fp")
+    kept = common.salted_join(keyed, chosen, "_fp", hot, F.xxhash64("doc_id"))
+    kept = kept.filter(F.col("_many").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_least")))
+    one = kept.filter("not _many").unionAll(kept.filter("_many").dropDuplicates(["doc_id", "_fp"]))
+    return one.select("row.*")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

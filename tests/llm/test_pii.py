@@ -1,0 +1,88 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from ovenplan.llm import pii, spans
+from tests.conftest import SF_MID
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def passes(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    return {
+        "email": lambda: True,
+        "ip": lambda: all(int(p) <= 255 for p in value.split(".")),
+        "card": lambda: 16 <= len(digits) <= 19 and luhn(digits),
+        "phone": lambda: 8 <= len(digits) <= 15,
+    }[kind]()
+
+
+def brute(text):
+    return [
+        (kind, m.start(), m.end())
+        for kind, p in PATTERNS.items()
+        for m in re.finditer(p, text or "")
+        if passes(kind, m[0])
+    ]
+
+
+def joined(found):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+
+
+def test_whole_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").collect()}
+    got = pii.op6_pii(spark, SF_MID).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        want = brute(docs[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(joined(want).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for x, _, _ in want) for k in PATTERNS]
+        assert set(joined(want).split(",")) <= set(r.spans.split(","))
+
+
+EDGES = [
+    None, "", "a@b.c_x@y.z-w.q..r", "a@b.c.", "x@y", "@a.b", "é.k@ü.de k%+-@a-.b-", "a@b.c@d.e f@g..h", ".@-.-", "a@b.c..d@e.f",
+    "1.2.3.4.5.6.7.8", "256.1.1.1 255.255.255.255 001.002.003.0004", "1.2.3", "1..2.3.4.5", "12.34.56.78.", "9999999999.1.1.1",
+    "4111 1111 1111 1111", "4111-1111-1111-1111x", "4111  1111 1111 1111", "5 4111111111111111", "4111111111111111 5", "41111111111111112",
+    "é4111111111111111é 4111111111111111", "-4111111111111111-", "4111111111111111-4111111111111111", "6011000990139424 - 6011000990139424",
+    "+1 (487) 555-7209", "+1 (487) 555-7209 4111111111111111", "+12 +3456789", "++49 30 123456--", "+1 2 3 4 5 6 7 8) +9", "+١٢٣",
+    "a" * 5000, "1 " * 20_000, "1" * 20_000, "a@" + "b." * 20_000, "1.2.3.4 " * 500, "x@y.zz " * 500, "+" * 3000, "+1" + " " * 9000,
+]
+
+
+def test_edge_cases(spark):
+    rows = [(i, t) for i, t in enumerate(EDGES)] + [(None, "mail a@b.cd"), (0, "mail a@b.cd"), (0, "mail a@b.cd")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("base", F.lit(1)).withColumn("key", F.lit("k"))
+    got = pii.personal_data(df).select("doc_id", spans.digest(F.col("base")).alias("d"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(((i, joined(brute(t))) for i, t in rows), key=str)
+    masked = {r.doc_id: r.text for r in pii.mask_documents(df.filter("doc_id between 21 and 26 or doc_id < 3")).collect()}
+    assert masked[26] == "<phone>" and masked[22] == "é<card>é <card>"
+    assert masked[2] == "<email><email>..r" and masked[21] == EDGES[21] and masked[1] == ""
+    assert pii.personal_data(df.filter("false")).collect() == []
+    assert pii.mask_documents(df).columns == df.columns
+
+
+def test_patterns_of_seeds_find_unseen_identifiers(spark):
+    rows = [(i, f"we met and call me +1 (20{i}) 555-01{i}{i} today about it") for i in range(8)]
+    rows += [(50 + i, f"so then call me 030-555-77{i}{i} today as well") for i in range(2)]
+    rows += [(60 + i, f"the part number 5550-{i}123 was sold") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.d for r in pii.personal_data(df, min_confidence=0.7).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
+    assert got[50] == "phone:16:28" and got[51] == "phone:16:28"
+    assert all(got[60 + i] == "" for i in range(9))

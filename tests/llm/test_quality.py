@@ -37,7 +37,7 @@ def test_whole_table(spark):
     # The forest is fitted on part of these rows; the bad ones it never sees.
     bad = [kept[r.doc_id] for r in labels if not r.quality and not failed[r.doc_id]]
     good = [kept[r.doc_id] for r in labels if r.quality and not failed[r.doc_id]]
-    assert np.mean(bad) < 0.1 and np.mean(good) > 0.98
+    assert np.mean(bad) < 0.15 and np.mean(good) > 0.98
 
 
 PROSE = " ".join(f"word{i} and other{i * 7 % 31} text" for i in range(40))
