@@ -18,6 +18,7 @@ An empty table gives no rows. Columns beside doc_id and text are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -32,39 +33,81 @@ from ovenplan.session import materialize
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 50_000
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker remembers in one generation; it keeps two.
+CACHE_WORDS = 200_000
+#: Marks and digits around a run of letters; each part is then a pre-token, or several, of its own.
+_PARTS = re.compile(r"([!-&(-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-@\[-`{-~]*)")
+_WORD_END = "</w>"
 
-_loaded: dict[str, tuple] = {}
 
+class WordIds:
+    """Little-endian unsigned 32-bit ids of words, each distinct one encoded once while remembered.
 
-def _tokenizer(path: str):
-    if path not in _loaded:
+    The tokenizer drops white space and joins nothing across it, so a text's ids are
+    those of its words. Runs of plain letters are lower-cased and encoded many
+    at a time: each is one pre-token, whose last id alone ends a word.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
-    return _loaded[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith(_WORD_END)]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        words = [(t or "").encode().split() for t in texts]
+        if len(self.known) > CACHE_WORDS:
+            self.before, self.known = self.known, {}
+        if len(self.parts) > 2 * CACHE_WORDS:
+            self.parts = {}
+        new = set().union(*words) - self.known.keys()
+        for word in [w for w in new if w in self.before]:
+            self.known[word] = self.before[word]
+            new.discard(word)
+        self._learn(new)
+        return [b"".join(map(self.known.__getitem__, own)) for own in words]
+
+    def _learn(self, new: set[bytes]) -> None:
+        split, letters, other = {}, set(), set()
+        for word in new:
+            text = word.decode()
+            found = None if "<|" in text else _PARTS.fullmatch(text)
+            split[word] = (found[1], found[2].lower(), found[3]) if found else ("", "", text)
+            letters.add(split[word][1])
+            other.update(split[word][::2])
+        letters = [x for x in letters if x and x not in self.parts]
+        for i in range(0, len(letters), 20_000):
+            block = letters[i : i + 20_000]
+            lines = [" ".join(block[j : j + 200]) for j in range(0, len(block), 200)]
+            found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in found])
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            raw = ids.tobytes()
+            starts = [0, *ends[:-1].tolist()]
+            self.parts.update(zip(block, [raw[a:b] for a, b in zip(starts, ends.tolist(), strict=True)], strict=True))
+        other = [x for x in other if x not in self.parts]
+        for text, x in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.parts[text] = np.array(x.ids, dtype="<u4").tobytes()
+        parts = self.parts
+        parts[""] = b""
+        for word, (a, b, c) in split.items():
+            self.known[word] = parts[a] + parts[b] + parts[c]
+
+
+_loaded: dict[str, WordIds] = {}
 
 
 def token_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text, without the end id.
-
-    The tokenizer drops white space and never joins what it separates, so a
-    text's ids are those of its words, and each distinct word is encoded once.
-    """
-    tokenizer, known = _tokenizer(path)
-    words = [(t or "").encode().split() for t in texts]
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    new = list({w for own in words for w in own if w not in known})
-    for i in range(0, len(new), 10_000):
-        block = new[i : i + 10_000]
-        for word, found in zip(
-            block, tokenizer.encode_batch([w.decode() for w in block], add_special_tokens=False), strict=True
-        ):
-            known[word] = np.array(found.ids, dtype="<u4").tobytes()
-    return [b"".join(map(known.__getitem__, own)) for own in words]
+    """Ids of each text, without the end id."""
+    if path not in _loaded:
+        _loaded[path] = WordIds(path)
+    return _loaded[path].of(texts)
 
 
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
