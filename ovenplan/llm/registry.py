@@ -7,16 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ovenplan.llm import line_dedup, packing, pii, quality, secret_scan, simhash
+from ovenplan.llm import (
+    context_tree,
+    lang_id,
+    line_dedup,
+    packing,
+    piece_bpe,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+    vector_dedup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        context_tree.op1_lm_scoring,
         line_dedup.op2_line_dedup,
+        vector_dedup.op3_vector_near_dedup,
         quality.op4_quality_rules,
+        piece_bpe.op5_piece_bpe,
         pii.op6_pii,
         secret_scan.op7_secret_scan,
         packing.op8_best_fit_packing,
+        lang_id.op9_language_id,
         simhash.op10_simhash_near_dedup,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
