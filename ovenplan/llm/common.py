@@ -92,8 +92,10 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     return nodes.unionAll(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], list | dict], schema: str | T.StructType) -> DataFrame:
-    """``fn`` over Arrow batches; it returns the arrays or lists of one result batch, by column.
+def map_batches(
+    df: DataFrame, fn: Callable[[pa.RecordBatch], list | dict], schema: str | T.StructType, rows: int = 1000
+) -> DataFrame:
+    """``fn`` over Arrow batches of ``rows`` rows at most; it returns the arrays or lists of one result batch, by column.
 
     Columns that ``fn`` passes on stay Arrow arrays, so null integers, nested
     values and times come through unchanged.
@@ -103,8 +105,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], list | dict], sche
 
     def task(batches):
         for batch in batches:
-            if batch.num_rows:
-                columns = fn(batch)
+            for i in range(0, batch.num_rows, rows):
+                columns = fn(batch.slice(i, rows))
                 if isinstance(columns, dict):
                     columns = [columns[n] for n in names]
                 yield pa.RecordBatch.from_arrays(
