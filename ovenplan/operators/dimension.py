@@ -13,13 +13,14 @@ NO_DIMENSION_CATEGORY = "unknown"
 
 
 def dedupe(nomenclature: DataFrame) -> DataFrame:
-    """One row per ``ref_key``: the row with the smallest (description, parent_key).
+    """One row per ``ref_key``: the row with the smallest (description, parent_key), NULL last.
 
     A duplicated key would otherwise multiply every fact it joins to. The
     choice is deterministic (independent of file order). Grouping pre-aggregates
     map-side, so a key repeated many times never reaches one task whole.
     """
-    best = F.min(F.struct("description", "parent_key")).alias("best")
+    nulls_last = [F.col("description").isNull().alias("unnamed"), "description", F.col("parent_key").isNull().alias("rootless"), "parent_key"]
+    best = F.min(F.struct(*nulls_last)).alias("best")
     return nomenclature.groupBy("ref_key").agg(best).select(
         "ref_key", F.col("best.description").alias("description"), F.col("best.parent_key").alias("parent_key")
     )

@@ -92,8 +92,9 @@ def records_without_name(sales: DataFrame, nomenclature: DataFrame) -> DataFrame
 
 
 def unnamed_records(counted: DataFrame, nomenclature: DataFrame) -> DataFrame:
-    """Sum of ``records`` over rows whose ``product_key`` is not in the dimension; one row."""
+    """Sum of ``records`` over rows whose ``product_key`` has no name in the dimension; one row."""
     per_key = counted.groupBy("product_key").agg(F.sum("records").alias("n"))
-    keys = nomenclature.select(F.col("ref_key").alias("product_key")).distinct()
+    named = nomenclature.where(F.col("description").isNotNull())
+    keys = named.select(F.col("ref_key").alias("product_key")).distinct()
     unmatched = per_key.join(keys, "product_key", "left_anti")
     return unmatched.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("sales_without_name"))

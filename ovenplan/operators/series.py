@@ -33,11 +33,6 @@ def ewma_depth(span: int) -> int:
     return math.ceil(53.0 * math.log(2.0) / -math.log(r))
 
 
-def ewma_block(spans: Sequence[int]) -> int:
-    """Block length for :func:`with_ewma`: at least every span's depth."""
-    return max(ewma_depth(s) for s in spans)
-
-
 def with_ewma(
     df: DataFrame,
     value: str,
@@ -49,7 +44,7 @@ def with_ewma(
     """pandas ``shift(1).ewm(span, adjust=True, min_periods=1).mean()`` per series.
 
     The mean of previous rows with weights ``r**age`` (``r = 1 - 2/(span+1)``).
-    Rows are cut into blocks of B rows (B >= the depth after which a weight
+    Rows are cut into blocks of B rows (B: the span's depth after which a weight
     is below 2**-53 of the newest). Inside a block, values are scaled by
     ``r**-offset`` (bounded by ``r**-B``: no overflow, unlike the running
     closed form whose ``r**-i`` is infinite after ~2,500 rows). Then for row
@@ -61,23 +56,25 @@ def with_ewma(
 
     Three window passes (row index; prefix in block; previous block by a
     range frame), all partitioned by the series, so one shuffle; no arrays.
-    Blocks before k-1 weigh less than 2**-53 and are left out.
+    Blocks before k-1 weigh less than 2**-53 and are left out. Each span has
+    blocks of its own: a longer span's would overflow a shorter one's scale.
     """
-    block = ewma_block(spans)
     w = series_window(keys, order)
     out = df
     if index is None:
         index = "_ewma_i"
         out = out.withColumn(index, F.row_number().over(w) - 1)
     i = F.col(index)
-    blk = F.floor(i / F.lit(block))
-    out = out.select("*", blk.alias("_ewma_blk"), (i - blk * F.lit(block)).alias("_ewma_off"))
-    in_block = Window.partitionBy(*keys, "_ewma_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    prev_block = Window.partitionBy(*keys).orderBy("_ewma_blk").rangeBetween(-1, -1)
-    off = F.col("_ewma_off")
-    rows_counted = F.least(i, off + F.lit(block))
+    blocks = {s: ewma_depth(s) for s in spans}
+    numbers = [F.floor(i / F.lit(b)).alias(f"_ewma_blk_{s}") for s, b in blocks.items()]
+    out = out.select("*", *numbers)
     cols = []
-    for s in spans:
+    for s, block in blocks.items():
+        blk = f"_ewma_blk_{s}"
+        off = i - F.col(blk) * F.lit(block)
+        in_block = Window.partitionBy(*keys, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        prev_block = Window.partitionBy(*keys).orderBy(blk).rangeBetween(-1, -1)
+        rows_counted = F.least(i, off + F.lit(block))
         r = 1.0 - 2.0 / (s + 1.0)
         scaled = F.col(value) * F.pow(F.lit(r), -off)
         within = F.coalesce(F.sum(scaled).over(in_block), F.lit(0.0))
@@ -85,7 +82,7 @@ def with_ewma(
         num = F.pow(F.lit(r), off - 1) * within + F.pow(F.lit(r), off + F.lit(block - 1)) * before
         den = (F.lit(1.0) - F.pow(F.lit(r), rows_counted)) / F.lit(1.0 - r)
         cols.append(F.when(i > 0, num / den).alias(f"ewma_{s}"))
-    drop = {"_ewma_blk", "_ewma_off"} | ({"_ewma_i"} if index == "_ewma_i" else set())
+    drop = {f"_ewma_blk_{s}" for s in spans} | ({"_ewma_i"} if index == "_ewma_i" else set())
     return out.select(*[c for c in out.columns if c not in drop], *cols)
 
 
