@@ -513,5 +513,6 @@ WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.window_start = p.window_start A
     )
     q["parse_weather_json"] = with_ctes(W, body="SELECT * FROM weather_daily")
     q["ingest_available_now"] = with_ctes(SALES, body="SELECT * FROM sales")
+    q["ingest_relanded"] = with_ctes(SALES, body="SELECT * FROM sales")
 
     return q

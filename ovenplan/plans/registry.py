@@ -362,7 +362,7 @@ def q_pending_windows(spark, sf):
 
 def _land_all(spark, sales: DataFrame) -> str:
     path = shared_dir(spark, "landing")
-    landing.land_windows(spark, sales, landing.week_windows(_bounds(sales)), path)
+    landing.land_windows(spark, sales, landing.week_windows(materialize(_bounds(sales), "bounds")), path)
     return path
 
 
@@ -382,8 +382,22 @@ def q_parse_weather_json(spark, sf):
 def q_ingest_available_now(spark, sf):
     path = _land_all(spark, Inputs(spark, sf).sales)
     out = shared_dir(spark, "ingested")
-    ingest.ingest_available_now(spark, f"{path}/data", f"{out}/data", f"{out}/checkpoint")
-    return ingest.read_ingested(spark, f"{out}/data")
+    ingest.ingest_landed(spark, path, out, f"{out}/checkpoint")
+    return landing.merge_chunks(spark, out)
+
+
+def q_ingest_relanded(spark, sf):
+    """Land all but the last days, ingest, land the pending windows, ingest again: every record once."""
+    sales = Inputs(spark, sf).sales
+    path, out = shared_dir(spark, "landing"), shared_dir(spark, "ingested")
+    # One row, read by each of the window lists below.
+    bounds = materialize(_bounds(sales), "bounds")
+    landing.land_windows(spark, sales, landing.week_windows(bounds.withColumn("date_to", F.date_sub("date_to", EXTEND_DAYS))), path)
+    ingest.ingest_landed(spark, path, out, f"{out}/checkpoint")
+    pending = landing.pending_windows(landing.week_windows(bounds), landing.landed_windows(spark, path))
+    landing.land_windows(spark, sales, materialize(pending, "pending"), path)
+    ingest.ingest_landed(spark, path, out, f"{out}/checkpoint")
+    return landing.merge_chunks(spark, out)
 
 
 # ---- models (rows-only) ------------------------------------------------------------------
@@ -478,6 +492,7 @@ def queries() -> dict[str, Query]:
         "parse_sales_json": q_parse_sales_json,
         "parse_weather_json": q_parse_weather_json,
         "ingest_available_now": q_ingest_available_now,
+        "ingest_relanded": q_ingest_relanded,
         "model_baseline_metrics": _model_metrics(gbt.BASELINE),
         "model_v2_metrics": _model_metrics(gbt.V2),
         "model_v3_metrics": _model_metrics(gbt.V3),

@@ -28,22 +28,6 @@ def read_sales(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_parquet(spark, path, SALES)
 
 
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the cluster has cores.
-
-    A Parquet file is split by row groups; a large file written as one row
-    group is read by one task, and everything fused after the scan (joins,
-    partial aggregation) runs in that task. The split count is known at
-    planning time (no job). A normal large input has far more splits than
-    cores and is returned unchanged, so at scale this adds no shuffle.
-    Hashing on ``keys`` keeps the layout deterministic across retries.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with a fixed schema (dates parse per the schema's types)."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)

@@ -1,20 +1,30 @@
 """Incremental landing of the sales pull: weekly windows, resume, chunk merge.
 
-A window is ``[start, min(start + 6, to)]`` stepping from ``date_from``; the
-landing folder is partitioned by ``window_start`` and overwritten one window
-at a time (dynamic partition overwrite), so a re-run of a window replaces it
-rather than duplicating it. A manifest records each landed window with the
-last day it covered: a window is *pending* until it has landed through its
-full end, so a truncated last week is fetched again when the range grows.
+A window is ``[start, min(start + 6, to)]`` stepping from ``date_from``. Each
+landing is a run: its records go to ``data/run=/week=`` (week is the ISO Monday
+of the record, whatever the pull's ``date_from``), then its windows to
+``manifest``. Of each day only the latest run that covered it counts, so a
+window landed again, an overlapping pull and a window that has become empty
+all replace what earlier runs landed, and a run that failed before its
+manifest was written counts for nothing. A window is *pending* until it has
+landed through its full end, so a truncated last week is fetched again when
+the range grows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import time
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ovenplan.schemas import SALES
-from ovenplan.sources.files import conform, read_sales
+from ovenplan.sources.files import conform
+
+MANIFEST = T.StructType().add("window_start", "date").add("window_end", "date").add("run", "long")
+LANDED = T.StructType([*SALES.fields]).add("run", "long").add("week", "date")
 
 
 def week_windows(bounds: DataFrame, date_from: str = "date_from", date_to: str = "date_to") -> DataFrame:
@@ -29,12 +39,6 @@ def week_windows(bounds: DataFrame, date_from: str = "date_from", date_to: str =
     )
 
 
-def window_of(period: Column, date_from: Column) -> Column:
-    """The start of the window holding ``period`` for windows stepping from ``date_from``."""
-    d = F.to_date(period)
-    return F.date_add(date_from, (F.floor(F.datediff(d, date_from) / F.lit(7)) * F.lit(7)).cast("int"))
-
-
 def pending_windows(planned: DataFrame, landed: DataFrame) -> DataFrame:
     """Planned windows not landed through their full end (``left_anti``)."""
     done = landed.select("window_start", F.col("window_end").alias("_landed_end"))
@@ -42,38 +46,57 @@ def pending_windows(planned: DataFrame, landed: DataFrame) -> DataFrame:
     return planned.join(done, cond, "left_anti")
 
 
-def land_windows(spark: SparkSession, sales: DataFrame, windows: DataFrame, path: str) -> DataFrame:
-    """Write the records of ``windows`` to ``path/data`` partitioned by window
-    start, and the windows to ``path/manifest``. Returns the windows written.
+def landed_windows(spark: SparkSession, path: str) -> DataFrame:
+    return manifest(spark, path).select("window_start", "window_end")
 
-    Only the partitions present in this write are replaced.
-    """
-    starts = windows.select("window_start", "window_end")
-    # Any window start anchors the 7-day grid; the earliest is used.
-    first = windows.agg(F.min("window_start")).scalar()
-    keyed = sales.withColumn("window_start", window_of(F.col("period"), first))
-    # Windows are bounded by the calendar (one per week): broadcast.
-    rows = (
-        keyed.join(F.broadcast(starts), "window_start")
-        .where(F.to_date("period") <= F.col("window_end"))
-        .drop("window_end")
-    )
-    # REBALANCE clusters rows by window before the partitioned write, and AQE
-    # splits large windows / merges small ones: a few right-sized files per
-    # window, instead of one file per (task, window).
-    rows = rows.hint("rebalance", "window_start")
-    # Dynamic overwrite, per write: only the window partitions present are replaced.
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_start").parquet(
-        f"{path}/data"
-    )
-    starts.write.mode("append").parquet(f"{path}/manifest")
-    return starts
 
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """window_start, window_end, run of every landing."""
+    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
-def landed_windows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("window_start date, window_end date").parquet(f"{path}/manifest")
+
+def landed_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all runs, with their run and week."""
+    return spark.read.schema(LANDED).parquet(f"{path}/data")
+
+
+def days_of(windows: DataFrame, *columns: str) -> DataFrame:
+    """One row per window and day: week, day and ``columns``."""
+    days = windows.select(F.explode(F.sequence("window_start", "window_end")).alias("day"), *columns)
+    return days.withColumn("week", F.trunc("day", "week"))
+
+
+def _next_run(spark: SparkSession, path: str) -> int:
+    """Microseconds since 1970, and above every run of the manifest."""
+    now = time.time_ns() // 1000
+    try:
+        last = manifest(spark, path).agg(F.max("run").alias("run")).first().run
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    return now if last is None else max(now, last + 1)
+
+
+def land_windows(spark: SparkSession, sales: DataFrame, windows: DataFrame, path: str) -> DataFrame:
+    """Land the records of ``windows`` as one run. Returns the windows written."""
+    starts = windows.select("window_start", "window_end")
+    run = F.lit(_next_run(spark, path)).alias("run")
+    # At most one row per calendar day: broadcast.
+    days = F.broadcast(days_of(starts).distinct())
+    rows = sales.withColumn("day", F.to_date("period")).join(days, "day").drop("day").select("*", run)
+    # REBALANCE clusters rows by week before the partitioned write, and AQE
+    # splits large weeks / merges small ones: a few right-sized files per
+    # week, instead of one file per (task, week).
+    rows.hint("rebalance", "week").write.mode("append").partitionBy("run", "week").parquet(f"{path}/data")
+    # One file, so that a stream of the manifest never takes half a run.
+    starts.select("*", run).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return starts
 
 
 def merge_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """All landed records as one frame with the sales schema (one multi-file scan)."""
-    return conform(read_sales(spark, f"{path}/data"), SALES)
+    """The landed records, of each day those of its latest run, with the sales schema."""
+    latest = days_of(manifest(spark, path), "run").groupBy("week", "day").agg(F.max("run").alias("run"))
+    # At most one row per calendar day: broadcast.
+    rows = landed_records(spark, path).withColumn("day", F.to_date("period"))
+    return conform(rows.join(F.broadcast(latest), ["run", "week", "day"]), SALES)

@@ -63,7 +63,7 @@ def sales_payloads(sales: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
         "quantity",
         "amount",
     )
-    paged = sales.select(F.floor(F.monotonically_increasing_id() / F.lit(page_size)).alias("_page"), rec.alias("r"))
+    paged = sales.select(F.expr(f"monotonically_increasing_id() div {int(page_size)}").alias("_page"), rec.alias("r"))
     pages = paged.groupBy("_page").agg(F.collect_list("r").alias("value"))
     return pages.select(F.to_json(F.struct("value")).alias("payload"))
 

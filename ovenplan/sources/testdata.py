@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ovenplan.sources.files import spread
-
 # Month-day list standing in for a national holiday calendar.
 HOLIDAY_MONTH_DAYS = [
     "01-01", "01-02", "01-07", "03-08", "03-21", "03-22", "03-23",
@@ -42,12 +40,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """period, product_key, warehouse_key, quantity, amount, recorder_type."""
-    li = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
-            "l_shipdate",
-        ),
-        ["l_orderkey"],
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+        "l_shipdate",
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

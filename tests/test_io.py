@@ -40,6 +40,48 @@ def test_landing_is_idempotent_and_extends(spark, tmp_dir):
     assert landing.pending_windows(planned, landing.landed_windows(spark, tmp_dir)).count() == 0
 
 
+def land(spark, path, sales, f, t):
+    landing.land_windows(spark, sales, windows(spark, dt.date(2024, 1, f), dt.date(2024, 1, t)), path)
+
+
+def test_overlapping_pulls_land_each_record_once(spark, tmp_dir):
+    s = small_sales(spark, range(1, 21))
+    land(spark, tmp_dir, s, 1, 20)
+    land(spark, tmp_dir, s, 3, 20)
+    assert landing.merge_chunks(spark, tmp_dir).count() == 20
+
+
+def test_emptied_window_loses_its_rows(spark, tmp_dir):
+    land(spark, tmp_dir, small_sales(spark, range(1, 15)), 1, 14)
+    land(spark, tmp_dir, small_sales(spark, range(1, 8)), 8, 14)
+    assert sorted(r.period.day for r in landing.merge_chunks(spark, tmp_dir).collect()) == list(range(1, 8))
+
+
+def test_run_without_manifest_does_not_count(spark, tmp_dir):
+    land(spark, tmp_dir, small_sales(spark, range(1, 8)), 1, 7)
+    run = landing.manifest(spark, tmp_dir).first().run
+    late = small_sales(spark, range(1, 8)).withColumn("run", F.lit(run + 1)).withColumn("week", F.trunc("period", "week"))
+    late.write.mode("append").partitionBy("run", "week").parquet(f"{tmp_dir}/data")
+    assert landing.merge_chunks(spark, tmp_dir).count() == 7
+
+
+def test_ingest_follows_relanded_windows(spark, tmp_dir):
+    path, out = f"{tmp_dir}/landing", f"{tmp_dir}/out"
+    s = small_sales(spark, range(1, 21))
+    land(spark, path, s, 1, 10)
+    ingest.ingest_landed(spark, path, out, f"{tmp_dir}/ckpt")
+    assert landing.merge_chunks(spark, out).count() == 10
+    planned = windows(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 20))
+    pending = landing.pending_windows(planned, landing.landed_windows(spark, path))
+    landing.land_windows(spark, s, pending, path)
+    ingest.ingest_landed(spark, path, out, f"{tmp_dir}/ckpt")
+    ingest.ingest_landed(spark, path, out, f"{tmp_dir}/ckpt")  # nothing new
+    assert landing.merge_chunks(spark, out).count() == 20
+    land(spark, path, s.limit(0), 15, 20)
+    ingest.ingest_landed(spark, path, out, f"{tmp_dir}/ckpt")
+    assert landing.merge_chunks(spark, out).count() == 14
+
+
 def test_sales_payload_roundtrip_and_empty_page(spark):
     s = small_sales(spark, range(1, 8))
     back = payloads.parse_sales_payloads(payloads.sales_payloads(s, page_size=3))

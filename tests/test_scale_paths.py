@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ovenplan.operators import evaluation, reports, rollup
 from ovenplan.session import materialize
-from ovenplan.sources import files
 
 DAILY_DDL = "date date, product_key string, product_name string, warehouse_key string, quantity double, amount double"
 
@@ -88,16 +87,6 @@ def test_materialize_roundtrip(spark, daily):
     assert spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
-def test_spread_only_when_under_split(spark, daily):
-    cores = spark.sparkContext.defaultParallelism
-    wide = daily.repartition(cores * 2)
-    assert files.spread(wide, ["date"]) is wide
-    narrow = daily.coalesce(1)
-    spread = files.spread(narrow, ["date"])
-    assert spread.rdd.getNumPartitions() == cores
-    assert spread.count() == daily.count()
-
-
 def test_wide_matrix_equals_long_form(daily):
     wide = reports.product_month_matrix(daily, 2)
     names = [c for c in wide.columns if c != "month"]
