@@ -19,7 +19,7 @@ predictions. Other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,9 @@ LONGEST = 5
 LANGUAGES = 100
 SMOOTHING = 0.5
 UNKNOWN = "und"
-CACHE_WORDS = 200_000
+#: Tokens that a worker remembers, and their characters.
+CACHE_TOKENS = 300_000
+CACHE_CHARS = 16_000_000
 FLUSH = 400_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -44,8 +46,11 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def words_of(text: str) -> list[str]:
-    return [w for w in _WORDS.findall(text.lower()) if w[0].isalpha() or any(map(str.isalpha, w))]
+def words_of(token: str) -> list[str]:
+    """The words of a lower-cased token (a run without white space)."""
+    if token.isalpha():
+        return [token]
+    return [w for w in _WORDS.findall(token) if any(map(str.isalpha, w))]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -54,27 +59,31 @@ def grams_of(word: str, n: int) -> list[str]:
     return [word[i : i + n] for i in range(len(word) - n + 1)]
 
 
-def _counted(df: DataFrame, fill, key: str) -> DataFrame:
-    """Sums of what ``fill(counter, batch)`` counts by (lang, key), with bounded partial sums in each task."""
+def _counted(df: DataFrame, fill, key: str, named=lambda counter: counter) -> DataFrame:
+    """Sums by language and key of what ``fill(counters, batch)`` counts, with bounded partial sums in each task.
+
+    ``named`` turns what was counted for a language into counts by key.
+    """
 
     def task(batches):
-        counter = Counter()
+        counters = defaultdict(Counter)
 
         def out():
-            langs, keys = zip(*counter.keys(), strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(list(counter.values()), pa.int64())],
-                ["lang", key, "n"],
-            )
+            for lang, counter in counters.items():
+                found = named(counter)
+                langs = pa.array([lang] * len(found), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [langs, pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+                    ["lang", key, "n"],
+                )
+            counters.clear()
 
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
-                fill(counter, batch.slice(i, 1000))
-                if len(counter) > FLUSH:
-                    yield out()
-                    counter.clear()
-        if counter:
-            yield out()
+                fill(counters, batch.slice(i, 1000))
+                if sum(map(len, counters.values())) > FLUSH:
+                    yield from out()
+        yield from out()
 
     parts = df.mapInArrow(task, f"lang string, {key} string, n long")
     return parts.groupBy("lang", key).agg(F.sum("n").alias("n"))
@@ -83,22 +92,32 @@ def _counted(df: DataFrame, fill, key: str) -> DataFrame:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over all rows of ``docs`` (text, lang)."""
 
-    def fill(counter, batch):
+    def fill(counters, batch):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            for word, n in Counter(words_of(text)).items():
-                counter[lang, word] += n
+            counters[lang].update(text.lower().split())
+
+    def words(tokens):
+        found = Counter()
+        for token, n in tokens.items():
+            for word in words_of(token):
+                found[word] += n
+        return found
 
-    return _counted(docs.filter("text is not null and lang is not null").select("text", "lang"), fill, "word")
+    return _counted(docs.filter("text is not null and lang is not null").select("text", "lang"), fill, "word", words)
 
 
 def gram_counts(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     """(lang, gram, n) from word counts."""
 
-    def fill(counter, batch):
+    def fill(counters, batch):
         for lang, word, count in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
+            counter = counters[lang]
             for n in range(1, longest + 1):
-                for gram in grams_of(word, n):
-                    counter[lang, gram] += count
+                if count == 1:
+                    counter.update(grams_of(word, n))
+                else:
+                    for gram in grams_of(word, n):
+                        counter[gram] += count
 
     return _counted(words, fill, "gram")
 
@@ -122,7 +141,9 @@ class Model:
         self.languages = languages
         self.words = self._table(words, "word", totals["word"])
         self.grams = self._table(grams, "gram", totals["gram"])
-        self.cache: dict[str, np.ndarray | None] = {}
+        self.cache: dict[str, int] = {}
+        self.chars = 0
+        self.weights = np.zeros((0, len(languages)))
 
     def _table(self, rows, key, total):
         at = {name: i for i, name in enumerate(self.languages)}
@@ -136,32 +157,56 @@ class Model:
         size = np.array([total.get(name, 0) for name in self.languages]) + SMOOTHING * (len(number) + 1)
         return number, np.log(n / size)
 
-    def weigh(self, word: str) -> np.ndarray | None:
-        """Log frequencies of a word, backing off to n-grams."""
-        number, logs = self.words
-        if word in number:
-            return logs[number[word]]
-        number, logs = self.grams
-        for n in range(LONGEST, 0, -1):
-            known = [number[g] for g in grams_of(word, n) if g in number and g != " "]
-            if known:
-                return logs[known].mean(axis=0)
-        return None
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.languages:
-            return UNKNOWN, 0.0
-        words = words_of(text)
-        if not words and not any(map(str.isalpha, text)):
+    def weigh(self, words: list[str]) -> np.ndarray:
+        """Log frequencies of each word; of an unseen one the mean over its longest known n-grams, 0 without any."""
+        out = np.zeros((len(words), len(self.languages)))
+        number, grams = self.words[0], self.grams[0]
+        known, rows, unseen, starts, found = [], [], [], [], []
+        for i, word in enumerate(words):
+            if (at := number.get(word)) is not None:
+                known.append(i)
+                rows.append(at)
+                continue
+            start = len(found)
+            for n in range(LONGEST, 0, -1):
+                found += [at for g in grams_of(word, n) if (at := grams.get(g)) is not None and g != " "]
+                if len(found) > start:
+                    unseen.append(i)
+                    starts.append(start)
+                    break
+        out[known] = self.words[1][rows]
+        if unseen:
+            sizes = np.diff([*starts, len(found)])
+            out[unseen] = np.add.reduceat(self.grams[1][found], starts) / sizes[:, None]
+        return out
+
+    def learn(self, tokens: set[str]) -> None:
+        """Remember the log frequencies of the words of ``tokens``, and of others met lately."""
+        if len(self.cache) > CACHE_TOKENS or self.chars > CACHE_CHARS:
+            self.cache, self.weights, self.chars = {}, self.weights[:0], 0
+        new = [t for t in tokens if t not in self.cache]
+        owners, words = [], []
+        for i, token in enumerate(new):
+            for word in words_of(token):
+                owners.append(i)
+                words.append(word)
+        weights = np.zeros((len(new), len(self.languages)))
+        if words:
+            np.add.at(weights, owners, self.weigh(words))
+        self.cache.update(zip(new, range(len(self.cache), len(self.cache) + len(new)), strict=True))
+        self.weights = np.concatenate([self.weights, weights])
+        self.chars += sum(map(len, new))
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        counters = [Counter((t or "").lower().split()) for t in texts]
+        self.learn(set().union(*counters))
+        return [self._predict(c) for c in counters]
+
+    def _predict(self, tokens: Counter) -> tuple[str, float]:
+        if not self.languages or not any(t.isalpha() or any(map(str.isalpha, t)) for t in tokens):
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.languages))
-        for word, n in Counter(words).items():
-            if word not in self.cache:
-                if len(self.cache) > CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[word] = self.weigh(word)
-            if (logs := self.cache[word]) is not None:
-                total += n * logs
+        rows = self.weights[[self.cache[t] for t in tokens]]
+        total = (rows * np.array(list(tokens.values()), dtype=float)[:, None]).sum(axis=0)
         share = np.exp(total - total.max())
         best = int(total.argmax())
         return self.languages[best], float(share[best] / share.sum())
@@ -185,7 +230,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def of(batch):
-        found = [sent.value.predict(t) for t in batch.column("text").to_pylist()]
+        texts = batch.column("text").to_pylist()
+        found = [p for i in range(0, len(texts), 200) for p in sent.value.predict_all(texts[i : i + 200])]
         return [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()), [f[1] for f in found]]
 
     kind = docs.schema["doc_id"].dataType.simpleString()

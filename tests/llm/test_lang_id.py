@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ovenplan.llm import lang_id
@@ -38,3 +39,17 @@ def test_kept_words_are_bounded(spark):
     df = spark.createDataFrame(rows, "text string, lang string")
     model = lang_id.fit(df, keep=10)
     assert len(model.words[0]) == 10 and "w" + "x" * 29 in model.words[0]
+
+
+def test_weights_add_up(spark):
+    rows = [("the cat and the dog", "en"), ("le chat et le chien", "fr")] * 3
+    model = lang_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    number, logs = model.words
+    grams, gram_logs = model.grams
+    longest = [grams[g] for g in lang_id.grams_of("thex", 4) if g in grams]
+    # Two known words in one token, an unseen word, and a token without letters.
+    model.learn({"cat,dog", "thex", "12"})
+    assert np.allclose(model.weights[model.cache["cat,dog"]], logs[number["cat"]] + logs[number["dog"]])
+    assert longest and np.allclose(model.weights[model.cache["thex"]], gram_logs[longest].mean(axis=0))
+    assert not model.weights[model.cache["12"]].any()
+    assert model.predict_all([None, "", "12"]) == [(lang_id.UNKNOWN, 0.0)] * 3
