@@ -1,77 +1,88 @@
 """Gradient-boosted demand models with Spark ML.
 
 Three feature sets (baseline, v2, v3) over one training frame. Each model
-is a ``Pipeline[StringIndexer, VectorAssembler, GBTRegressor]``; tree
-building runs as distributed jobs over the cached feature frame.
-
-Early stopping: fit ``max_iter`` trees, score the stopping set at every
-iteration (``evaluateEachIteration``, absolute error), keep the best
-iteration under a patience rule, and refit with that many trees (same seed,
-no subsampling, so the refit equals the prefix).
+is a ``Pipeline[VectorAssembler, GBTRegressor]``; tree building runs as
+distributed jobs over the feature frame. Product, warehouse, series and
+category keys enter as means over earlier days.
+
+Early stopping: fit twice the patience in trees, score the stopping set at
+every iteration (``evaluateEachIteration``, absolute error), and fit twice as
+many until the patience is met or ``max_iter`` reached; then refit with the
+best number of trees (same seed, no subsampling, so fewer trees are the
+prefix of more).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ovenplan.operators import dimension, exogenous, series
 from ovenplan.operators.evaluation import predictions, regression_metrics
+from ovenplan.operators.forecast import DAYS_BACK, active_series
 
-CALENDAR = ["day_of_week", "month", "day_of_year", "is_weekend", "is_holiday"]
-CALENDAR_ISO = ["day_of_week", "month", "day_of_year", "week_of_year", "is_weekend", "is_holiday"]
-CYCLIC = ["dow_sin", "dow_cos", "month_sin", "month_cos", "doy_sin", "doy_cos"]
+#: The groups whose trailing means stand for their keys.
+KEY_GROUPS = {
+    "product": ["product_key"],
+    "warehouse": ["warehouse_key"],
+    "series": ["product_key", "warehouse_key"],
+    "category": ["category"],
+}
 
 
 @dataclass(frozen=True)
 class FeatureSet:
     name: str
-    categorical: list[str]
+    groups: list[str]
     numeric: list[str]
     log_target: bool = False
-    max_iter: int = 50
+    max_iter: int = 500
     depth: int = 6
     step_size: float = 0.05
     min_instances_per_node: int = 1
     patience: int = 50
-    extra: dict = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
-        return self.categorical + self.numeric
+        return [f"{g}_mean" for g in self.groups] + self.numeric
 
 
-# The three model configurations (feature lists, depth,
-# learning rate, patience). Iteration counts default lower than the
-# reference's 500 / 1000 / 1500 and are parameters.
-BASELINE = FeatureSet("baseline_calendar", ["product_key", "warehouse_key"], CALENDAR, depth=6, patience=50)
+# The three model configurations (labels, feature lists, trees
+# at most, depth, learning rate, patience).
+CALENDAR = ["day_of_week", "month", "day_of_year", "is_weekend", "is_holiday"]
+CALENDAR_ISO = ["day_of_week", "month", "day_of_year", "week_of_year", "is_weekend", "is_holiday"]
+CYCLIC = ["dow_sin", "dow_cos", "month_sin", "month_cos", "doy_sin", "doy_cos"]
+BASELINE = FeatureSet("baseline_calendar", ["product", "warehouse", "series"], CALENDAR, max_iter=500, depth=6, patience=50)
 V2 = FeatureSet(
     "v2_full_features",
-    ["product_key", "warehouse_key"],
+    ["product", "warehouse", "series"],
     CALENDAR_ISO
     + ["temperature", "precipitation", "avg_price", "lag_7", "lag_14", "lag_30", "ma_7", "ma_14", "ma_30", "std_7"],
+    max_iter=1000,
     depth=6,
     patience=50,
 )
 V3 = FeatureSet(
     "v3_log_ewma_cat",
-    ["product_key", "warehouse_key", "category"],
+    ["product", "warehouse", "series", "category"],
     CALENDAR_ISO
     + CYCLIC
     + ["temperature", "precipitation", "avg_price", "lag_1", "lag_7", "lag_14", "lag_30"]
     + ["ma_7", "ma_14", "ma_30", "ewma_7", "ewma_14", "std_7", "trend_7_30"],
     log_target=True,
+    max_iter=1500,
     depth=7,
     min_instances_per_node=3,
     patience=100,
 )
 
 FEATURE_SETS = {fs.name: fs for fs in (BASELINE, V2, V3)}
+ABOUT = "model string, iterations int"
 
 
 def training_frame(
@@ -80,12 +91,14 @@ def training_frame(
     holidays: DataFrame | None,
     nomenclature: DataFrame | None,
     leaky_price: bool = False,
+    fit_before=None,
 ) -> DataFrame:
     """All columns any feature set uses, one row per rollup row.
 
     ``avg_price`` is the trailing price (previous rows only) unless
     ``leaky_price``: then it is the same-row ``amount / quantity``, which
-    reads the label.
+    reads the label. Missing temperatures become the median over the rows
+    before ``fit_before`` (the training rows; None: all rows).
     """
     # Series windows first, on the narrow rollup (the shuffle and the window
     # buffers carry 6 columns, not 30); the enrichment after them is row-wise
@@ -100,8 +113,12 @@ def training_frame(
         trailing_price=not leaky_price,
     )
     df = exogenous.with_calendar(df, holidays, iso_week=True, cyclic=True)
-    df = exogenous.with_weather(df, weather)
+    df = exogenous.with_weather(df, weather, median_before=fit_before)
     df = dimension.with_category(df, nomenclature)
+    # Keys enter as what was sold under them on earlier days: no index of all
+    # keys on the driver, and bins that do not grow with their number.
+    for name, keys in KEY_GROUPS.items():
+        df = series.with_trailing_mean(df, f"{name}_mean", keys)
     if leaky_price:
         df = df.withColumn("avg_price", F.when(F.col("quantity") > 0, F.col("amount") / F.col("quantity")).otherwise(0.0))
     else:
@@ -109,14 +126,31 @@ def training_frame(
     return df.withColumn("log_target", F.log1p("quantity"))
 
 
+def serving_frame(
+    daily: DataFrame,
+    weather: DataFrame,
+    holidays: DataFrame | None,
+    nomenclature: DataFrame | None,
+    target,
+    days_back: int = DAYS_BACK,
+    fit_before=None,
+) -> DataFrame:
+    """Every feature set's columns for ``target``, one row per series active in the ``days_back`` days before.
+
+    The rows to predict are added to the rollup of the days before, without a
+    quantity, and go through :func:`training_frame`: each feature has the
+    definition it was trained with. Pass the ``fit_before`` of the training.
+    """
+    day = F.lit(target).cast("date")
+    past = daily.where(F.col("date") < day)
+    rows = active_series(past.where(F.col("date") >= F.date_sub(day, days_back))).withColumn("date", day)
+    both = past.unionByName(rows, allowMissingColumns=True)
+    frame = training_frame(both, weather, holidays, nomenclature, fit_before=fit_before)
+    return frame.where(F.col("date") == day).drop("quantity", "amount", "product_name", "log_target")
+
+
 def _pipeline(fs: FeatureSet, max_iter: int, max_bins: int, seed: int) -> Pipeline:
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-        for c in fs.categorical
-    ]
-    assembler = VectorAssembler(
-        inputCols=[f"{c}_idx" for c in fs.categorical] + fs.numeric, outputCol="features", handleInvalid="keep"
-    )
+    assembler = VectorAssembler(inputCols=fs.features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -129,7 +163,7 @@ def _pipeline(fs: FeatureSet, max_iter: int, max_bins: int, seed: int) -> Pipeli
         lossType="squared",
         subsamplingRate=1.0,
     )
-    return Pipeline(stages=[*indexers, assembler, gbt])
+    return Pipeline(stages=[assembler, gbt])
 
 
 def _labelled(df: DataFrame, fs: FeatureSet) -> DataFrame:
@@ -161,7 +195,7 @@ class FittedModel:
         p = F.col("prediction")
         if self.feature_set.log_target:
             p = F.greatest(F.expm1(p), F.lit(0.0))
-        cols = [c for c in scored.columns if c not in ("features", "prediction", "label") and not c.endswith("_idx")]
+        cols = [c for c in scored.columns if c not in ("features", "prediction", "label")]
         return scored.select(*cols, p.alias(output))
 
     def feature_importance(self, spark) -> DataFrame:
@@ -181,24 +215,23 @@ def fit(
     max_bins: int = 256,
     seed: int = 42,
 ) -> FittedModel:
-    """Fit with early stopping on ``stop`` (skipped when ``stop`` is None)."""
-    n = max_iter or fs.max_iter
-    tr = _labelled(train, fs).cache()
-    # Indexed keys are categorical features: trees need maxBins >= categories
-    # (+1 for the unseen-value index). Counted with one aggregate.
-    counts = tr.agg(*[F.count_distinct(c) for c in fs.categorical]).first() if fs.categorical else []
-    max_bins = max([max_bins] + [int(c) + 1 for c in counts])
-    model = _pipeline(fs, n, max_bins, seed).fit(tr)
-    errors: list[float] = []
-    iters = n
-    if stop is not None:
+    """Fit at most ``max_iter`` trees, stopping early on ``stop`` (all of them when ``stop`` is None)."""
+    cap = max_iter or fs.max_iter
+    labelled = _labelled(train, fs)
+    if stop is None:
+        return FittedModel(fs, _pipeline(fs, cap, max_bins, seed).fit(labelled), cap, [])
+    n = min(cap, 2 * fs.patience)
+    while True:
+        model = _pipeline(fs, n, max_bins, seed).fit(labelled)
         feats = PipelineModel(stages=model.stages[:-1]).transform(_labelled(stop, fs))
         errors = list(model.stages[-1].evaluateEachIteration(feats, "absolute"))
-        iters = best_iteration(errors, fs.patience)
-        if iters < n:
-            model = _pipeline(fs, iters, max_bins, seed).fit(tr)
-    tr.unpersist()
-    return FittedModel(fs, model, iters, errors)
+        best = best_iteration(errors, fs.patience)
+        if n == cap or n >= best + fs.patience:
+            break
+        n = min(cap, 2 * n)
+    if best < n:
+        model = _pipeline(fs, best, max_bins, seed).fit(labelled)
+    return FittedModel(fs, model, best, errors)
 
 
 def evaluate(fitted: FittedModel, test: DataFrame) -> DataFrame:
@@ -215,8 +248,13 @@ def validation_predictions(fitted: FittedModel, test: DataFrame) -> DataFrame:
 
 
 def save(fitted: FittedModel, path: str) -> None:
+    """The pipeline with, beside its stages, its feature set's name and number of trees."""
     fitted.model.write().overwrite().save(path)
+    about = [(fitted.feature_set.name, fitted.iterations)]
+    SparkSession.active().createDataFrame(about, ABOUT).coalesce(1).write.json(f"{path}/about")
 
 
-def load(path: str, fs: FeatureSet) -> FittedModel:
-    return FittedModel(fs, PipelineModel.load(path), -1, [])
+def load(path: str, fs: FeatureSet | None = None) -> FittedModel:
+    """A saved model; ``fs`` is needed only for a feature set that is not one of ``FEATURE_SETS``."""
+    about = SparkSession.active().read.schema(ABOUT).json(f"{path}/about").first()
+    return FittedModel(fs or FEATURE_SETS[about.model], PipelineModel.load(path), about.iterations, [])

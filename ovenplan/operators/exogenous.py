@@ -58,9 +58,11 @@ def row_weighted_median(df: DataFrame, daily_values: DataFrame, value: str) -> C
     return weighted.agg(F.percentile(F.col(value), F.lit(0.5), F.col("_rows"))).scalar()
 
 
-def with_weather(df: DataFrame, weather: DataFrame, fill_median: bool = True) -> DataFrame:
+def with_weather(df: DataFrame, weather: DataFrame, fill_median: bool = True, median_before=None) -> DataFrame:
     """Left join daily weather; NULL temperature -> median of the joined rows; NULL precipitation -> 0.
 
+    With ``median_before``, the median is of the rows before that day only.
+
     The median is row-weighted: a day counts once per fact row, as in the
     joined frame (:func:`row_weighted_median`: exact, interpolated, over at
     most one row per day). It is a scalar subquery, evaluated once and
@@ -70,7 +72,8 @@ def with_weather(df: DataFrame, weather: DataFrame, fill_median: bool = True) ->
     df = df.drop("temperature", "precipitation")
     joined = df.join(F.broadcast(w), "date", "left")
     if fill_median:
-        temperature = F.coalesce(F.col("temperature"), row_weighted_median(df, w, "temperature"))
+        rows = df if median_before is None else df.where(F.col("date") < F.lit(median_before).cast("date"))
+        temperature = F.coalesce(F.col("temperature"), row_weighted_median(rows, w, "temperature"))
     else:
         temperature = F.col("temperature")
     return joined.select(

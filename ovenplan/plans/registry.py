@@ -33,7 +33,6 @@ CUTOFF = "2001-01-01"
 STOP_CUTOFF = "2000-07-01"
 TARGET = "2001-11-05"
 EXTEND_DAYS = 14
-MODEL_ITERATIONS = 30
 
 KEYS = ["date", "product_key", "warehouse_key"]
 
@@ -404,7 +403,7 @@ def q_ingest_relanded(spark, sf):
 
 
 def _training(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
-    frame = gbt.training_frame(i.daily_table, i.weather, i.holidays, i.nomenclature)
+    frame = gbt.training_frame(i.daily_table, i.weather, i.holidays, i.nomenclature, fit_before=STOP_CUTOFF)
     # Boosting re-reads the frame every iteration: write it once to the shared
     # folder, so iterations (and a lost executor) read files, not the window plan.
     frame = materialize(frame, "training_frame")
@@ -414,7 +413,7 @@ def _training(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _model_metrics(fs: gbt.FeatureSet) -> Query:
     def run(spark, sf):
         train, stop, test = _training(Inputs(spark, sf))
-        fitted = gbt.fit(train, stop, fs, max_iter=MODEL_ITERATIONS)
+        fitted = gbt.fit(train, stop, fs)
         return gbt.evaluate(fitted, test)
 
     run.__name__ = f"q_model_{fs.name}"
@@ -423,22 +422,22 @@ def _model_metrics(fs: gbt.FeatureSet) -> Query:
 
 def q_model_feature_importance(spark, sf):
     train, stop, _ = _training(Inputs(spark, sf))
-    fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
+    fitted = gbt.fit(train, stop, gbt.V2)
     return fitted.feature_importance(spark)
 
 
 def q_model_validation_by_product(spark, sf):
     """Forecast vs fact per product on the V2 model's predictions for the reported set."""
     train, stop, test = _training(Inputs(spark, sf))
-    fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
+    fitted = gbt.fit(train, stop, gbt.V2)
     return evaluation.validation_by_product(gbt.validation_predictions(fitted, test))
 
 
 def q_model_forecast_report(spark, sf):
     i = Inputs(spark, sf)
     train, stop, _ = _training(i)
-    fitted = gbt.fit(train, stop, gbt.V2, max_iter=MODEL_ITERATIONS)
-    feats = forecast.forecast_features(i.sales, i.weather, i.holidays, TARGET, 400, mode="consistent")
+    fitted = gbt.fit(train, stop, gbt.V2)
+    feats = gbt.serving_frame(i.daily_table, i.weather, i.holidays, i.nomenclature, TARGET, 400, STOP_CUTOFF)
     return forecast.forecast_report(fitted.predict(feats, "prediction"), i.nomenclature, "prediction")
 
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ovenplan.models import gbt
 from ovenplan.operators import evaluation, forecast, reports, series
 
 Q = [3, 5, 2, 8, 13, 1, 9, 4, 7, 6]
@@ -81,3 +82,25 @@ def test_regression_metrics(spark):
     assert m.rmse == pytest.approx(5.766281, abs=1e-6)
     assert m.r2 == pytest.approx(0.848, abs=1e-9)
     assert m.mape == pytest.approx(18.333333, abs=1e-6)
+
+
+def test_serving_frame_equals_training_row(spark, golden_daily):
+    """Every input of every model for day t is what a training row at t has, with weather missing that day."""
+    nxt = D0 + dt.timedelta(days=len(Q))
+    extra = spark.createDataFrame([(nxt, "P1", "Name 1", "W1", 1.0, 10.0)], golden_daily.schema)
+    weather = golden_daily.select("date", F.dayofmonth("date").cast("double").alias("temperature"), F.lit(0.5).alias("precipitation"))
+    before = D0 + dt.timedelta(days=5)
+    train = gbt.training_frame(golden_daily.unionByName(extra), weather, None, None, fit_before=before)
+    row = train.where(F.col("date") == F.lit(nxt)).collect()[0]
+    (serve,) = gbt.serving_frame(golden_daily, weather, None, None, nxt, fit_before=before).collect()
+    assert row.temperature == 3.0  # the median of the training days alone
+    for fs in gbt.FEATURE_SETS.values():
+        for c in fs.features:
+            assert row[c] == pytest.approx(serve[c], abs=1e-12), c
+
+
+def test_trailing_mean_reads_earlier_days_only(spark):
+    rows = [(D0, "A", 2.0), (D0, "A", 4.0), (D0 + dt.timedelta(1), "A", 9.0), (D0 + dt.timedelta(3), "A", 1.0), (D0, "B", 5.0)]
+    df = spark.createDataFrame(rows, "date date, k string, quantity double")
+    got = {(r.k, r.date.day, r.quantity): r.m for r in series.with_trailing_mean(df, "m", ["k"]).collect()}
+    assert got == {("A", 1, 2.0): 0.0, ("A", 1, 4.0): 0.0, ("A", 2, 9.0): 3.0, ("A", 4, 1.0): 5.0, ("B", 1, 5.0): 0.0}

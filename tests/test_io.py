@@ -1,5 +1,6 @@
 """Landing, payloads, streaming ingest, sinks and model persistence."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -152,12 +153,24 @@ def test_model_learns_planted_pattern_and_reloads(spark, planted, tmp_dir):
     m = gbt.evaluate(fitted, test).collect()[0]
     assert m.mae < 3.0, m
     gbt.save(fitted, f"{tmp_dir}/model")
-    again = gbt.load(f"{tmp_dir}/model", gbt.BASELINE)
+    again = gbt.load(f"{tmp_dir}/model")
+    assert again.feature_set == gbt.BASELINE and again.iterations == fitted.iterations
     a = [r.prediction for r in fitted.predict(test).orderBy("date").collect()]
     b = [r.prediction for r in again.predict(test).orderBy("date").collect()]
     assert a == b and min(a) >= 0.0
 
 
+def test_patience_stops_before_the_cap(planted):
+    weather = planted.select("date", F.lit(5.0).alias("temperature"), F.lit(0.0).alias("precipitation"))
+    frame = gbt.training_frame(planted, weather, None, None)
+    train, stop, _ = evaluation.three_way_split(frame, "2021-01-01", "2021-01-31")
+    quick = dataclasses.replace(gbt.BASELINE, patience=3, depth=3, step_size=0.4)
+    fitted = gbt.fit(train, stop, quick)
+    assert len(fitted.stop_errors) >= fitted.iterations + 3
+    assert len(fitted.stop_errors) < quick.max_iter == 500
+    assert fitted.stop_errors[fitted.iterations - 1] == min(fitted.stop_errors[: fitted.iterations + 3])
+
+
 def test_best_iteration_patience():
     assert gbt.best_iteration([5, 4, 3, 3.5, 3.6, 3.7, 2.0], patience=2) == 3
     assert gbt.best_iteration([5, 4, 3, 3.5, 2.0], patience=5) == 5
