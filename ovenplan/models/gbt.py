@@ -243,6 +243,14 @@ def evaluate(fitted: FittedModel, test: DataFrame) -> DataFrame:
     )
 
 
+def metrics_row(fitted: FittedModel, test: DataFrame, seq: int) -> DataFrame:
+    """The row of the metrics log (``schemas.METRICS``) for a model on ``test``; ``seq`` numbers the training runs."""
+    features = F.lit(",".join(fitted.feature_set.features)).alias("features")
+    return evaluate(fitted, test).select(
+        F.lit(seq).cast("long").alias("seq"), "model", "mae", "rmse", "mape", "r2", features
+    )
+
+
 def validation_predictions(fitted: FittedModel, test: DataFrame) -> DataFrame:
     return predictions(fitted.predict(test, "_p"), "_p")
 

@@ -152,6 +152,9 @@ def test_model_learns_planted_pattern_and_reloads(spark, planted, tmp_dir):
     fitted = gbt.fit(train, stop, gbt.BASELINE, max_iter=25)
     m = gbt.evaluate(fitted, test).collect()[0]
     assert m.mae < 3.0, m
+    sinks.append_metrics(gbt.metrics_row(fitted, test, 1), f"{tmp_dir}/model-metrics")
+    (logged,) = spark.read.schema(METRICS).parquet(f"{tmp_dir}/model-metrics").collect()
+    assert (logged.seq, logged.model, logged.mae, logged.r2) == (1, "baseline_calendar", m.mae, m.r2)
     gbt.save(fitted, f"{tmp_dir}/model")
     again = gbt.load(f"{tmp_dir}/model")
     assert again.feature_set == gbt.BASELINE and again.iterations == fitted.iterations
