@@ -117,8 +117,9 @@ def training_frame(
     df = dimension.with_category(df, nomenclature)
     # Keys enter as what was sold under them on earlier days: no index of all
     # keys on the driver, and bins that do not grow with their number.
+    sold = dimension.with_category(daily.select("date", "product_key", "warehouse_key", "quantity"), nomenclature)
     for name, keys in KEY_GROUPS.items():
-        df = series.with_trailing_mean(df, f"{name}_mean", keys)
+        df = series.with_trailing_mean(df, f"{name}_mean", keys, rows=sold)
     if leaky_price:
         df = df.withColumn("avg_price", F.when(F.col("quantity") > 0, F.col("amount") / F.col("quantity")).otherwise(0.0))
     else:

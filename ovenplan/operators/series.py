@@ -86,13 +86,17 @@ def with_ewma(
     return out.select(*[c for c in out.columns if c not in drop], *cols)
 
 
-def with_trailing_mean(df: DataFrame, name: str, keys: Sequence[str], value: str = "quantity") -> DataFrame:
+def with_trailing_mean(
+    df: DataFrame, name: str, keys: Sequence[str], value: str = "quantity", rows: DataFrame | None = None
+) -> DataFrame:
     """Mean of ``value`` over the group's rows of earlier days, 0 before its first.
 
-    Rows are summed per group and day first, so a window partition has at most
+    ``rows`` (default ``df``) is what the means are taken from, for a ``df`` that
+    is costly to work out again. Rows are summed per group and day first, so a window partition has at most
     one row per day, however many rows the group has.
     """
-    per_day = df.groupBy(*keys, "date").agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    rows = df if rows is None else rows
+    per_day = rows.groupBy(*keys, "date").agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
     past = series_window(keys).rowsBetween(Window.unboundedPreceding, -1)
     n = F.sum("_n").over(past)
     means = per_day.select(*keys, "date", F.when(n > 0, F.sum("_s").over(past) / n).alias("_mean"))
