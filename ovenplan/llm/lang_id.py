@@ -2,8 +2,10 @@
 
 Words are runs of letters, lower-cased. All training rows are counted, by language
 and word; n-grams of one to five characters are counted from the word
-counts. The model keeps the ``KEEP`` most frequent words and as many n-grams
-(whole frequencies, so it may keep slightly fewer), which bounds what is broadcast.
+counts. All counts of all languages stay in tables, one entry per language that a word or
+n-gram was seen in. The distinct words of the documents are joined to them, and the
+documents' words to what was found; the most frequent words' entries (``CACHE_ENTRIES``)
+are broadcast to save that join. Only what belongs to a language as a whole is one array.
 
 A known word adds its log frequency in each language. Of an unseen word the
 longest n-grams that are known count instead: the mean of their log frequencies.
@@ -18,6 +20,7 @@ predictions. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 
@@ -26,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ovenplan.llm import common
+from ovenplan.llm import common, spans
 from ovenplan.session import materialize
 
 KEEP = 100_000
 LONGEST = 5
 #: Bound of the learned languages: those with the most training rows.
 LANGUAGES = 100
+#: Entries (of a word and a language) of the most frequent words that are broadcast.
+CACHE_ENTRIES = 1_000_000
 SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Tokens that a worker remembers, and their characters.
@@ -135,7 +140,7 @@ def _most_frequent(counts: DataFrame, key: str, keep: int) -> list:
 
 
 class Model:
-    """Log frequencies of kept words and n-grams, one column per language."""
+    """A small model in memory, of the most frequent words only (``identify`` uses all): log frequencies of kept words and n-grams, one column per language."""
 
     def __init__(self, languages: list[str], words: list, grams: list, totals: dict):
         self.languages = languages
@@ -213,7 +218,7 @@ class Model:
 
 
 def fit(docs: DataFrame, keep: int = KEEP) -> Model:
-    """The model of all rows of ``docs`` (text, lang)."""
+    """The model of the ``keep`` most frequent words and n-grams of ``docs`` (text, lang)."""
     docs = docs.filter("text is not null and lang is not null")
     rows = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     words = materialize(word_counts(docs), "lang-words")
@@ -238,8 +243,160 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return common.map_batches(docs.select("doc_id", "text"), of, f"doc_id {kind}, lang_pred string, score double")
 
 
+ENTRIES = "array<struct<at:int,d:double>>"
+#: What a word of the documents is.
+NOTHING, KNOWN, BY_GRAMS = 0, 1, 2
+
+
+def _entries(counts: DataFrame, languages: DataFrame, key: str) -> DataFrame:
+    """(key, entries): of each language seen with it, its number and how far the log frequency lies above an unseen one's."""
+    d = F.log((F.col("n") + SMOOTHING) / SMOOTHING)
+    each = counts.join(languages, "lang").select(key, F.struct("at", d.alias("d")).alias("entry"))
+    return each.groupBy(key).agg(F.collect_list("entry").cast(ENTRIES).alias("entries"))
+
+
+def _unseen_logs(counts: DataFrame, key: str, languages: list[str]) -> np.ndarray:
+    """Log frequency in each language of what it was not seen with."""
+    total = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    distinct = counts.select(key).distinct().count()
+    size = np.array([total.get(name, 0) for name in languages], dtype=float) + SMOOTHING * (distinct + 1)
+    return np.log(SMOOTHING / size)
+
+
+def looked_up(asked: DataFrame, words: DataFrame, grams: DataFrame) -> DataFrame:
+    """(word, times, kind, entries) of ``asked`` (word, times), by (word, entries) and (gram, entries) of all that was learned."""
+    known = asked.join(words, "word").select("word", "times", F.lit(KNOWN).alias("kind"), "entries")
+    todo = materialize(asked.join(words.select("word"), "word", "left_anti"), "lang-unseen")
+    for n in range(LONGEST, 0, -1):
+        marked = F.concat(F.lit(" "), "word", F.lit(" "))
+        places = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - n + 1))
+        own = todo.select("word", F.explode(F.transform(places, lambda i: F.substring(marked, i, F.lit(n)))).alias("gram"))
+        hits = materialize(own.filter("gram <> ' '").join(grams, "gram").select("word", "entries"), f"lang-hits-{n}")
+        sums = hits.select("word", F.inline("entries")).groupBy("word", "at").agg(F.sum("d").alias("d"))
+        number = hits.groupBy("word").agg(F.count("*").alias("hits"))
+        mean = sums.join(number, "word").groupBy("word").agg(
+            F.collect_list(F.struct("at", (F.col("d") / F.col("hits")).alias("d"))).cast(ENTRIES).alias("entries")
+        )
+        tried = materialize(todo.join(mean, "word", "left"), f"lang-tried-{n}")
+        found = tried.filter("entries is not null").select("word", "times", F.lit(BY_GRAMS).alias("kind"), "entries")
+        known = known.unionAll(found)
+        todo = tried.filter("entries is null").select("word", "times")
+    return known.unionAll(todo.select("word", "times", F.lit(NOTHING).alias("kind"), F.array().cast(ENTRIES).alias("entries")))
+
+
+class Cache:
+    """Kinds and entries of the most frequent words, one after the other."""
+
+    def __init__(self, table: pa.Table):
+        entries = table.column("entries").combine_chunks()
+        entries = entries.combine_chunks() if isinstance(entries, pa.ChunkedArray) else entries
+        self.number = {w: i for i, w in enumerate(table.column("word").to_pylist())}
+        self.kind = table.column("kind").to_numpy()
+        flat = entries.flatten()
+        self.sizes = np.array(entries.value_lengths().to_pylist(), dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.at = flat.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.d = flat.field("d").to_numpy(zero_copy_only=False)
+
+    def entries_of(self, numbers: list[int], times: list[int]) -> list[tuple[int, float]]:
+        """Sums by language of the words' entries."""
+        sizes = self.sizes[numbers]
+        place = np.arange(sizes.sum()) + np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes)
+        own, to = np.unique(self.at[place], return_inverse=True)
+        sums = np.bincount(to, self.d[place] * np.repeat(np.array(times, dtype=float), sizes), len(own))
+        return list(zip(own.tolist(), sums.tolist(), strict=True))
+
+
+def identify(docs: DataFrame, learned: DataFrame, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row, by all words, n-grams and languages of ``learned`` (text, lang)."""
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", "text")
+    learned = learned.filter("text is not null and lang is not null")
+    languages = [r.lang for r in learned.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    numbered = F.broadcast(spark.createDataFrame(list(zip(languages, range(len(languages)), strict=True)), "lang string, at int"))
+    words = materialize(word_counts(learned), "lang-words")
+    grams = materialize(gram_counts(words), "lang-grams")
+    logs = (_unseen_logs(words, "word", languages), _unseen_logs(grams, "gram", languages))
+    asked = word_counts(docs.select("text", F.lit("").alias("lang"))).select("word", F.col("n").alias("times"))
+    word_table = materialize(_entries(words, numbered, "word"), "lang-word-entries")
+    gram_table = materialize(_entries(grams, numbered, "gram"), "lang-gram-entries")
+    table = materialize(looked_up(materialize(asked, "lang-asked"), word_table, gram_table), "lang-looked-up")
+    hot = table.orderBy(F.desc("times"), "word").limit(min(KEEP, cache_entries // max(len(languages), 1)))
+    sent = spark.sparkContext.broadcast((Cache(hot.select("word", "kind", "entries").toArrow()), languages, logs))
+
+    def counted(batch):
+        cache = sent.value[0]
+        split: dict[str, list[str]] = {}
+        keys, letters, known, by_grams, own, rare = [], [], [], [], [], []
+        for text in batch.column("text").to_pylist():
+            numbers, times, others = [], [], Counter()
+            for token, n in Counter((text or "").lower().split()).items():
+                at = cache.number.get(token)
+                if at is not None:
+                    numbers.append(at)
+                    times.append(n)
+                    continue
+                if (parts := split.get(token)) is None:
+                    parts = split[token] = words_of(token)
+                for word in parts:
+                    at = cache.number.get(word)
+                    if at is None:
+                        others[word] += n
+                    else:
+                        numbers.append(at)
+                        times.append(n)
+            kinds = np.bincount(cache.kind[numbers], times, 3) if numbers else np.zeros(3)
+            keys.append(hashlib.blake2b(repr(text).encode(), digest_size=16).digest())
+            letters.append(bool(numbers or others))
+            known.append(int(kinds[KNOWN]))
+            by_grams.append(int(kinds[BY_GRAMS]))
+            own.append(cache.entries_of(numbers, times) if numbers else [])
+            rare.append(list(others.items()))
+        return [
+            batch.column("doc_id"), pa.array(keys, pa.binary()), letters, known, by_grams,
+            pa.array(own, pa.list_(pa.struct([("at", pa.int32()), ("d", pa.float64())]))),
+            pa.array(rare, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
+        ]
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = common.map_batches(
+        docs,
+        counted,
+        f"doc_id {kind}, key binary, letters boolean, known long, by_grams long, own {ENTRIES}, rare array<struct<word:string,times:bigint>>",
+    )
+    rows = materialize(rows, "lang-rows")
+    # Equal texts have one key; their words are looked up once.
+    rare = rows.filter("size(rare) > 0").select("key", "rare").dropDuplicates(["key"]).select("key", F.inline("rare"))
+    rare = materialize(rare.join(table.select("word", "kind", "entries"), "word"), "lang-rare")
+    number = lambda k: F.sum(F.when(F.col("kind") == k, F.col("times")).otherwise(0))
+    kinds = rare.groupBy("key").agg(number(KNOWN).alias("more_known"), number(BY_GRAMS).alias("more_by_grams"))
+    sums = rare.select("key", "times", F.inline("entries")).groupBy("key", "at").agg(F.sum(F.col("times") * F.col("d")).alias("d"))
+    sums = sums.groupBy("key").agg(F.collect_list(F.struct("at", "d")).cast(ENTRIES).alias("more"))
+    found = kinds.join(sums, "key", "left")
+    found = found.select("key", F.struct("more_known", "more_by_grams", F.coalesce("more", F.array().cast(ENTRIES)).alias("more")).alias("found"))
+    both = spans.joined_by_text(rows.drop("rare"), found, "lang-found").select("doc_id", "letters", "known", "by_grams", "own", "found.*")
+
+    def pick(batch):
+        _, languages, logs = sent.value
+        preds, scores = [], []
+        for r in batch.to_pylist():
+            if not languages or not r["letters"]:
+                preds.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            total = (r["known"] + (r["more_known"] or 0)) * logs[0] + (r["by_grams"] + (r["more_by_grams"] or 0)) * logs[1]
+            for e in [*r["own"], *(r["more"] or [])]:
+                total[e["at"]] += e["d"]
+            total = np.round(total, 9)  # sums in another order are still ties
+            best = int(total.argmax())
+            preds.append(languages[best])
+            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        return [batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())]
+
+    return common.map_batches(both, pick, f"doc_id {kind}, lang_pred string, score double")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     out = held_out(F.col("doc_id"), 3, 1)
-    model = fit(docs.filter(~out).select("text", "lang"))
-    return predict(docs.select("doc_id", "text"), model).withColumn("held_out", out)
+    return identify(docs, docs.filter(~out)).withColumn("held_out", out)

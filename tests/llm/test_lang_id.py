@@ -53,3 +53,21 @@ def test_weights_add_up(spark):
     assert longest and np.allclose(model.weights[model.cache["thex"]], gram_logs[longest].mean(axis=0))
     assert not model.weights[model.cache["12"]].any()
     assert model.predict_all([None, "", "12"]) == [(lang_id.UNKNOWN, 0.0)] * 3
+
+
+def test_all_words_count(spark):
+    """Same as the model that holds everything, whether words are broadcast or joined."""
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")
+    rows = [(i, f"common words {name(i) * 2} and {name(i)}x{name(i)}, {'rare' if i == 89 else 'usual'}", f"l{i:03d}") for i in range(90)]
+    rows += [(1000 + i, t, "l000") for i, t in enumerate(["common words here", "usual things", "and more"] * 5)]
+    learned = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    asked = [(i, t) for i, t, _ in rows] + [(2000, "rare aabbzz"), (2001, "rare"), (2002, None), (2003, "12 3"), (2004, "日本"), (None, name(77) * 3), (2001, "rare")]
+    df = spark.createDataFrame(asked, "doc_id long, text string")
+    model = lang_id.fit(learned)
+    assert len(model.languages) == 90
+    want = sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 6)) for r in lang_id.predict(df, model).collect()))
+    for entries in (0, 1000, 1_000_000):
+        got = sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 6)) for r in lang_id.identify(df, learned, entries).collect()))
+        assert got == want
+    assert dict((g[0], g[1]) for g in got)[2001] == "l089"
+    assert {r.lang_pred for r in lang_id.identify(df, learned.filter("false")).collect()} == {"und"}
