@@ -34,8 +34,6 @@ from ovenplan.session import materialize
 
 KEEP = 100_000
 LONGEST = 5
-#: Bound of the learned languages: those with the most training rows.
-LANGUAGES = 100
 #: Entries (of a word and a language) of the most frequent words that are broadcast.
 CACHE_ENTRIES = 1_000_000
 SMOOTHING = 0.5
@@ -220,11 +218,11 @@ class Model:
 def fit(docs: DataFrame, keep: int = KEEP) -> Model:
     """The model of the ``keep`` most frequent words and n-grams of ``docs`` (text, lang)."""
     docs = docs.filter("text is not null and lang is not null")
-    rows = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    rows = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     words = materialize(word_counts(docs), "lang-words")
     grams = materialize(gram_counts(words), "lang-grams")
     totals = {
-        key: {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(10 * LANGUAGES).collect()}
+        key: {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         for key, counts in (("word", words), ("gram", grams))
     }
     return Model([r.lang for r in rows], _most_frequent(words, "word", keep), _most_frequent(grams, "gram", keep), totals)

@@ -71,3 +71,12 @@ def test_all_words_count(spark):
         assert got == want
     assert dict((g[0], g[1]) for g in got)[2001] == "l089"
     assert {r.lang_pred for r in lang_id.identify(df, learned.filter("false")).collect()} == {"und"}
+
+
+def test_more_than_100_languages(spark):
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")
+    rows = [(i, f"common and {name(i)}x{name(i)}", f"l{i:03d}") for i in range(130)] + [(1000, "common", "l000")]
+    learned = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in lang_id.identify(learned, learned).collect()} == {i: lang for i, _, lang in rows}
+    model = lang_id.fit(learned)
+    assert {r.doc_id: r.lang_pred for r in lang_id.predict(learned, model).collect()} == {i: lang for i, _, lang in rows}
