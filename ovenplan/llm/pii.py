@@ -1,7 +1,8 @@
 """Personal data: base patterns, and bootstrapped contextual extraction.
 
 Base matches of e-mail, IP, card and phone are the seeds. The words before
-and after an identifier-like string (four digits or more, or an @) form a lexical pattern. Patterns
+and after an identifier-like string (four digits or more, or an @) form lexical patterns: both
+words, the one before alone, and the one after alone. Patterns
 and the strings found in them, distinct texts only, make a graph with a link
 per pattern and string, which is scored in turns:
 
@@ -30,8 +31,10 @@ from ovenplan.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 ROUNDS = 3
+#: A pattern of s seeds tends to a confidence of s / (s + 1) on its own: with fewer than five seeds
+#: it stays under 0.8 or just reaches it, so the two bounds agree.
 MIN_SEEDS = 5
-MIN_CONFIDENCE = 0.9
+MIN_CONFIDENCE = 0.8
 
 # The base patterns, written so that no group repeats without bound: a long run
 # of matches of a group would exhaust a task's stack, a run of a class does not.
@@ -77,11 +80,14 @@ def base_spans(text: Column) -> Column:
     return F.concat(email, ip, card, phone)
 
 
-def _pattern(text: Column, span: Column) -> Column:
-    """The words around a span, lower-cased, numbers as 0."""
+def _patterns(text: Column, span: Column) -> Column:
+    """The words around a span, both and each alone, lower-cased, numbers as 0."""
     before = F.regexp_extract(F.substring(text, F.greatest(span["start"] - 39, F.lit(1)), F.least(span["start"], F.lit(40))), r"(\S+)\s*$", 1)
     after = F.regexp_extract(F.substring(text, span["end"] + 1, F.lit(40)), r"^\s*(\S+)", 1)
-    return F.regexp_replace(F.lower(F.concat_ws(" _ ", before, after)), "[0-9]+", "0")
+    both = F.regexp_replace(F.lower(F.concat_ws(" _ ", before, after)), "[0-9]+", "0")
+    left, right = F.substring_index(both, " _ ", 1), F.substring_index(both, " _ ", -1)
+    alone = F.array(F.when(left != "", F.concat(left, F.lit(" _"))), F.when(right != "", F.concat(F.lit("_ "), right)))
+    return F.array_compact(F.concat(F.array(both), alone))
 
 
 def found_rows(docs: DataFrame) -> DataFrame:
@@ -96,7 +102,7 @@ def found_rows(docs: DataFrame) -> DataFrame:
             column,
             lambda s: F.struct(
                 s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
-                _pattern(F.col("text"), s).alias("pattern"),
+                _patterns(F.col("text"), s).alias("patterns"),
             ),
         )
 
@@ -108,7 +114,7 @@ def found_rows(docs: DataFrame) -> DataFrame:
 def confident_patterns(rows: DataFrame, rounds: int, min_seeds: int, min_confidence: float) -> DataFrame:
     """(pattern, kind, confidence) that the graph of patterns and strings supports."""
     texts = rows.filter("size(base) > 0 or size(other) > 0").dropDuplicates(["key"])
-    each = texts.select(F.explode(F.concat("base", "other")).alias("s")).select("s.pattern", "s.value", "s.kind")
+    each = texts.select(F.explode(F.concat("base", "other")).alias("s")).select(F.explode("s.patterns").alias("pattern"), "s.value", "s.kind")
     links = materialize(each.distinct(), "pii-links")
     counts = links.groupBy("pattern").agg(
         F.count("*").alias("n"), *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(f"seeds_{k}") for k in KINDS]
@@ -135,14 +141,19 @@ def personal_data(
     """(doc_id, key, base, spans): base spans, and all spans by kind as listed, then start."""
     rows = materialize(found_rows(docs), "pii-rows")
     sure = materialize(confident_patterns(rows, rounds, min_seeds, min_confidence), "pii-confident")
-    best = sure.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("as_kind"))
+    best = sure.groupBy("pattern").agg(
+        F.max("confidence").alias("confidence"), F.max_by("kind", F.struct("confidence", "kind")).alias("as_kind")
+    )
     texts = rows.filter("size(other) > 0").select("key", "other").dropDuplicates(["key"])
-    more = texts.select("key", F.explode("other").alias("s")).select("key", "s.*").join(best, "pattern")
+    more = texts.select("key", F.explode("other").alias("s")).select("key", "s.*").withColumn("pattern", F.explode("patterns"))
+    more = more.join(best, "pattern").groupBy("key", "start", "end", "value").agg(
+        F.max_by("as_kind", F.struct("confidence", "as_kind")).alias("as_kind")
+    )
     more = more.groupBy("key").agg(
         F.collect_list(F.struct(F.col("as_kind").alias("kind"), "start", "end", "value")).alias("more")
     )
     both = spans.joined_by_text(rows.select("doc_id", "key", "base"), more, "pii-more")
-    base = F.col("base").cast(f"array<struct<kind:string,start:int,end:int,value:string,pattern:string>>")
+    base = F.col("base").cast(f"array<struct<kind:string,start:int,end:int,value:string,patterns:array<string>>>")
     base = F.transform(base, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     ranked = lambda a, b: (
         F.when(_rank(a) < _rank(b), -1).when(_rank(a) > _rank(b), 1).otherwise(a["start"] - b["start"])

@@ -86,3 +86,14 @@ def test_patterns_of_seeds_find_unseen_identifiers(spark):
     got = {r.doc_id: r.d for r in pii.personal_data(df, min_confidence=0.7).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
     assert got[50] == "phone:16:28" and got[51] == "phone:16:28"
     assert all(got[60 + i] == "" for i in range(9))
+
+
+def test_one_constant_cue_is_enough(spark):
+    """Planted cues with another word on the other side each time, with the production bounds."""
+    word = lambda i: "abcdefghijkl"[i] * 3
+    rows = [(i, f"{word(i)} call me +1 (20{i}) 555-01{i}{i} {word(i)}") for i in range(6)]
+    rows += [(10 + i, f"{word(i)} +49 30 1234{i}{i} whenever {word(i)}") for i in range(6)]
+    rows += [(50, "zzz call me 030-555-7700 yyy"), (51, "qqq 030-555-7811 whenever rrr"), (52, "sold 5550-9123 items")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.d for r in pii.personal_data(df).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
+    assert (got[50], got[51], got[52]) == ("phone:12:24", "phone:4:16", "")
