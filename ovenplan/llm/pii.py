@@ -10,7 +10,8 @@ per pattern and string, which is scored in turns:
   that count as that kind, with one doubtful string added;
 - a string counts as a kind as much as its best pattern for it (seeds: fully).
 
-After ``ROUNDS`` turns, patterns of at least ``MIN_SEEDS`` distinct seeds and
+A string that counts with ``MIN_CONFIDENCE`` is a seed in the next turn, so it can bring in
+patterns. After ``ROUNDS`` turns, patterns of at least ``MIN_SEEDS`` distinct seeds and
 ``MIN_CONFIDENCE`` add the other strings found in them as spans of their kind.
 All of it is column functions, joins and sums of partial sums; links are
 pre-aggregated, so a frequent pattern or string is one row per partner.
@@ -116,22 +117,23 @@ def confident_patterns(rows: DataFrame, rounds: int, min_seeds: int, min_confide
     texts = rows.filter("size(base) > 0 or size(other) > 0").dropDuplicates(["key"])
     each = texts.select(F.explode(F.concat("base", "other")).alias("s")).select(F.explode("s.patterns").alias("pattern"), "s.value", "s.kind")
     links = materialize(each.distinct(), "pii-links")
-    counts = links.groupBy("pattern").agg(
-        F.count("*").alias("n"), *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(f"seeds_{k}") for k in KINDS]
-    )
-    counts = materialize(counts.filter(F.greatest(*[F.col(f"seeds_{k}") for k in KINDS]) >= min_seeds), "pii-patterns")
-    seeds = F.create_map(*[x for k in KINDS for x in (F.lit(k), F.col(f"seeds_{k}"))])
-    counts = counts.select("pattern", "n", F.explode(seeds).alias("kind", "seeds")).filter(F.col("seeds") >= min_seeds)
-    unknown = links.filter("kind = ''").select("pattern", "value")
-    score = counts.withColumn("confidence", F.col("seeds") / (F.col("n") + 1))
-    for _ in range(rounds):
-        score = materialize(score, "pii-scores")
-        belief = unknown.join(score.select("pattern", "kind", "confidence"), "pattern")
-        belief = materialize(belief.groupBy("value", "kind").agg(F.max("confidence").alias("belief")), "pii-beliefs")
-        gained = unknown.join(belief, "value").groupBy("pattern", "kind").agg(F.sum("belief").alias("gained"))
-        score = counts.join(gained, ["pattern", "kind"], "left").withColumn(
-            "confidence", (F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("n") + 1)
+    size = materialize(links.groupBy("pattern").agg(F.count("*").alias("n")), "pii-patterns")
+    seeds = materialize(links.filter("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")), "pii-seeds")
+    unknown = materialize(links.filter("kind = ''").select("pattern", "value"), "pii-unknown")
+    found = seeds.withColumns({"gained": F.lit(0.0), "more": F.lit(0)})
+    for i in range(rounds + 1):
+        # Strings that are sure by now count as seeds, so patterns can enter in later rounds.
+        score = found.filter(F.col("seeds") + F.col("more") >= min_seeds).join(size, "pattern")
+        score = score.withColumn("confidence", (F.col("seeds") + F.col("gained")) / (F.col("n") + 1))
+        if i == rounds:
+            break
+        score = materialize(score.select("pattern", "kind", "confidence"), "pii-scores")
+        belief = unknown.join(score, "pattern").groupBy("value", "kind").agg(F.max("confidence").alias("belief"))
+        belief = materialize(belief, "pii-beliefs")
+        gained = unknown.join(belief, "value").groupBy("pattern", "kind").agg(
+            F.sum("belief").alias("gained"), F.count_if(F.col("belief") >= min_confidence).alias("more")
         )
+        found = seeds.join(gained, ["pattern", "kind"], "full").na.fill(0, ["seeds", "gained", "more"])
     return score.filter(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence")
 
 

@@ -97,3 +97,15 @@ def test_one_constant_cue_is_enough(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.d for r in pii.personal_data(df).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
     assert (got[50], got[51], got[52]) == ("phone:12:24", "phone:4:16", "")
+
+
+def test_discovered_strings_bring_in_patterns(spark):
+    rows = [(i, f"call me +1 (20{i % 10}) 555-{i + 1000} ok") for i in range(30)]
+    found = [f"030-555-77{i}{i}" for i in range(6)]
+    rows += [(100 + i, f"call me {v} {'abcdef'[i] * 3}") for i, v in enumerate(found)]
+    # Found above only; beside another cue they make it known.
+    rows += [(200 + i, f"{'abcdef'[i] * 4} reachable {v} {'abcdef'[i] * 5}") for i, v in enumerate(found)]
+    rows += [(300, "gggg reachable 030-555-9999 hhhh")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.d for r in pii.personal_data(df).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
+    assert got[100] == "phone:8:20" and got[300] == "phone:15:27"
