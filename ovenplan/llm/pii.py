@@ -48,7 +48,7 @@ EMAIL = (
 IP = r"[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Identifier-like strings, without outer marks.
+#: Identifier-like strings, without outer marks: 5 to 64 characters, no white space, a digit or @ among the first 25.
 CANDIDATE = r"(?<![\p{L}\p{N}@])(?=[\p{L}.,:_+()/-]{0,24}[0-9@])[\p{L}\p{N}+(][\p{L}\p{N}@._+()/-]{4,63}(?<![._+(/-])(?![\p{L}\p{N}@])"
 _LUHN_DOUBLE = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
 
@@ -95,7 +95,7 @@ def found_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, key, base, other): base spans and identifier-like strings beside them, with their patterns."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    other = F.filter(spans.matches(F.col("text"), CANDIDATE, ""), lambda s: F.length(_digits(s["value"])) >= 4)
+    other = F.filter(spans.matches(F.col("text"), CANDIDATE, ""), lambda s: (F.length(_digits(s["value"])) >= 4) | F.contains(s["value"], F.lit("@")))
     rows = rows.withColumn("other", F.filter(other, lambda s: spans.apart(s, F.col("base"))))
 
     def placed(column):

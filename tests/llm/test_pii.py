@@ -109,3 +109,10 @@ def test_discovered_strings_bring_in_patterns(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.d for r in pii.personal_data(df).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
     assert got[100] == "phone:8:20" and got[300] == "phone:15:27"
+
+
+def test_strings_with_an_at_are_candidates(spark):
+    rows = [(i, f"please write to user{i}@mail.com today") for i in range(8)] + [(50, "please write to name@intranet today")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.d for r in pii.personal_data(df).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
+    assert got[50] == "email:16:29"
