@@ -169,7 +169,7 @@ def _rank(span: Column) -> Column:
 
 
 def masked(text: Column, found: Column) -> Column:
-    """``text`` with its spans as <kind>; of overlapping spans the first one counts."""
+    """``text`` with its spans as <kind>; overlapping spans are masked as one, of the first one's kind."""
     in_order = F.array_sort(found, lambda a, b: F.when(a["start"] == b["start"], b["end"] - a["end"]).otherwise(a["start"] - b["start"]))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
@@ -181,7 +181,8 @@ def masked(text: Column, found: Column) -> Column:
                 F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("<"), s["kind"], F.lit(">"))),
             ).alias("parts"),
         )
-        return F.when(s["start"] >= acc["at"], new).otherwise(acc)
+        longer = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))
+        return F.when(s["start"] >= acc["at"], new).otherwise(longer)
 
     rest = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
     return F.when(F.size(found) > 0, F.aggregate(in_order, start, step, rest)).otherwise(text)

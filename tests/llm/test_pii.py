@@ -116,3 +116,10 @@ def test_strings_with_an_at_are_candidates(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.d for r in pii.personal_data(df).select("doc_id", spans.digest(F.col("spans")).alias("d")).collect()}
     assert got[50] == "email:16:29"
+
+
+def test_overlapping_spans_are_masked_whole(spark):
+    rows = [(1, "at +1 555 123 4567@mail.com now"), (2, "+1 555 123 4567 and a@b.cd"), (3, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.mask_documents(df).collect()}
+    assert got == {1: "at <phone> now", 2: "<phone> and <email>", 3: "none"}
