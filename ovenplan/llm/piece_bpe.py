@@ -40,6 +40,19 @@ CACHE_PAIRS = 1_000_000
 _LETTERS = r"[^\W\d_]"
 
 
+#: Chunks, from short to long ones; where one ends depends on the two characters there alone.
+_CHUNKS = [
+    rf"{SPACE}+{_LETTERS}*|\n|(?:[\d_]|[^\w{SPACE}\n])+{_LETTERS}*|{_LETTERS}+",
+    rf"{SPACE}+[^{SPACE}]*|[^{SPACE}]+",
+    r"(?s:.+)",
+]
+
+
+def chunk_pattern(pieces) -> str:
+    """The shortest chunks that cut none of ``pieces``."""
+    return next(c for c in _CHUNKS if all(re.fullmatch(c, p) and re.findall(c, p) == [p] for p in pieces if p))
+
+
 class PieceBpe:
     """Encoder and decoder of one model file."""
 
@@ -58,12 +71,7 @@ class PieceBpe:
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.silent = {i for i in range(len(self.pieces)) if model.is_control(i)}
-        whole = [p for p in self.id_of if not re.search(rf"{_LETTERS}[\W\d_]|[^{SPACE}]{SPACE}|\n", p)]
-        if len(whole) == len(self.id_of):
-            chunk = rf"{SPACE}+{_LETTERS}*|\n|(?:[\d_]|[^\w{SPACE}\n])+{_LETTERS}*|{_LETTERS}+"
-        else:
-            chunk = rf"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
-        self.chunks = re.compile(chunk).findall
+        self.chunks = re.compile(chunk_pattern(self.id_of)).findall
         self.pairs: dict[tuple[str, str], bool] = {}
         # Pieces that merging never makes can't be part of an encoding.
         real = [p for p in self.id_of if p.strip(SPACE) == "" or self.merge(p) == [p]]

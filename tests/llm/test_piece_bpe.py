@@ -79,3 +79,12 @@ def test_frames(spark):
         assert list(r.the_ids) == LIBRARY.encode(r.text or "") and r.back == (r.text or "")
     assert sorted(r.n_tokens for r in piece_bpe.digests(df, PATH).collect()) == sorted(len(LIBRARY.encode(t or "")) for _, t in rows)
     assert piece_bpe.digests(df.filter("false"), PATH).collect() == []
+
+
+def test_chunks_cut_no_piece():
+    import re
+
+    for pieces in (["▁the", "(", "12"], ["▁the", "▁("], ["²."], ["a▁b"], ["\n\n", "▁a"], ["▁▁", "▁-a"]):
+        found = re.compile(piece_bpe.chunk_pattern(pieces)).findall
+        assert all(found(p) == [p] for p in pieces)
+    assert piece_bpe.chunk_pattern(["▁the", "(", "12"]) != piece_bpe.chunk_pattern(["▁the", "▁("])
