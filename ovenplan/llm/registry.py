@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from ovenplan.llm import (
+    concat_cut,
     context_tree,
     lang_id,
     line_dedup,
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         packing.op8_best_fit_packing,
         lang_id.op9_language_id,
         simhash.op10_simhash_near_dedup,
+        concat_cut.op11_concat_and_cut,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
