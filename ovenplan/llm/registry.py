@@ -13,6 +13,7 @@ from ovenplan.llm import (
     lang_id,
     line_dedup,
     packing,
+    periodic,
     piece_bpe,
     pii,
     quality,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lang_id.op9_language_id,
         simhash.op10_simhash_near_dedup,
         concat_cut.op11_concat_and_cut,
+        periodic.op12_periodic_runs,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
