@@ -11,6 +11,7 @@ from ovenplan.llm import (
     concat_cut,
     context_tree,
     lang_id,
+    lexical,
     line_dedup,
     packing,
     periodic,
@@ -37,9 +38,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         simhash.op10_simhash_near_dedup,
         concat_cut.op11_concat_and_cut,
         periodic.op12_periodic_runs,
+        lexical.op13_ranked_search,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op13_ranked_search": lexical.ORACLE}
