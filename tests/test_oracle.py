@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from ovenplan.plans import registry
+from ovenplan.plans import oracle, registry
 
 from .conftest import SF_SMALL
 
@@ -53,10 +53,10 @@ SPARK_TO_DUCK = {
 }
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_query_matches_sql(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
-    rel = con.sql(entry.oracle_sql()[key])
+    df = registry.queries()[key](spark, SF_SMALL)
+    rel = con.sql(oracle.oracle_sql()[key])
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(rel.columns, rel.fetchall())
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
     duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
