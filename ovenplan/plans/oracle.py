@@ -211,6 +211,7 @@ SELECT s.period, s.product_key, COALESCE(d.description, 'Unknown') AS product_na
 FROM sales s LEFT JOIN dim d ON s.product_key = d.ref_key""",
     )
     q["daily_rollup"] = with_ctes(*BASE, body="SELECT * FROM daily")
+    q["rollup_incremental"] = q["daily_rollup"]
     q["daily_rollup_no_dim"] = with_ctes(
         SALES,
         body=f"""

@@ -16,7 +16,7 @@ from __future__ import annotations
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,29 @@ def land_windows(spark: SparkSession, sales: DataFrame, windows: DataFrame, path
     return starts
 
 
+def latest_runs(windows: DataFrame) -> DataFrame:
+    """week, day, run: of each day that ``windows`` (rows of the manifest) cover, its latest run."""
+    return days_of(windows, "run").groupBy("week", "day").agg(F.max("run").alias("run"))
+
+
+def records_of_days(spark: SparkSession, path: str, latest: list[Row]) -> DataFrame:
+    """The landed records of ``latest``: week, day and run of some days, at most one row per calendar day.
+
+    The runs and weeks are literals in the query, so other partitions are not
+    listed as input; the days bound ``period``, which reaches the scan.
+    """
+    days = spark.createDataFrame([(r.week, r.day, r.run) for r in latest], "week date, day date, run long")
+    rows = landed_records(spark, path)
+    if latest:
+        first, last = min(r.day for r in latest), max(r.day for r in latest)
+        rows = rows.where(F.col("run").isin({r.run for r in latest}) & F.col("week").isin({r.week for r in latest}))
+        rows = rows.where(F.col("period") >= F.lit(first).cast("timestamp_ntz"))
+        rows = rows.where(F.col("period") < F.date_add(F.lit(last), 1).cast("timestamp_ntz"))
+    # At most one row per calendar day: broadcast.
+    rows = rows.withColumn("day", F.to_date("period")).join(F.broadcast(days), ["run", "week", "day"])
+    return conform(rows, SALES)
+
+
 def merge_chunks(spark: SparkSession, path: str) -> DataFrame:
     """The landed records, of each day those of its latest run, with the sales schema."""
     latest = days_of(manifest(spark, path), "run").groupBy("week", "day").agg(F.max("run").alias("run"))
