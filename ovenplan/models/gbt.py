@@ -22,7 +22,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ovenplan.operators import dimension, exogenous, series
+from ovenplan.operators import dimension, exogenous, series, series_state
 from ovenplan.operators.evaluation import predictions, regression_metrics
 from ovenplan.operators.forecast import DAYS_BACK, active_series
 
@@ -150,6 +150,40 @@ def serving_frame(
     return frame.where(F.col("date") == day).drop("quantity", "amount", "product_name", "log_target")
 
 
+def temperature_fill(daily: DataFrame, weather: DataFrame, fit_before) -> float | None:
+    """What missing temperatures become in the training frame with this ``fit_before``."""
+    rows = daily.where(F.col("date") < F.lit(fit_before).cast("date"))
+    w = exogenous.one_per_day(weather.select("date", "temperature"))
+    return rows.sparkSession.range(1).select(exogenous.row_weighted_median(rows, w, "temperature").alias("t")).first().t
+
+
+def serving_frame_from_state(
+    state: DataFrame,
+    weather: DataFrame,
+    holidays: DataFrame | None,
+    nomenclature: DataFrame | None,
+    target,
+    fill: float | None,
+    days_back: int = DAYS_BACK,
+) -> DataFrame:
+    """:func:`serving_frame` from the series' state of the day before ``target``: no history is read.
+
+    ``fill`` stands in for a missing temperature (:func:`temperature_fill`). The
+    rollup's quantities are positive, so a series is active if its last row is recent.
+    """
+    day = F.lit(target).cast("date")
+    known = dimension.with_category(state, nomenclature)
+    rows = known.where(F.col("last_date") >= F.date_sub(day, days_back)).withColumn("date", day)
+    rows = rows.select("date", "product_key", "warehouse_key", "category", *series_state.feature_columns())
+    rows = exogenous.with_calendar(rows, holidays, iso_week=True, cyclic=True)
+    rows = exogenous.with_weather(rows, weather, fill_median=False)
+    rows = rows.withColumn("temperature", F.coalesce("temperature", F.lit(fill).cast("double")))
+    for name, keys in KEY_GROUPS.items():
+        total = known.groupBy(*keys).agg((F.sum("quantity_sum") / F.sum("n")).alias(f"{name}_mean"))
+        rows = rows.join(total, keys)
+    return rows.withColumnRenamed("trailing_price", "avg_price")
+
+
 def _pipeline(fs: FeatureSet, max_iter: int, max_bins: int, seed: int) -> Pipeline:
     assembler = VectorAssembler(inputCols=fs.features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(

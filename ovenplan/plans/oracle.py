@@ -66,6 +66,7 @@ MONEY = "CAST(COALESCE(SUM(CAST({x} AS DECIMAL(18, 2))), 0) AS DOUBLE)"
 SERIES_W = "PARTITION BY product_key, warehouse_key ORDER BY date"
 CUTOFF = "DATE '2001-01-01'"
 TARGET = "DATE '2001-11-05'"
+STATE_CUTOFF = "DATE '2001-10-26'"
 
 
 def money(x: str = "amount") -> str:
@@ -311,6 +312,22 @@ SELECT date, product_key, warehouse_key, quantity, CASE WHEN ma30 > 0 THEN ma7 /
 FROM m""",
     )
 
+    q["series_features_incremental"] = with_ctes(
+        *BASE,
+        ewma_cte((7, 14)),
+        f"""
+f AS (SELECT date, product_key, warehouse_key, quantity, {lags}, {mas},
+             COALESCE({trailing("STDDEV_SAMP(quantity)", 7)}, 0) AS std,
+             {trailing("AVG(quantity)", 7)} AS ma7, {trailing("AVG(quantity)", 30)} AS ma30
+      FROM daily)""",
+        body=f"""
+SELECT date, product_key, warehouse_key, f.quantity, lag_1, lag_7, lag_14, lag_30, ma_7, ma_14, ma_30,
+       round_even(std, 9) AS std_7, round_even(ewma_7, 6) AS ewma_7, round_even(ewma_14, 6) AS ewma_14,
+       CASE WHEN ma30 > 0 THEN ma7 / ma30 ELSE 1.0 END AS trend_7_30
+FROM f JOIN ewma USING (date, product_key, warehouse_key)
+WHERE date >= {STATE_CUTOFF}""",
+    )
+
     # ---- reports
     q["daily_totals"] = with_ctes(
         *BASE, body=f"SELECT date, SUM(quantity) AS quantity, {money()} AS amount FROM daily GROUP BY date"

@@ -10,6 +10,7 @@ digits, in the query and in its SQL alike.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ovenplan.functions import guarded_ratio, round_half_even
 from ovenplan.models import gbt
-from ovenplan.operators import dimension, evaluation, exogenous, forecast, reports, rollup, series
+from ovenplan.operators import dimension, evaluation, exogenous, forecast, reports, rollup, series, series_state
 from ovenplan.schemas import SALES
 from ovenplan.session import materialize, shared_dir
 from ovenplan.sources import files, landing, payloads
@@ -33,6 +34,7 @@ CUTOFF = "2001-01-01"
 STOP_CUTOFF = "2000-07-01"
 TARGET = "2001-11-05"
 EXTEND_DAYS = 14
+STATE_CUTOFF = dt.date(2001, 10, 26)
 GAP_FROM, GAP_TO = "1997-03-01", "1997-04-01"
 
 KEYS = ["date", "product_key", "warehouse_key"]
@@ -180,6 +182,17 @@ def q_series_trend(spark, sf):
     return _series(spark, sf, trend=(7, 30)).select(*KEYS, "quantity", "trend_7_30")
 
 
+def q_series_features_incremental(spark, sf):
+    """The state of the days before ``STATE_CUTOFF``, then day by day: every series feature of the days from it on."""
+    i = Inputs(spark, sf)
+    path = shared_dir(spark, "series-state")
+    series_state.start(spark, path, i.daily_table, STATE_CUTOFF)
+    _, found = series_state.advance(spark, path, i.daily_table, dt.date.fromisoformat(TARGET))
+    digits = {"std_7": 9, "ewma_7": 6, "ewma_14": 6}
+    names = ["lag_1", "lag_7", "lag_14", "lag_30", "ma_7", "ma_14", "ma_30", "std_7", "ewma_7", "ewma_14", "trend_7_30"]
+    return found.select(*KEYS, "quantity", *[r(c, digits[c]).alias(c) if c in digits else c for c in names])
+
+
 # ---- reports -------------------------------------------------------------------------
 
 
@@ -477,6 +490,7 @@ def queries() -> dict[str, Query]:
         "series_volatility": q_series_volatility,
         "series_ewma": q_series_ewma,
         "series_trend": q_series_trend,
+        "series_features_incremental": q_series_features_incremental,
         "daily_totals": q_daily_totals,
         "daily_totals_ma7": q_daily_totals_ma7,
         "top_products_by_amount": q_top_products_by_amount,
