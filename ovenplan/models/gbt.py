@@ -1,27 +1,22 @@
 """Gradient-boosted demand models with Spark ML.
 
-Three feature sets (baseline, v2, v3) over one training frame. Each model
-is a ``Pipeline[VectorAssembler, GBTRegressor]``; tree building runs as
-distributed jobs over the feature frame. Product, warehouse, series and
-category keys enter as means over earlier days.
-
-Early stopping: fit twice the patience in trees, score the stopping set at
-every iteration (``evaluateEachIteration``, absolute error), and fit twice as
-many until the patience is met or ``max_iter`` reached; then refit with the
-best number of trees (same seed, no subsampling, so fewer trees are the
-prefix of more).
+Three feature sets (baseline, v2, v3) over one training frame. Product,
+warehouse, series and category keys enter as means over earlier days. Trees are
+built one at a time from the margin of the earlier ones
+(:mod:`ovenplan.models.boosting`): errors on the stopping set are known after each, the
+patience ends the run, and the best first trees are the model.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ovenplan.models import boosting
 from ovenplan.operators import dimension, exogenous, series, series_state
 from ovenplan.operators.evaluation import predictions, regression_metrics
 from ovenplan.operators.forecast import DAYS_BACK, active_series
@@ -44,8 +39,8 @@ class FeatureSet:
     max_iter: int = 500
     depth: int = 6
     step_size: float = 0.05
-    min_instances_per_node: int = 1
     patience: int = 50
+    l2: float = 0.0
 
     @property
     def features(self) -> list[str]:
@@ -53,7 +48,7 @@ class FeatureSet:
 
 
 # The three model configurations (labels, feature lists, trees
-# at most, depth, learning rate, patience).
+# at most, depth, learning rate, patience, L2 penalty of leaf values).
 CALENDAR = ["day_of_week", "month", "day_of_year", "is_weekend", "is_holiday"]
 CALENDAR_ISO = ["day_of_week", "month", "day_of_year", "week_of_year", "is_weekend", "is_holiday"]
 CYCLIC = ["dow_sin", "dow_cos", "month_sin", "month_cos", "doy_sin", "doy_cos"]
@@ -77,12 +72,13 @@ V3 = FeatureSet(
     log_target=True,
     max_iter=1500,
     depth=7,
-    min_instances_per_node=3,
     patience=100,
+    l2=3.0,
 )
 
 FEATURE_SETS = {fs.name: fs for fs in (BASELINE, V2, V3)}
-ABOUT = "model string, iterations int"
+ABOUT = "model string, iterations int, l2 boolean"
+LEAVES = "tree int, leaf_values array<double>"
 
 
 def training_frame(
@@ -184,23 +180,6 @@ def serving_frame_from_state(
     return rows.withColumnRenamed("trailing_price", "avg_price")
 
 
-def _pipeline(fs: FeatureSet, max_iter: int, max_bins: int, seed: int) -> Pipeline:
-    assembler = VectorAssembler(inputCols=fs.features, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=max_iter,
-        maxDepth=fs.depth,
-        stepSize=fs.step_size,
-        minInstancesPerNode=fs.min_instances_per_node,
-        maxBins=max_bins,
-        seed=seed,
-        lossType="squared",
-        subsamplingRate=1.0,
-    )
-    return Pipeline(stages=[assembler, gbt])
-
-
 def _labelled(df: DataFrame, fs: FeatureSet) -> DataFrame:
     label = F.col("log_target") if fs.log_target else F.col("quantity")
     return df.withColumn("label", label.cast("double"))
@@ -223,21 +202,25 @@ class FittedModel:
     model: PipelineModel
     iterations: int
     stop_errors: list[float]
+    #: With an L2 penalty: of each tree the weighted values of its leaves, by leaf id.
+    leaves: list[list[float]] | None = None
 
     def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         """Predictions in units: ``expm1`` and clamp at 0 for log-target models."""
         scored = self.model.transform(df)
         p = F.col("prediction")
+        if self.leaves is not None:
+            p = boosting.leaf_prediction(self.leaves)
         if self.feature_set.log_target:
             p = F.greatest(F.expm1(p), F.lit(0.0))
-        cols = [c for c in scored.columns if c not in ("features", "prediction", "label")]
+        cols = [c for c in scored.columns if c not in ("features", "leaves", "prediction", "label")]
         return scored.select(*cols, p.alias(output))
 
     def feature_importance(self, spark) -> DataFrame:
-        gbt = self.model.stages[-1]
         names = self.feature_set.features
-        imp = gbt.featureImportances.toArray().tolist()
-        rows = [(n, float(v) * 100.0) for n, v in zip(names, imp)]
+        # The vector ends at the last feature that a tree splits on.
+        imp = self.model.stages[-1].featureImportances.toArray().tolist()
+        rows = [(n, float(v) * 100.0) for n, v in zip(names, imp + [0.0] * (len(names) - len(imp)))]
         df = spark.createDataFrame(rows, "feature string, importance double")
         return df.orderBy(F.col("importance").desc(), "feature")
 
@@ -251,22 +234,21 @@ def fit(
     seed: int = 42,
 ) -> FittedModel:
     """Fit at most ``max_iter`` trees, stopping early on ``stop`` (all of them when ``stop`` is None)."""
-    cap = max_iter or fs.max_iter
-    labelled = _labelled(train, fs)
-    if stop is None:
-        return FittedModel(fs, _pipeline(fs, cap, max_bins, seed).fit(labelled), cap, [])
-    n = min(cap, 2 * fs.patience)
-    while True:
-        model = _pipeline(fs, n, max_bins, seed).fit(labelled)
-        feats = PipelineModel(stages=model.stages[:-1]).transform(_labelled(stop, fs))
-        errors = list(model.stages[-1].evaluateEachIteration(feats, "absolute"))
-        best = best_iteration(errors, fs.patience)
-        if n == cap or n >= best + fs.patience:
-            break
-        n = min(cap, 2 * n)
-    if best < n:
-        model = _pipeline(fs, best, max_bins, seed).fit(labelled)
-    return FittedModel(fs, model, best, errors)
+    assembler = VectorAssembler(inputCols=fs.features, outputCol="features", handleInvalid="keep")
+    ensemble, errors = boosting.boost(
+        assembler.transform(_labelled(train, fs)),
+        None if stop is None else assembler.transform(_labelled(stop, fs)),
+        max_iter or fs.max_iter,
+        fs.patience,
+        best_iteration,
+        l2=fs.l2,
+        step_size=fs.step_size,
+        maxDepth=fs.depth,
+        maxBins=max_bins,
+        seed=seed,
+    )
+    model = PipelineModel(stages=[assembler, ensemble.model().setLeafCol("leaves")])
+    return FittedModel(fs, model, len(ensemble.trees), errors, ensemble.weighted_leaves())
 
 
 def evaluate(fitted: FittedModel, test: DataFrame) -> DataFrame:
@@ -291,13 +273,20 @@ def validation_predictions(fitted: FittedModel, test: DataFrame) -> DataFrame:
 
 
 def save(fitted: FittedModel, path: str) -> None:
-    """The pipeline with, beside its stages, its feature set's name and number of trees."""
+    """The pipeline with, beside its stages, its feature set's name, number of trees and leaf values."""
     fitted.model.write().overwrite().save(path)
-    about = [(fitted.feature_set.name, fitted.iterations)]
-    SparkSession.active().createDataFrame(about, ABOUT).coalesce(1).write.json(f"{path}/about")
+    spark = SparkSession.active()
+    about = [(fitted.feature_set.name, fitted.iterations, fitted.leaves is not None)]
+    spark.createDataFrame(about, ABOUT).coalesce(1).write.json(f"{path}/about")
+    if fitted.leaves is not None:
+        spark.createDataFrame(list(enumerate(fitted.leaves)), LEAVES).coalesce(1).write.parquet(f"{path}/leaves")
 
 
 def load(path: str, fs: FeatureSet | None = None) -> FittedModel:
     """A saved model; ``fs`` is needed only for a feature set that is not one of ``FEATURE_SETS``."""
-    about = SparkSession.active().read.schema(ABOUT).json(f"{path}/about").first()
-    return FittedModel(fs or FEATURE_SETS[about.model], PipelineModel.load(path), about.iterations, [])
+    spark = SparkSession.active()
+    about, leaves = spark.read.schema(ABOUT).json(f"{path}/about").first(), None
+    if about.l2:
+        # At most one row per tree.
+        leaves = [r.leaf_values for r in sorted(spark.read.schema(LEAVES).parquet(f"{path}/leaves").collect())]
+    return FittedModel(fs or FEATURE_SETS[about.model], PipelineModel.load(path), about.iterations, [], leaves)
