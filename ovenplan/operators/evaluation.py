@@ -9,12 +9,15 @@ tenths, so they are independent of evaluation order.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ovenplan.functions import clamp_zero, exact_avg, pct_diff, round_half_even, round_to_long, units
+from ovenplan.operators import selection
 from ovenplan.operators.ordering import running_before
+from ovenplan.session import materialize
 
 # Status bands of |diff %| (ok below the first, warn below the second).
 PRODUCT_BANDS = (15.0, 30.0)
@@ -42,25 +45,32 @@ def ordered_split(df: DataFrame, test_size: float = 0.2, keys: tuple[str, ...] =
     """``train_test_split(test_size, shuffle=False)`` over rows ordered by (date, keys).
 
     The last ``ceil(test_size * n)`` rows are ``test``. Rows are counted per
-    date, the running count gives each date's first position (no global
-    row window), and only rows of the one date that straddles the boundary
-    are ranked inside their date.
+    date, the running count gives the date that straddles the boundary, and
+    :func:`ovenplan.operators.selection.row_at` finds the first test row's keys in
+    it from counts per key prefix. Rows are then told apart by comparing them with
+    that row: no row is ranked or moved. Of rows with the same date and keys as
+    that one some may be on either side; they alone are numbered and written.
+    Runs when called; pass a written table, it is read several times.
     """
     per_date = df.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
     pos = running_before(per_date, "_n", "_start")
-    total = per_date.agg(F.sum("_n")).scalar()
-    boundary = total - F.ceil(total * F.lit(float(test_size)))
-    labelled = df.join(pos.select("date", "_start", "_n"), "date")
-    straddles = (F.col("_start") < boundary) & (F.col("_start") + F.col("_n") > boundary)
-    # Whole dates left or right of the boundary need no rank; rank the one date across it.
-    whole = labelled.where(~straddles).withColumn("_pos", F.col("_start"))
-    cut = labelled.where(straddles).withColumn(
-        "_pos", F.col("_start") + F.row_number().over(Window.partitionBy("date").orderBy(*keys)) - 1
-    )
-    both = whole.unionByName(cut)
-    return both.withColumn("split", F.when(F.col("_pos") < boundary, "train").otherwise("test")).drop(
-        "_start", "_n", "_pos"
-    )
+    total = per_date.agg(F.sum("_n")).first()[0] or 0
+    boundary = total - math.ceil(total * test_size)
+    label = lambda train: F.when(train, "train").otherwise("test").alias("split")
+    # At most one row: the date that holds the first test row.
+    cut = pos.where((F.col("_start") <= boundary) & (F.col("_start") + F.col("_n") > boundary)).first()
+    if cut is None:
+        return df.select("*", label(F.lit(boundary > 0)))
+    day = F.col("date").eqNullSafe(F.lit(cut.date))
+    found = selection.row_at(df.where(day), keys, boundary - cut._start)
+    train = (F.col("date") < F.lit(cut.date)) | (day & selection.before_row(df, found, keys))
+    if not found.before:
+        return df.select("*", label(train))
+    same = day & selection.at_row(df, found, keys)
+    numbered = materialize(df.where(same).withColumn("_number", F.monotonically_increasing_id()), "boundary-rows")
+    first = selection.row_at(numbered, ("_number",), found.before)
+    ties = numbered.select(*df.columns, label(F.col("_number") < first.keys[0]))
+    return df.where(~same).select("*", label(train)).unionAll(ties)
 
 
 def _metric_columns(y: Column, p: Column) -> list[Column]:
