@@ -526,6 +526,7 @@ SELECT p.window_start, p.window_end FROM planned p
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.window_start = p.window_start AND l.window_end >= p.window_end)""",
     )
     q["merge_chunks"] = with_ctes(SALES, body="SELECT * FROM sales")
+    q["landing_compacted"] = q["merge_chunks"]
     q["parse_sales_json"] = with_ctes(
         SALES, body="SELECT period, product_key, warehouse_key, quantity, amount FROM sales"
     )

@@ -384,6 +384,17 @@ def q_merge_chunks(spark, sf):
     return landing.merge_chunks(spark, path)
 
 
+def q_landing_compacted(spark, sf):
+    """Land all, land a month again, compact and clean up: every record once."""
+    sales = Inputs(spark, sf).sales
+    path = _land_all(spark, sales)
+    gap = landing.week_windows(spark.createDataFrame([(GAP_FROM, GAP_TO)], "date_from string, date_to string"))
+    landing.land_windows(spark, sales, gap, path)
+    landing.compact(spark, path)
+    landing.vacuum(spark, path)
+    return landing.merge_chunks(spark, path)
+
+
 def q_parse_sales_json(spark, sf):
     return payloads.parse_sales_payloads(payloads.sales_payloads(Inputs(spark, sf).sales))
 
@@ -519,6 +530,7 @@ def queries() -> dict[str, Query]:
         "week_windows": q_week_windows,
         "pending_windows": q_pending_windows,
         "merge_chunks": q_merge_chunks,
+        "landing_compacted": q_landing_compacted,
         "parse_sales_json": q_parse_sales_json,
         "parse_weather_json": q_parse_weather_json,
         "ingest_available_now": q_ingest_available_now,

@@ -85,9 +85,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this job wrote under the shared folder and no frame in use reads any more."""
     if not path.startswith(checkpoint_root(spark) + "/"):
         raise ValueError(f"{path} is not under the shared folder")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_folder(spark, path)

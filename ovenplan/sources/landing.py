@@ -13,6 +13,7 @@ the range grows.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ovenplan.schemas import SALES
+from ovenplan.session import delete_folder
 from ovenplan.sources.files import conform
 
 MANIFEST = T.StructType().add("window_start", "date").add("window_end", "date").add("run", "long")
@@ -119,7 +121,62 @@ def records_of_days(spark: SparkSession, path: str, latest: list[Row]) -> DataFr
 
 def merge_chunks(spark: SparkSession, path: str) -> DataFrame:
     """The landed records, of each day those of its latest run, with the sales schema."""
-    latest = days_of(manifest(spark, path), "run").groupBy("week", "day").agg(F.max("run").alias("run"))
-    # At most one row per calendar day: broadcast.
-    rows = landed_records(spark, path).withColumn("day", F.to_date("period"))
-    return conform(rows.join(F.broadcast(latest), ["run", "week", "day"]), SALES)
+    # At most one row per landed calendar day; partitions of superseded runs are not read.
+    return records_of_days(spark, path, latest_runs(manifest(spark, path)).collect())
+
+
+def _consecutive(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """(first, last) of each stretch of consecutive days."""
+    found: list[tuple[dt.date, dt.date]] = []
+    for day in sorted(days):
+        if found and found[-1][1] + dt.timedelta(days=1) == day:
+            found[-1] = (found[-1][0], day)
+        else:
+            found.append((day, day))
+    return found
+
+
+def compact(spark: SparkSession, path: str) -> list[dt.date]:
+    """Rewrite the weeks whose days come from several runs as one run; returns those weeks.
+
+    Their records, of each day the latest run's, are written as a run numbered just
+    after the newest one, then its windows are appended to the manifest as one file.
+    That file is the swap: before it the new run counts for nothing and all is read
+    as before, after it the new run is the latest of its days. A run landed meanwhile has a
+    later number and is newer still. A compaction that failed is simply run again: it
+    replaces what the failed one wrote. :func:`vacuum` deletes what no day reads any more.
+    """
+    # At most one row per landed calendar day.
+    latest = latest_runs(manifest(spark, path)).collect()
+    runs: dict[dt.date, set[int]] = {}
+    for r in latest:
+        runs.setdefault(r.week, set()).add(r.run)
+    weeks = sorted(w for w, own in runs.items() if len(own) > 1)
+    if not weeks:
+        return []
+    rewritten = [r for r in latest if len(runs[r.week]) > 1]
+    run = max(r.run for r in latest) + 1
+    rows = records_of_days(spark, path, rewritten).withColumn("run", F.lit(run).cast("long"))
+    rows = rows.withColumn("week", F.to_date(F.trunc(F.to_date("period"), "week")))
+    write = rows.hint("rebalance", "week").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write.partitionBy("run", "week").parquet(f"{path}/data")
+    windows = [(first, last, run) for first, last in _consecutive([r.day for r in rewritten])]
+    spark.createDataFrame(windows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return weeks
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete the (run, week) folders that no day's latest run is in; returns how many.
+
+    Folders of runs that are not in the manifest stay, as one may be landing now.
+    Nothing may still be reading the state from before the last landing or compaction.
+    """
+    windows = manifest(spark, path)
+    listed = {r.run for r in windows.select("run").distinct().collect()}
+    live = {(r.run, r.week) for r in latest_runs(windows).collect()}
+    # One row per folder: no column of the files is read.
+    held = {(r.run, r.week) for r in landed_records(spark, path).select("run", "week").distinct().collect()}
+    dead = [(run, week) for run, week in held - live if run in listed]
+    for run, week in dead:
+        delete_folder(spark, f"{path}/data/run={run}/week={week}")
+    return len(dead)
