@@ -157,3 +157,33 @@ def with_series_features(
         filled = {n: F.nanvl(F.coalesce(F.col(n), F.lit(0.0)), F.lit(0.0)).alias(n) for n in names}
         out = out.select(*[filled.get(c, F.col(c)) for c in out.columns])
     return out
+
+
+def with_calendar_features(
+    daily: DataFrame,
+    value: str = "quantity",
+    keys: Sequence[str] = SERIES_KEYS,
+    lags: Sequence[int] = (7, 14, 30),
+    moving_avgs: Sequence[int] = (7, 14, 30),
+    std_window: int | None = 7,
+    fill_zero: bool = True,
+) -> DataFrame:
+    """Features that count calendar days instead of selling days.
+
+    * ``lag_k``: the value exactly k days before, if the series sold that day.
+    * ``ma_n``, ``std_n``: mean and sample standard deviation (at least two rows) of the
+      selling days among the n days before.
+
+    RANGE frames over the day number: all share one ``Window`` over one sort, and a
+    gap in a series needs no filled-in row. ``fill_zero`` as in :func:`with_series_features`.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.unix_date("date"))
+    v = F.col(value)
+    # A series has at most one row per day, so the largest value of a day is its value.
+    feats = {f"lag_{k}": F.max(v).over(w.rangeBetween(-k, -k)) for k in lags}
+    feats |= {f"ma_{n}": F.avg(v).over(w.rangeBetween(-n, -1)) for n in moving_avgs}
+    if std_window:
+        feats[f"std_{std_window}"] = F.stddev_samp(v).over(w.rangeBetween(-std_window, -1))
+    if fill_zero:
+        feats = {n: F.coalesce(c, F.lit(0.0)) for n, c in feats.items()}
+    return daily.select("*", *[c.alias(n) for n, c in feats.items()])

@@ -312,6 +312,16 @@ SELECT date, product_key, warehouse_key, quantity, CASE WHEN ma30 > 0 THEN ma7 /
 FROM m""",
     )
 
+    ago = "RANGE BETWEEN INTERVAL {} DAY PRECEDING AND INTERVAL {} DAY PRECEDING"
+    q["series_calendar_lags"] = with_ctes(
+        *BASE,
+        body=f"""
+SELECT date, product_key, warehouse_key, quantity,
+       {", ".join(f"COALESCE(MAX(quantity) OVER ({SERIES_W} {ago.format(k, k)}), 0) AS lag_{k}" for k in (1, 7, 14, 30))},
+       {", ".join(f"COALESCE(AVG(quantity) OVER ({SERIES_W} {ago.format(k, 1)}), 0) AS ma_{k}" for k in (7, 14, 30))},
+       round_even(COALESCE(STDDEV_SAMP(quantity) OVER ({SERIES_W} {ago.format(7, 1)}), 0), 9) AS std_7
+FROM daily""",
+    )
     q["series_features_incremental"] = with_ctes(
         *BASE,
         ewma_cte((7, 14)),
@@ -452,6 +462,16 @@ SELECT product_name, CAST(trunc(fact_raw) AS BIGINT) AS fact, CAST(round_even(fo
        CASE WHEN ABS(diff_pct) < 15 THEN 'ok' WHEN ABS(diff_pct) < 30 THEN 'warn' ELSE 'bad' END AS status
 FROM d""",
     )
+    q["validation_from_csv"] = q["validation_by_product"]
+    naive = [(1, "naive_lag_7", "lag_7"), (2, "naive_ma_7", "ma_7"), (3, "naive_ma_30", "ma_30"), (4, "naive_ewma_7", "ewma_7")]
+    q["metrics_log"] = with_ctes(
+        *BASE,
+        ewma_cte((7,)),
+        NAIVE,
+        body=" UNION ALL ".join(
+            f"SELECT seq, model, mae, rmse, mape, r2, 'quantity' AS features FROM ({metrics_select(*m)})" for m in naive
+        ),
+    )
     q["validation_by_day"] = with_ctes(
         *BASE,
         ewma_cte((7,)),

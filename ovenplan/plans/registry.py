@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from ovenplan.functions import guarded_ratio, round_half_even
 from ovenplan.models import gbt
 from ovenplan.operators import dimension, evaluation, exogenous, forecast, reports, rollup, series, series_state
-from ovenplan.schemas import SALES
+from ovenplan.schemas import METRICS, PREDICTIONS, SALES
 from ovenplan.session import materialize, shared_dir
-from ovenplan.sources import files, landing, payloads
+from ovenplan.sources import files, landing, payloads, sinks
 from ovenplan.sources import testdata as td
 from ovenplan.streaming import ingest, rollup_view
 
@@ -182,6 +182,12 @@ def q_series_trend(spark, sf):
     return _series(spark, sf, trend=(7, 30)).select(*KEYS, "quantity", "trend_7_30")
 
 
+def q_series_calendar_lags(spark, sf):
+    df = series.with_calendar_features(Inputs(spark, sf).daily, lags=(1, 7, 14, 30))
+    names = ["lag_1", "lag_7", "lag_14", "lag_30", "ma_7", "ma_14", "ma_30"]
+    return df.select(*KEYS, "quantity", *names, r("std_7", 9).alias("std_7"))
+
+
 def q_series_features_incremental(spark, sf):
     """The state of the days before ``STATE_CUTOFF``, then day by day: every series feature of the days from it on."""
     i = Inputs(spark, sf)
@@ -303,6 +309,24 @@ def q_validation_by_product(spark, sf):
     return evaluation.validation_by_product(_predictions(spark, sf))
 
 
+def q_validation_from_csv(spark, sf):
+    """The predictions written as CSV by one job and validated from the file by another."""
+    path = shared_dir(spark, "predictions")
+    sinks.write_csv_report(_predictions(spark, sf), path)
+    lines = files.read_csv_checked(spark, path, PREDICTIONS)
+    return evaluation.validation_by_product(files.accepted(lines))
+
+
+def q_metrics_log(spark, sf):
+    """Each naive model's run appended to a log, the first two twice: one row each."""
+    path = shared_dir(spark, "metrics-log")
+    metrics = materialize(_naive_metrics(_naive(spark, sf), NAIVE_MODELS), "naive_metrics")
+    rows = files.conform(metrics.withColumn("features", F.lit("quantity")), METRICS)
+    for runs in ([1], [2], [1, 2], [3, 4]):
+        sinks.append_metrics(rows.where(F.col("seq").isin(runs)), path)
+    return sinks.read_metrics(spark, path)
+
+
 def q_validation_by_day(spark, sf):
     return evaluation.validation_by_day(_predictions(spark, sf))
 
@@ -502,6 +526,7 @@ def queries() -> dict[str, Query]:
         "series_ewma": q_series_ewma,
         "series_trend": q_series_trend,
         "series_features_incremental": q_series_features_incremental,
+        "series_calendar_lags": q_series_calendar_lags,
         "daily_totals": q_daily_totals,
         "daily_totals_ma7": q_daily_totals_ma7,
         "top_products_by_amount": q_top_products_by_amount,
@@ -518,6 +543,8 @@ def queries() -> dict[str, Query]:
         "model_comparison": q_model_comparison,
         "validation_overall": q_validation_overall,
         "validation_by_product": q_validation_by_product,
+        "validation_from_csv": q_validation_from_csv,
+        "metrics_log": q_metrics_log,
         "validation_by_day": q_validation_by_day,
         "validation_daily_accuracy": q_validation_daily_accuracy,
         "recent_sales": q_recent_sales,

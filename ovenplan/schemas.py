@@ -45,6 +45,17 @@ DAILY = T.StructType(
     ]
 )
 
+PREDICTIONS = T.StructType(
+    [
+        T.StructField("date", T.DateType(), True),
+        T.StructField("product_name", T.StringType(), True),
+        T.StructField("warehouse_key", T.StringType(), True),
+        T.StructField("quantity", T.DoubleType(), True),
+        T.StructField("predicted", T.DoubleType(), True),
+        T.StructField("error", T.DoubleType(), True),
+    ]
+)
+
 METRICS = T.StructType(
     [
         T.StructField("seq", T.LongType(), False),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ovenplan.schemas import SALES, SALES_SELECT
+from ovenplan.session import materialize
 
 SALE_DOCUMENT = "sale"
 
@@ -33,6 +34,41 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+#: Column of :func:`read_csv_checked` with the text of a line that does not fit the schema.
+REJECTED = "_rejected"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Header CSV with a fixed schema whose bad lines are kept, not raised.
+
+    A line with too few or too many fields, or with a field that is not of its type,
+    has its text in ``_rejected``, and NULL in fields that could not be read. The
+    lines are parsed once, whole, and written as Parquet to the shared folder: a scan
+    that reads only some columns of a CSV file does not notice bad fields in others.
+    Split the result with :func:`accepted` and :func:`rejected`.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType(), True)])
+    reader = spark.read.schema(wide).option("header", True).option("mode", "PERMISSIVE")
+    lines = reader.option("columnNameOfCorruptRecord", REJECTED).option("dateFormat", "yyyy-MM-dd").csv(path)
+    return materialize(lines, "csv-lines")
+
+
+def accepted(lines: DataFrame) -> DataFrame:
+    """The lines that fit, without the column of rejected text."""
+    return lines.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected(lines: DataFrame) -> DataFrame:
+    """The texts of the lines that do not fit."""
+    return lines.where(F.col(REJECTED).isNotNull()).select(REJECTED)
+
+
+def line_counts(lines: DataFrame) -> DataFrame:
+    """accepted, rejected: numbers of lines; one row."""
+    bad = F.col(REJECTED).isNotNull()
+    return lines.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+
+
 def _day(d) -> Column:
     return F.lit(d).cast("date") if isinstance(d, (str, _dt.date)) else d
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from ovenplan.schemas import METRICS
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -25,5 +27,16 @@ def write_csv_report(df: DataFrame, path: str, single_file: bool = False) -> Non
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append rows to the metrics log (no read-modify-rewrite of earlier rows)."""
-    metrics.write.mode("append").parquet(path)
+    """Append training runs to the metrics log, each once.
+
+    A run (``seq``) is a partition of the log that the write replaces: a run written again,
+    after a failure or by a retried job, leaves one copy. Other runs are not read or
+    written. :func:`read_metrics` reads the log.
+    """
+    write = metrics.repartition("seq").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write.partitionBy("seq").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics log, with the columns of ``schemas.METRICS`` in its order."""
+    return spark.read.schema(METRICS).parquet(path).select(*METRICS.names)
