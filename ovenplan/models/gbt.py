@@ -96,26 +96,29 @@ def training_frame(
     reads the label. Missing temperatures become the median over the rows
     before ``fit_before`` (the training rows; None: all rows).
     """
-    # Series windows first, on the narrow rollup (the shuffle and the window
-    # buffers carry 6 columns, not 30); the enrichment after them is row-wise
-    # projections and broadcast joins of calendar-bounded tables (no shuffle).
+    # Keys enter as what was sold under them on earlier days: no index of all
+    # keys on the driver, and bins that do not grow with their number.
+    # Their means are joined to the narrow rollup: from one row per product and
+    # day, category and day, warehouse and day. The series' own comes from its window.
+    narrow = daily.select("date", "product_key", "product_name", "warehouse_key", "quantity", "amount")
+    df = dimension.with_category(narrow, nomenclature)
+    for name, keys in KEY_GROUPS.items():
+        if name != "series":
+            df = series.with_trailing_mean(df, f"{name}_mean", keys)
+    # One shuffle of rows with these few columns; the enrichment after the windows
+    # is row-wise projections and broadcast joins of calendar-bounded tables.
     df = series.with_series_features(
-        daily.select("date", "product_key", "product_name", "warehouse_key", "quantity", "amount"),
+        df,
         lags=(1, 7, 14, 30),
         moving_avgs=(7, 14, 30),
         std_window=7,
         ewma_spans=(7, 14),
         trend=(7, 30),
         trailing_price=not leaky_price,
+        trailing_mean="series_mean",
     )
     df = exogenous.with_calendar(df, holidays, iso_week=True, cyclic=True)
     df = exogenous.with_weather(df, weather, median_before=fit_before)
-    df = dimension.with_category(df, nomenclature)
-    # Keys enter as what was sold under them on earlier days: no index of all
-    # keys on the driver, and bins that do not grow with their number.
-    sold = dimension.with_category(daily.select("date", "product_key", "warehouse_key", "quantity"), nomenclature)
-    for name, keys in KEY_GROUPS.items():
-        df = series.with_trailing_mean(df, f"{name}_mean", keys, rows=sold)
     if leaky_price:
         df = df.withColumn("avg_price", F.when(F.col("quantity") > 0, F.col("amount") / F.col("quantity")).otherwise(0.0))
     else:

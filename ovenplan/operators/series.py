@@ -115,6 +115,7 @@ def with_series_features(
     trend: tuple[int, int] | None = None,
     trailing_price: bool = False,
     fill_zero: bool = True,
+    trailing_mean: str | None = None,
 ) -> DataFrame:
     """Leak-free per-series features.
 
@@ -125,6 +126,7 @@ def with_series_features(
     * ``trend_a_b``: ``ma_a / ma_b`` if ``ma_b > 0`` else 1.0, taken before the fill.
     * ``trailing_price``: ``sum(amount) / sum(quantity)`` over all previous rows
       (a price feature that does not read the target row).
+    * ``trailing_mean``: a column of this name with the mean over all previous rows.
     With ``fill_zero`` NULLs (no history) become 0, as the reference does.
     """
     w = series_window(keys)
@@ -140,6 +142,8 @@ def with_series_features(
         past = w.rowsBetween(Window.unboundedPreceding, -1)
         q = F.sum(v).over(past)
         feats["trailing_price"] = F.when(q > 0, F.sum("amount").over(past) / q)
+    if trailing_mean:
+        feats[trailing_mean] = F.avg(v).over(w.rowsBetween(Window.unboundedPreceding, -1))
     if trend:
         a, b = trend
         ma_a = feats.get(f"ma_{a}", F.avg(v).over(w.rowsBetween(-a, -1)))
