@@ -154,18 +154,28 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, max_bits: int = MAX_BITS
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_docs: int = MIN_DOCS,
+    max_bits: int = MAX_BITS,
+    counts: bool = True,
 ) -> DataFrame:
-    """All rows of ``docs`` with the kept lines as ``text``, and ``_n_lines``, ``_n_dropped``."""
+    """All rows and columns of ``docs`` with the kept lines as ``text``.
+
+    With ``counts`` also ``_n_lines`` and ``_n_dropped``, in place of columns of those
+    names. Other columns pass through whatever their names.
+    """
     lost = repeated_lines(docs, min_chars, min_docs, max_bits)
-    lost = lost.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("key").alias("_lost"))
-    both = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_id"]), "left").drop("_id")
+    lost = lost.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list("key").alias("lost"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    both = rows.join(lost, rows["row.doc_id"].eqNullSafe(lost["id"]), "left").select("row", "lost")
 
-    names = docs.columns
+    added = ["_n_lines", "_n_dropped"] if counts else []
+    names = [n for n in docs.columns if n not in added]
 
     def kept(batch):
-        texts, lines, dropped = [], [], []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("_lost").to_pylist(), strict=True):
+        row, texts, lines, dropped = batch.column("row"), [], [], []
+        for text, gone in zip(row.field("text").to_pylist(), batch.column("lost").to_pylist(), strict=True):
             own = (text or "").split("\n")
             left = own
             if gone:
@@ -174,10 +184,12 @@ def dedup_lines(
             texts.append("\n".join(left))
             lines.append(len(own))
             dropped.append(len(own) - len(left))
-        new = {"text": pa.array(texts, pa.string()), "_n_lines": lines, "_n_dropped": dropped}
-        return {n: batch.column(n) for n in names} | new
+        new = [pa.array(texts, pa.string()) if n == "text" else row.field(n) for n in names]
+        return new + [lines, dropped] * counts
 
-    out = T.StructType([*docs.schema.fields]).add("_n_lines", "long").add("_n_dropped", "long")
+    out = T.StructType([f for f in docs.schema.fields if f.name in names])
+    for n in added:
+        out = out.add(n, "long")
     return common.map_batches(both, kept, out)
 
 

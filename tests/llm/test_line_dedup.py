@@ -59,6 +59,19 @@ def test_edge_cases(spark):
     assert result(wide) == brute(rows)
 
 
+def test_columns_with_the_names_used_inside(spark):
+    rows = [(i, f"{LONG}\nown {i}") for i in range(5)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("_id", "id", "_lost", "lost", "_n_lines", "_n_dropped", "row", "keep", "key", "n"):
+        df = df.withColumn(name, F.lit(f"own {name}"))
+    plain = line_dedup.dedup_lines(df, counts=False)
+    assert plain.columns == df.columns
+    got = {r.doc_id: r for r in plain.collect()}
+    assert got[4].text == f"{LONG}\nown 4" and got[0].text == "own 0" and got[None].text == ""
+    assert all(r[n] == f"own {n}" for r in got.values() for n in df.columns[2:])
+    assert result(df) == brute(rows)
+
+
 def test_saturated_filter_gives_the_same_result(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").filter("doc_id < 200")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
