@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of three or more documents stay in the one with the largest id."""
-    return _sized(line_dedup.dedup_lines(docs), docs.columns)
+    return _sized(line_dedup.dedup_lines(docs, counts=False), docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
