@@ -34,7 +34,7 @@ from ovenplan.llm import common
 
 SPACE = "▁"
 #: Chunks that a worker remembers in one generation (it keeps two), and their greatest length.
-CACHE_CHUNKS = 150_000
+CACHE_CHUNKS = 250_000
 CACHE_LENGTH = 64
 CACHE_PAIRS = 1_000_000
 _LETTERS = r"[^\W\d_]"
@@ -71,13 +71,14 @@ class PieceBpe:
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.silent = {i for i in range(len(self.pieces)) if model.is_control(i)}
+        self.characters = {p for p in self.id_of if len(p) == 1}
         self.chunks = re.compile(chunk_pattern(self.id_of)).findall
         self.pairs: dict[tuple[str, str], bool] = {}
         # Pieces that merging never makes can't be part of an encoding.
         real = [p for p in self.id_of if p.strip(SPACE) == "" or self.merge(p) == [p]]
         self.matches = ahocorasick.Automaton()
         for p in real:
-            self.matches.add_word(p, p)
+            self.matches.add_word(p, (len(p) - 1, p))
         self.matches.make_automaton()
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.id_of), None) for p in real}
         self.shorter = {p: self._real(s, set(real)) for p, s in self.shorter.items()}
@@ -127,28 +128,38 @@ class PieceBpe:
 
     def backtrack(self, text: str) -> list[str]:
         """The pieces of ``text``, all of whose characters are pieces."""
-        longest = {}
-        for end, piece in self.matches.iter(text):
-            longest[end + 1 - len(piece)] = piece  # of one start, later ends are longer
+        size = len(text)
+        longest: list[str | None] = [None] * (size + 1)
+        for end, (before, piece) in self.matches.iter(text):
+            longest[end - before] = piece  # of one start, later ends are longer
         out: list[str] = []
-        open_at = (1 << (len(text) + 1)) - 1
-        at, piece = 0, longest.get(0)
-        while at < len(text):
+        # One bit per position: no encoding passes through it.
+        failed = bytearray((size >> 3) + 1)
+        pairs, shorter, fits = self.pairs, self.shorter, self.fits
+        at, piece, last = 0, longest[0], None
+        while at < size:
             while piece is not None:
-                if open_at >> (at + len(piece)) & 1 and (not out or self.fits(out[-1], piece)):
-                    break
-                piece = self.shorter[piece]
+                to = at + len(piece)
+                if not failed[to >> 3] >> (to & 7) & 1:
+                    if last is None:
+                        break
+                    fit = pairs.get((last, piece))
+                    if fits(last, piece) if fit is None else fit:
+                        break
+                piece = shorter[piece]
             if piece is not None:
                 out.append(piece)
-                at += len(piece)
-                piece = longest.get(at)
+                at, last, piece = to, piece, longest[to]
             else:
-                open_at &= ~(1 << at)
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= len(piece)
+                last = out[-1] if out else None
         return out
 
     def _encode_chunk(self, chunk: str) -> list[int]:
+        if self.characters.issuperset(chunk) and not chunk.startswith(SPACE * 2):
+            return [self.id_of[p] for p in self.backtrack(chunk)]
         ids, start = [], 0
         for i in range(len(chunk) + 1):
             if i == len(chunk) or chunk[i] not in self.id_of:
@@ -169,11 +180,11 @@ class PieceBpe:
         )
 
     def _chunk(self, chunk: str) -> tuple:
-        """(ids, their decimal text, decoded bytes) of a chunk."""
+        """(number of ids, their decimal text, decoded bytes) of a chunk."""
         found = self.before.get(chunk)
         if found is None:
             ids = self._encode_chunk(chunk)
-            found = (ids, ",".join(map(str, ids)).encode(), self._decode_part(ids))
+            found = (len(ids), ",".join(map(str, ids)).encode(), self._decode_part(ids))
         if len(chunk) <= CACHE_LENGTH:
             if len(self.known) > CACHE_CHUNKS:
                 self.before, self.known = self.known, {}
@@ -181,14 +192,14 @@ class PieceBpe:
         return found
 
     def parts(self, text: str | None) -> list[tuple]:
-        """(ids, their decimal text, decoded bytes) of each chunk of a text."""
+        """(number of ids, their decimal text, decoded bytes) of each chunk of a text."""
         if not text:
             return []
         known, made = self.known, self._chunk
         return [known.get(c) or made(c) for c in self.chunks(SPACE + text.replace(" ", SPACE))]
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for ids, _, _ in self.parts(text) for i in ids]
+        return [int(i) for _, ids, _ in self.parts(text) for i in ids.split(b",")]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``; bytes that are no UTF-8 become U+FFFD. The first space is the encoder's own."""
@@ -227,7 +238,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         n, ids, decoded = [], [], []
         for text in batch.column("text").to_pylist():
             parts = bpe.parts(text)
-            n.append(sum(len(x[0]) for x in parts))
+            n.append(sum([x[0] for x in parts]))
             ids.append(hashlib.sha256(b",".join([x[1] for x in parts])).hexdigest())
             back = b"".join([x[2] for x in parts]).removeprefix(b" ")
             decoded.append(hashlib.sha256(back).hexdigest())
