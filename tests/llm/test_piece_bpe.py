@@ -92,10 +92,6 @@ def test_chunks_cut_no_piece():
 
 def test_a_million_letters_without_a_space():
     """Time and memory grow with the text's length, and the ids are the library's."""
-    import random
-
-    import sentencepiece
-
     path = public_tokenizers.path("piece_bpe_32k.model")
     text = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyzetaoin", k=1_000_000))
     assert piece_bpe.PieceBpe(path).encode(text) == sentencepiece.SentencePieceProcessor(model_file=path).encode(text)
