@@ -2,26 +2,29 @@
 
 A text is its lower-cased words, each followed by a space, and an end byte. Each byte
 is eight binary decisions; a decision's context is the bits of its byte so far and
-the ``DEPTH`` bytes before, of which a node at depth d sees the last d. Contexts end at
-the start of the word (spaces stand before it), so a word's code length is its own, and
-is worked out once for all its places. Every node estimates its next bit
+the ``DEPTH`` bytes before, of which a node at depth d sees the last d. Contexts cross words;
+before a text stand end bytes. Every node estimates its next bit
 by Krichevsky-Trofimov, and weighs its estimate against those of the deeper nodes:
 
     Pw = 1/2 Pe + 1/2 product of the children's Pw,   weight of its own = 1/2 Pe / Pw
 
-where Pe is the KT probability of all bits counted at the node. Counting is over all
-training text: Spark counts the words, tasks turn word counts into counts of
-(context, byte) grams, and each level's counts and log probabilities are sums
-over the level below.
+where Pe is the KT probability of all bits counted at the node, over all training text. Of a
+decision's nodes the deepest one seen takes the weight that is left, so the probabilities of a
+decision always add up to one. No node is left out.
 
-Of a decision's nodes the deepest one seen takes the weight that is left, so the
-probabilities of a decision always add up to one. That mixture is worked out from the root
-down for every node, and a decision of any word is looked up by joins, from the deepest level
-up until a node is found. No node is left out.
+A gram is a byte with its context, packed into a long, the nearest byte of the context first:
+the grams below a node of the tree share a prefix. Tasks count the grams of their texts, those
+to be scored only with count 0. The grams that share the nearest ``TOP`` bytes meet in one bucket,
+where the deeper levels are worked out; of these bytes there are at most 256**TOP, whatever the
+input. The levels above are worked out for each of the 255 bit prefixes apart, which no node
+joins. Buckets, counts and log probabilities travel packed, a row per bucket and task.
 
-The unigram base counts whole words in the same training text. Code length and count of the
-``HOT_TOKENS`` most frequent words, and the code lengths of the ``HOT_GRAMS`` grams in most words,
-are broadcast to save joins; all others are joined.
+A text's code length is the sum over its grams. The ``CACHE`` grams with most places, found by a
+count of grams by number of places, are broadcast; all others are asked for by bucket.
+
+The unigram base counts whole words in the same training text. The counts of the
+``HOT_TOKENS`` most frequent words are broadcast (words over ``LONG_WORD`` bytes by their digest);
+all others are joined.
 
 Defined cases: null or empty text is the end alone. A null doc_id is not held out. With
 no training text every bit has probability 1/2 and base_score is 0. Rows with
@@ -32,237 +35,396 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ovenplan.llm import common
 from ovenplan.llm.lang_id import held_out
 from ovenplan.session import materialize
 
-DEPTH = 6
+DEPTH = 7
+TOP = 3
+CACHE = 1 << 21
 HOT_TOKENS = 32_768
-HOT_GRAMS = 65_536
-#: Entries that a task counts before it passes them on.
+LONG_WORD = 64
+#: Words that a task counts before it passes them on; grams likewise, and places looked at together.
 FLUSH = 200_000
-SPACE, END = b" ", b"\n"
+FLUSH_GRAMS = 1_500_000
+PLACES = 1 << 20
+#: Buckets for each shuffle partition.
+BUCKETS = 16
+END = b"\n"
+PACKED = "binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def stream_of(words: list[bytes]) -> bytes:
+    return b"".join([w + b" " for w in words]) + END
+
+
 # ---- grams ---------------------------------------------------------------------------------------
 
 
-def grams_of(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte of the words with the ``depth`` before it as an integer, and where each word's begin.
+def grams_of(streams: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, owners): each byte of the streams with its context, and the number of its stream; ``PLACES`` at a time."""
+    before = END * depth
+    data = np.frombuffer(b"".join(before + s for s in streams), dtype=np.uint8)
+    sizes = np.array([len(s) for s in streams], dtype=np.int64) + depth
+    ends = np.cumsum(sizes)
+    inner = np.ones(len(data), dtype=bool)
+    for k in range(depth):
+        inner[ends - sizes + k] = False
+    for a in range(depth, len(data), PLACES):
+        part = data[a - depth : a + PLACES].astype(np.int64)
+        n = len(part) - depth
+        gram = np.zeros(n, dtype=np.int64)
+        for k in range(1, depth + 1):
+            gram = (gram << 8) | part[depth - k : depth - k + n]
+        gram = (gram << 8) | part[depth:]
+        at = np.flatnonzero(inner[a : a + n])
+        yield gram[at], np.searchsorted(ends, at + a, side="right")
+
+
+def bucket_of(prefix: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = prefix.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Eight-byte values, first bytes first: counts and sorted keys then compress well."""
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
 
-    A word is given with its last byte, a space or the end; before it come spaces.
-    """
-    joined = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64)
-    sizes = np.array([len(w) for w in words])
-    starts = np.cumsum(sizes) - sizes
-    within = np.arange(len(joined)) - np.repeat(starts, sizes)
-    gram = joined.copy()
-    for k in range(1, depth + 1):
-        before = np.full(len(joined), SPACE[0])
-        before[k:] = np.where(within[k:] >= k, joined[:-k], SPACE[0])
-        gram |= before << (8 * k)
-    return gram, starts
 
+def merged(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys and the sums of their values."""
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+    sums = (np.add.reduceat(np.concatenate(v)[order], first) if len(key) else np.concatenate(v) for v in values)
+    return (key[first], *sums)
 
-def _bytes_of(token: str) -> bytes:
-    """The bytes of a word with its space, or the end."""
-    data = token.encode()
-    return data if data == END else data + SPACE
 
+def slices(sorted_numbers: np.ndarray) -> Iterator[tuple[int, slice]]:
+    if len(sorted_numbers):
+        cuts = np.flatnonzero(np.diff(sorted_numbers)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(sorted_numbers)], strict=True):
+            yield int(sorted_numbers[a]), slice(a, b)
 
-def gram_counts(tokens: DataFrame, depth: int) -> DataFrame:
-    """(gram, n, words) of the words and ends in ``tokens`` (token, n): n in training text (0 if not seen), and words it is in."""
 
-    def counted(batch):
-        grams, starts = grams_of([_bytes_of(t) for t in batch.column("token").to_pylist()], depth)
-        times = np.repeat(batch.column("n").to_numpy(), np.diff(np.append(starts, len(grams))))
-        own, at = np.unique(grams, return_inverse=True)
-        total = np.zeros(len(own), dtype=np.int64)
-        np.add.at(total, at, times)
-        return [own, total, np.bincount(at, minlength=len(own))]
+def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(bucket, keys, n, times) of the grams of ``docs`` (text, learned), a row per task and bucket: n in learned rows, times in all."""
+    cut = 8 * (depth - min(TOP, depth)) + 8
 
-    grams = common.map_batches(tokens.select("token", "n"), counted, "gram long, n long, words long", rows=100_000)
-    return grams.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    def task(batches):
+        parts, size = [], 0
+
+        def out():
+            key, n, times = merged(*zip(*parts, strict=True))
+            bucket = bucket_of(key >> cut, buckets)
+            order = np.argsort(bucket, kind="stable")
+            for number, at in slices(bucket[order]):
+                own = order[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), *(pa.array([pack(v[own])], pa.binary()) for v in (key, n, times))],
+                    ["bucket", "keys", "n", "times"],
+                )
+
+        for learned, streams in _streams(batches):
+            for grams, _ in grams_of(streams, depth):
+                key, times = np.unique(grams, return_counts=True)
+                parts.append((key, times if learned else np.zeros_like(times), times))
+                size += len(key)
+                if size > 2 * FLUSH_GRAMS:
+                    parts = [merged(*zip(*parts, strict=True))]
+                    size = len(parts[0][0])
+                    if size > FLUSH_GRAMS:
+                        yield from out()
+                        parts, size = [], 0
+        if parts:
+            yield from out()
+
+    return docs.select("text", "learned").mapInArrow(task, f"bucket int, keys {PACKED}, n {PACKED}, times {PACKED}")
+
+
+def _streams(batches) -> Iterator[tuple[bool, list[bytes]]]:
+    """Learned and other texts, each about ``PLACES`` bytes at a time or one longer text."""
+    held: dict[bool, list[bytes]] = {True: [], False: []}
+    sizes = {True: 0, False: 0}
+    for batch in batches:
+        for text, learned in zip(batch.column("text"), batch.column("learned").to_pylist(), strict=True):
+            stream = stream_of(words_of(text.as_py()))
+            held[learned].append(stream)
+            sizes[learned] += len(stream)
+            if sizes[learned] >= PLACES:
+                yield learned, held[learned]
+                held[learned], sizes[learned] = [], 0
+    for learned, streams in held.items():
+        if streams:
+            yield learned, streams
 
 
 # ---- the tree ------------------------------------------------------------------------------------
 
+_WHOLE = np.array([math.lgamma(i + 1) for i in range(4096)])
+_HALF = np.array([math.lgamma(i + 0.5) for i in range(4096)])
+
 
-def _log_gamma(x: Column) -> Column:
-    """log Gamma for x > 0, by Stirling's series from x + 8 on."""
-    y = x + 8
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
-    down = sum((F.log(x + i) for i in range(1, 8)), F.log(x))
-    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - down
+def _log_gamma(table: np.ndarray, add: float, n: np.ndarray) -> np.ndarray:
+    """log Gamma(n + add) of whole n: from the table, or by Stirling's series."""
+    out = table[np.minimum(n, len(table) - 1)]
+    far = np.flatnonzero(n >= len(table))
+    x = n[far] + add
+    out[far] = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3)
+    return out
 
 
-def log_kt(n0: Column, n1: Column) -> Column:
+def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log KT probability of n0 zeros and n1 ones."""
-    return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1) - math.log(math.pi)
+    return _log_gamma(_HALF, 0.5, n0) + _log_gamma(_HALF, 0.5, n1) - _log_gamma(_WHOLE, 1, n0 + n1) - math.log(math.pi)
 
 
-def _node(gram: Column, j: Column, depth: int) -> Column:
-    """Key of the node at ``depth`` for bit j of the gram's byte: its context's bytes, then the byte's bits so far after a 1."""
-    byte = gram.bitwiseAND(255)
-    bits = F.call_function("shiftright", byte, 8 - j).bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), j))
-    return (gram - byte).bitwiseAND((1 << (8 * depth + 8)) - 1).bitwiseOR(bits)
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, dtype=values.dtype)
+    np.add.at(out, at, values)
+    return out
 
 
-def _bit(gram: Column, j: Column) -> Column:
-    return F.call_function("shiftright", gram, 7 - j).bitwiseAND(1)
+class Levels:
+    """The nodes of some levels for one place of the byte's bits, from the deepest level up.
 
+    ``key``: contexts of the deepest level, then the ``bits`` bits so far. ``w``: log Pw of the nodes
+    of the deepest level, or none if their own estimate is all they have.
+    """
 
-def decisions(grams: DataFrame) -> DataFrame:
-    """``grams`` once for each bit j of the byte."""
-    return grams.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    def __init__(self, key: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray | None, bits: int, levels: int):
+        self.rows = []
+        for level in range(levels):
+            own = log_kt(n0, n1)
+            w = own if below is None else np.logaddexp(own, below) - math.log(2)
+            up = None
+            if level + 1 < levels:
+                parents, up = np.unique(((key >> (bits + 8)) << bits) | (key & ((1 << bits) - 1)), return_inverse=True)
+            self.rows.append((n0, n1, own, below, up))
+            if up is not None:
+                n0, n1, below = (_sums(up, v, len(parents)) for v in (n0, n1, w))
+                key = parents
+        #: Of the topmost level.
+        self.key, self.n0, self.n1, self.w = key, n0, n1, w
+
+    def down(self, put: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(p, put, rest) of the deepest level: probability of a 1 if the node is the deepest one, and what it hands down.
+
+        Given are, of the topmost level, what the nodes above put into the mixture and the weight that they leave. A node
+        not seen in training takes over the probability of the one above.
+        """
+        p = None
+        for n0, n1, own, below, up in reversed(self.rows):
+            if p is not None:
+                seen = n0 + n1 > 0
+                put, rest = np.where(seen, put[up], p[up]), np.where(seen, rest[up], 0.0)
+            p = put + rest * (n1 + 0.5) / (n0 + n1 + 1)
+            if below is not None:
+                odds = np.clip(below - own, -700, 700)
+                put, rest = put + (p - put) / (1 + np.exp(odds)), rest / (1 + np.exp(-odds))
+        return p, put, rest
+
+
+def _byte_trees(key: np.ndarray, n: np.ndarray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, Levels]]:
+    """(j, bit, place, levels from ``TOP`` down) for each bit j of the grams' bytes; place: the deepest node of each gram."""
+    top = min(TOP, depth)
+    for j in range(8):
+        bit = (key >> (7 - j)) & 1
+        # Grams are sorted, so the nodes are as well.
+        node = key >> (8 - j)
+        first = np.concatenate([[True], node[1:] != node[:-1]])
+        place = np.cumsum(first) - 1
+        start = np.flatnonzero(first)
+        n0, n1 = np.add.reduceat(n * (1 - bit), start), np.add.reduceat(n * bit, start)
+        yield j, bit, place, Levels(node[start], n0, n1, None, j, depth - top + 1)
+
+
+def _marked(key: np.ndarray, bits: int) -> np.ndarray:
+    """Context, then a 1 and the bits so far in one byte."""
+    return ((key >> bits) << 8) | (1 << bits) | (key & ((1 << bits) - 1))
+
+
+def tree_grams(pieces: DataFrame, depth: int) -> DataFrame:
+    """(bucket, keys, n, times, nodes): the grams of each bucket, and its nodes at depth ``TOP`` with counts and log Pw."""
 
+    def task(batches):
+        bucket, parts, size = None, [], 0
 
-def tree_levels(grams: DataFrame, depth: int) -> list[DataFrame]:
-    """(key, p) of every node of each level: the probability of a 1 where the node is the deepest one seen."""
-    bits = decisions(grams.filter("n > 0"))
-    bit = _bit(F.col("gram"), F.col("j"))
-    level = bits.select(_node(F.col("gram"), F.col("j"), depth).alias("key"), bit.alias("bit"), "n").groupBy("key").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"),
+        def out():
+            key, n, times = merged(*zip(*parts, strict=True))
+            nodes = [(_marked(t.key, j), t.n0, t.n1, t.w) for j, _, _, t in _byte_trees(key, n, depth)]
+            nodes = [np.concatenate(v) for v in zip(*nodes, strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([bucket], pa.int32()), *(pa.array([pack(v)], pa.binary()) for v in (key, n, times, *nodes))],
+                ["bucket", "keys", "n", "times", "nodes", "n0", "n1", "w"],
+            )
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                number = batch.column("bucket")[r].as_py()
+                if parts and number != bucket:
+                    yield out()
+                    parts, size = [], 0
+                bucket = number
+                parts.append(tuple(unpack(batch.column(c)[r].as_buffer()) for c in ("keys", "n", "times")))
+                size += len(parts[-1][0])
+                if size > 2 * FLUSH_GRAMS + len(parts[0][0]):
+                    parts = [merged(*zip(*parts, strict=True))]
+                    size = len(parts[0][0])
+        if parts:
+            yield out()
+
+    ordered = pieces.repartition("bucket").sortWithinPartitions("bucket")
+    names = ("keys", "n", "times", "nodes", "n0", "n1", "w")
+    return ordered.mapInArrow(task, "bucket int, " + ", ".join(f"{c} {PACKED}" for c in names))
+
+
+def top_levels(grams: DataFrame, depth: int) -> DataFrame:
+    """(bucket, key, put, rest): what the levels above ``TOP`` put into the mixture of each node there, and leave."""
+    top = min(TOP, depth)
+
+    def spread(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                key, n0, n1 = (unpack(batch.column(c)[r].as_buffer()) for c in ("nodes", "n0", "n1"))
+                w = unpack(batch.column("w")[r].as_buffer(), np.float64)
+                bucket = np.full(len(key), batch.column("bucket")[r].as_py(), dtype=np.int32)
+                columns = [bucket, (key & 255).astype(np.int32), key >> 8, n0, n1, w]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "bits", "context", "n0", "n1", "w"])
+
+    def above(table: pa.Table) -> pa.Table:
+        bits, context, n0, n1, w = (table.column(c).to_numpy() for c in ("bits", "context", "n0", "n1", "w"))
+        parents, up = np.unique(context >> 8, return_inverse=True)
+        tree = Levels(parents, *(_sums(up, v, len(parents)) for v in (n0, n1, w)), 0, top)
+        seen = tree.n0 + tree.n1 > 0
+        p, put, rest = tree.down(np.where(seen, 0.0, 0.5), np.where(seen, 1.0, 0.0))
+        seen = n0 + n1 > 0
+        key = (context << 8) | bits
+        columns = [table.column("bucket"), key, np.where(seen, put[up], p[up]), np.where(seen, rest[up], 0.0)]
+        return pa.table(columns, names=["bucket", "key", "put", "rest"])
+
+    rows = grams.select("bucket", "nodes", "n0", "n1", "w").mapInArrow(
+        spread, "bucket int, bits int, context long, n0 long, n1 long, w double"
     )
-    level = level.withColumn("own", log_kt(F.col("n0"), F.col("n1")))
-    counted = []
-    for d in range(depth, -1, -1):
-        level = materialize(level, f"tree-counts-{d}")
-        counted.append(level)
-        if d:
-            # log Pw = log(1/2 Pe + 1/2 children); a deepest node's is its log Pe.
-            if d == depth:
-                weighted = F.col("own")
-            else:
-                high, low = F.greatest("own", "below"), F.least("own", "below")
-                weighted = high + F.log1p(F.exp(low - high)) - math.log(2)
-            up = level.select(F.col("key").bitwiseAND((1 << (8 * d)) - 1).alias("key"), "n0", "n1", weighted.alias("w"))
-            level = up.groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("w").alias("below"))
-            level = level.withColumn("own", log_kt(F.col("n0"), F.col("n1")))
-    levels, above = [], None
-    for d, level in enumerate(reversed(counted)):
-        weight = F.lit(1.0) if d == depth else 1 / (1 + F.exp(F.least(F.col("below") - F.col("own"), F.lit(700.0))))
-        level = level.select("key", ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).alias("own"), weight.alias("weight"))
-        if d:
-            level = level.withColumn("up", F.col("key").bitwiseAND((1 << (8 * d)) - 1))
-            level = level.join(above.select(F.col("key").alias("up"), "sum", "rest"), "up")
-        else:
-            level = level.withColumns({"sum": F.lit(0.0), "rest": F.lit(1.0)})
-        # sum: what the nodes above put in; rest: the weight that they leave.
-        share = F.col("rest") * F.col("own")
-        columns = ["key", (F.col("sum") + share).alias("p")]
-        if d < depth:
-            columns += [(F.col("sum") + share * F.col("weight")).alias("sum"), (F.col("rest") * (1 - F.col("weight"))).alias("rest")]
-        above = materialize(level.select(*columns), f"tree-level-{d}")
-        levels.append(above.select("key", "p"))
-    return levels
+    return rows.groupBy("bits").applyInArrow(above, "bucket int, key long, put double, rest double")
 
 
 def gram_bits(grams: DataFrame, depth: int) -> DataFrame:
-    """(gram, bits): log2 probability of each gram's byte, seen in training or not."""
-    todo, found = decisions(grams.select("gram")), []
-    for d, level in reversed(list(enumerate(tree_levels(grams, depth)))):
-        # The two topmost levels have at most 255 and 65,280 nodes.
-        level = F.broadcast(level) if d < 2 else level
-        at = _node(F.col("gram"), F.col("j"), d)
-        tried = materialize(todo.withColumn("key", at).join(level, "key", "left").select("gram", "j", "p"), f"tree-tried-{d}")
-        found.append(tried.filter("p is not null"))
-        todo = tried.filter("p is null").select("gram", "j")
-    # Nothing was learned.
-    found.append(todo.withColumn("p", F.lit(0.5)))
-    bits = None
-    for part in found:
-        p = F.when(_bit(F.col("gram"), F.col("j")) == 1, F.col("p")).otherwise(1 - F.col("p"))
-        part = part.select("gram", F.log2(p).alias("bits"))
-        bits = part if bits is None else bits.unionAll(part)
-    return bits.groupBy("gram").agg(F.sum("bits").alias("bits"))
-
-
-def word_bits(tokens: DataFrame, depth: int) -> DataFrame:
-    """(token, n, times, bits) of ``tokens`` (token, n, times): log2 probability of each word, of all its bytes."""
-    spark = tokens.sparkSession
-    grams = materialize(gram_counts(tokens, depth), "tree-grams")
-    bits = materialize(gram_bits(grams, depth).join(grams.select("gram", "words"), "gram"), "tree-bits")
-    hot = bits.orderBy(F.desc("words"), "gram").limit(HOT_GRAMS).select("gram", "bits").toPandas().sort_values("gram")
-    sent = spark.sparkContext.broadcast((hot["gram"].to_numpy(dtype=np.int64), hot["bits"].to_numpy(dtype=float)))
-
-    def spelt(batch):
-        """One row per word with what its hot grams add, and one for each other gram."""
-        names, values = sent.value
-        grams, starts = grams_of([_bytes_of(t) for t in batch.column("token").to_pylist()], depth)
-        at = np.minimum(np.searchsorted(names, grams), max(len(names) - 1, 0))
-        there = names[at] == grams if len(names) else np.zeros(len(grams), dtype=bool)
-        own = np.add.reduceat(np.where(there, values[at] if len(names) else 0.0, 0.0), starts)
-        owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(grams))))[~there]
-        rows = pa.array(np.concatenate([np.arange(len(starts)), owner]))
-        none = len(starts)
-        gram = pa.array(np.concatenate([np.zeros(none, dtype=np.int64), grams[~there]]), mask=np.arange(none + len(owner)) < none)
-        return [batch.column("token").take(rows), gram, np.concatenate([own, np.zeros(len(owner))])]
-
-    parts = materialize(common.map_batches(tokens.select("token"), spelt, "token string, gram long, own double", rows=20_000), "tree-spelt")
-    others = parts.filter("gram is not null").select("token", "gram").join(bits.select("gram", "bits"), "gram").select("token", "bits")
-    total = parts.filter("gram is null").select("token", F.col("own").alias("bits")).unionAll(others)
-    return tokens.join(total.groupBy("token").agg(F.sum("bits").alias("bits")), "token")
-
-
-def _hash(keys: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of longs, as unsigned integers."""
-    p1, p2, p3, p4, p5 = map(
-        np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-    )
+    """(bucket, keys, bits, times): log2 probability of the byte of each gram, seen in training or not."""
+    nodes = top_levels(grams, depth).groupBy("bucket").agg(F.collect_list(F.struct("key", "put", "rest")).alias("given"))
+
+    def task(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                key, n = (unpack(batch.column(c)[r].as_buffer()) for c in ("keys", "n"))
+                given = batch.column("given")[r].values
+                at, put, rest = (given.field(c).to_numpy(zero_copy_only=False) for c in ("key", "put", "rest"))
+                order = np.argsort(at)
+                at, put, rest = at[order], put[order], rest[order]
+                total = np.zeros(len(key))
+                for j, bit, place, tree in _byte_trees(key, n, depth):
+                    own = np.searchsorted(at, _marked(tree.key, j))
+                    p = tree.down(put[own], rest[own])[0][place]
+                    total += np.log2(np.where(bit == 1, p, 1 - p))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("bucket").slice(r, 1), batch.column("keys").slice(r, 1), pa.array([pack(total)], pa.binary()), batch.column("times").slice(r, 1)],
+                    ["bucket", "keys", "bits", "times"],
+                )
+
+    both = grams.select("bucket", "keys", "n", "times").join(nodes, "bucket")
+    return both.mapInArrow(task, f"bucket int, keys {PACKED}, bits {PACKED}, times {PACKED}")
+
+
+def frequent_grams(bits: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and bits of the grams with most places, ``most`` at most."""
+
+    def classes(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                of = (8 * np.log2(unpack(batch.column("times")[r].as_buffer()))).astype(np.int64)
+                own, n = np.unique(of, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n)], ["class", "n"])
+
+    rows = bits.select("times").mapInArrow(classes, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect()
+    least, total = 513, 0
+    for row in sorted(rows, reverse=True):
+        total += row.n
+        if total > most:
+            break
+        least = row["class"]
+
+    def chosen(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                own = (8 * np.log2(unpack(batch.column("times")[r].as_buffer()))).astype(np.int64) >= least
+                key = unpack(batch.column("keys")[r].as_buffer())[own]
+                value = unpack(batch.column("bits")[r].as_buffer(), np.float64)[own]
+                yield pa.RecordBatch.from_arrays([pa.array([key.tobytes()]), pa.array([value.tobytes()])], ["keys", "bits"])
+
+    table = bits.mapInArrow(chosen, "keys binary, bits binary").toArrow()
+    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.int64)
+    values = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.float64)
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def answered(asked: DataFrame, bits: DataFrame) -> DataFrame:
+    """(block, at, bits): of ``asked`` (block, bucket, owners, keys), the sums of each owner's grams."""
+    kind = "bucket int, block long, owners binary, keys binary, bits binary"
+    none = F.lit(None).cast("binary")
+    table = bits.select("bucket", F.lit(None).cast("long").alias("block"), none.alias("owners"), "keys", "bits")
+    rows = table.unionAll(asked.select("bucket", "block", "owners", "keys", none.alias("bits")))
 
-    def turn(x, r):
-        return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-
-    with np.errstate(over="ignore"):
-        h = np.uint64(42) + p5 + np.uint64(8)
-        h = h ^ (turn(keys.astype(np.uint64) * p2, 31) * p1)
-        h = turn(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        return h ^ (h >> np.uint64(32))
-
-
-class Tree:
-    """A hashed table of nodes, for looking at a small tree; scoring does not read it."""
-
-    def __init__(self, depth: int, slots: int):
-        self.depth, self.slots = depth, slots
-        self.check = np.zeros(slots, dtype=np.uint16)
-        self.log_odds = np.zeros(slots, dtype=np.float32)
-        self.weight = np.zeros(slots, dtype=np.float32)
-
-    def log2(self, grams: np.ndarray) -> np.ndarray:
-        """log2 probability of each gram's last byte after the bytes before it."""
-        total = np.zeros(len(grams))
-        byte = grams & 255
-        for j in range(8):
-            node, bit = (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1
-            key = (grams - byte) | node
-            p, have = np.full(len(grams), 0.5), np.zeros(len(grams), dtype=bool)
-            for d in range(self.depth, -1, -1):
-                h = _hash((key & ((1 << (8 * d + 8)) - 1)) | (d << 56))
-                slot = (h % np.uint64(self.slots)).astype(np.int64)
-                there = self.check[slot] == (h >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
-                odds = self.log_odds[slot].astype(np.float64)
-                own = 1 / (1 + np.exp(np.where(bit == 1, -odds, odds)))
-                w = np.where(have, self.weight[slot], 1.0)
-                p = np.where(there, w * own + (1 - w) * p, p)
-                have |= there
-            total += np.log2(p)
-        return total
+    def task(batches):
+        held: dict[int, list] = {}
+        size, key, value = 0, None, None
+
+        def out():
+            for block, parts in held.items():
+                at, sums = merged(*zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), block)), pa.array(at), pa.array(sums)], ["block", "at", "bits"]
+                )
+            held.clear()
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                block = batch.column("block")[r].as_py()
+                own = unpack(batch.column("keys")[r].as_buffer())
+                if block is None:
+                    key, value = own, unpack(batch.column("bits")[r].as_buffer(), np.float64)
+                    continue
+                owners = unpack(batch.column("owners")[r].as_buffer())
+                parts = held.setdefault(block, [])
+                parts.append(merged([owners], [value[np.searchsorted(key, own)]]))
+                size += len(parts[-1][0])
+                if size > 2 * FLUSH_GRAMS:
+                    yield from out()
+                    size = 0
+        yield from out()
+
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first())
+    found = ordered.select(*(c.split()[0] for c in kind.split(", "))).mapInArrow(task, "block long, at long, bits double")
+    return found.groupBy("block", "at").agg(F.sum("bits").alias("more_bits"))
 
 
 # ---- scores --------------------------------------------------------------------------------------
@@ -295,77 +457,111 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
 
+def _name(word: bytes) -> bytes:
+    """The word, or if long its digest (after a space, which no word has)."""
+    return word if len(word) <= LONG_WORD else b" " + hashlib.sha256(word).hexdigest().encode()
+
+
 def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row.
 
     ``train`` tells the rows of ``docs`` (doc_id, text) that are learned from.
     """
     spark = docs.sparkSession
+    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    top = min(TOP, depth)
     marked = docs.select("text", F.coalesce(train, F.lit(False)).alias("learned"))
     docs = docs.select("doc_id", "text")
     counts = materialize(token_counts(marked), "token-counts")
     ends = marked.filter("learned").count()
     words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n, v = words.n + ends, words.v + (ends > 0)
-    end = spark.createDataFrame([(END.decode(), ends, ends)], "token string, n long, times long")
-    counts = materialize(word_bits(counts.unionAll(end), depth), "token-bits")
-    hot = counts.orderBy(F.col("token") != END.decode(), F.desc("times"), "token").limit(HOT_TOKENS + 1)
-    sent = spark.sparkContext.broadcast({r.token.encode(): (r.n, r.bits) for r in hot.collect()})
-
-    def score(batch):
-        hot = sent.value
-        texts = batch.column("text").to_pylist()
-        tokens, known, base, total, size, rare, keys = [], [], [], [], [], [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-            counter = Counter(words_of(text))
-            sum_known, sum_base, sum_bits, others = int(ends > 0), math.log10((ends + 1) / (n + v + 1)), hot[END][1], []
+    grams = materialize(tree_grams(gram_pieces(marked, depth, buckets), depth), "tree-grams")
+    bits = materialize(gram_bits(grams, depth), "tree-bits")
+    name = F.when(F.octet_length("token") <= LONG_WORD, F.col("token")).otherwise(F.concat(F.lit(" "), F.sha2(F.col("token").cast("binary"), 256)))
+    hot = counts.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select(name.alias("name"), "n")
+    known_words = {r.name.encode(): r.n for r in hot.collect()}
+    sent = spark.sparkContext.broadcast((known_words, *frequent_grams(bits, CACHE)))
+
+    def scored(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        """A block of (doc_id, words); what the broadcast lacks is left in rare, and for all of them in asks of the first row."""
+        hot, keys, values = sent.value
+        lists = [Counter(own) for _, own in rows]
+        streams = [stream_of(own) for _, own in rows]
+        tokens, known, base, rare = [], [], [], []
+        for counter in lists:
+            sum_known, sum_base, others = int(ends > 0), math.log10((ends + 1) / (n + v + 1)), []
             for word, times in counter.items():
-                found = hot.get(word)
-                if found is None:
+                count = hot.get(_name(word))
+                if count is None:
                     others.append((word.decode(), times))
                 else:
-                    count, bits = found
                     sum_known += times * (count > 0)
                     sum_base += times * math.log10((count + 1) / (n + v + 1))
-                    sum_bits += times * bits
             tokens.append(counter.total() + 1)
             known.append(sum_known)
             base.append(sum_base)
-            total.append(sum_bits)
-            size.append(1 + sum(times * (len(word) + 1) for word, times in counter.items()))
             rare.append(others)
-            keys.append(hashlib.blake2b(repr((doc_id, text)).encode("utf-8", "surrogatepass"), digest_size=16).digest())
-        return [
-            batch.column("doc_id"), pa.array(keys, pa.binary()), tokens, known, base, total, size,
-            pa.array(rare, pa.list_(pa.struct([("token", pa.string()), ("times", pa.int64())]))),
-        ]
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = common.map_batches(
-        docs,
-        score,
-        f"doc_id {kind}, key binary, n_tokens long, known long, base double, bits double, size long, "
-        "rare array<struct<token:string,times:bigint>>",
+        total, ask_keys, ask_owners = np.zeros(len(rows)), [], []
+        for gram, owner in grams_of(streams, depth):
+            at = np.minimum(np.searchsorted(keys, gram), max(len(keys) - 1, 0))
+            there = keys[at] == gram if len(keys) else np.zeros(len(gram), dtype=bool)
+            total += np.bincount(owner[there], values[at[there]], len(rows))
+            ask_keys.append(gram[~there])
+            ask_owners.append(owner[~there])
+        key, owner = np.concatenate(ask_keys), np.concatenate(ask_owners)
+        bucket = bucket_of(key >> (8 * (depth - top) + 8), buckets)
+        order = np.argsort(bucket, kind="stable")
+        asks = [(number, pack(owner[order[at]]), pack(key[order[at]])) for number, at in slices(bucket[order])]
+        ask_type = pa.list_(pa.struct([("bucket", pa.int32()), ("owners", pa.binary()), ("keys", pa.binary())]))
+        block = uuid.uuid4().int >> 65
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int64()), pa.array([i for i, _ in rows], kind),
+                pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(total),
+                pa.array([len(s) for s in streams], pa.int64()),
+                pa.array(rare, pa.list_(pa.struct([("token", pa.string()), ("times", pa.int64())]))),
+                pa.array([asks, *[[]] * (len(rows) - 1)], ask_type),
+            ],
+            ["block", "at", "doc_id", "n_tokens", "known", "base", "bits", "size", "rare", "asks"],
+        )
+
+    def task(batches):
+        rows, size, kind = [], 0, None
+        for batch in batches:
+            kind = batch.schema.field("doc_id").type
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                rows.append((doc_id.as_py(), words_of(text.as_py())))
+                size += len(text.as_py() or "")
+                if size >= PLACES or len(rows) == 2000:
+                    yield scored(rows, kind)
+                    rows, size = [], 0
+        if rows:
+            yield scored(rows, kind)
+
+    schema = T.StructType.fromDDL(
+        "block long, at long, doc_id long, n_tokens long, known long, base double, bits double, size long, "
+        "rare array<struct<token:string,times:bigint>>, asks array<struct<bucket:int,owners:binary,keys:binary>>"
     )
-    rows = materialize(rows, "scored-rows")
-    # Equal rows have one key; their words are looked up once.
-    once = rows.dropDuplicates(["key"])
-    rare = once.select("key", F.inline("rare")).join(counts.select("token", "n", "bits"), "token")
-    found = rare.groupBy("key").agg(
+    schema["doc_id"].dataType = docs.schema["doc_id"].dataType
+    # Blocks are named at random: the table is written once, and all that follows reads it.
+    rows = materialize(docs.mapInArrow(task, schema), "scored-rows")
+    asked = rows.filter("size(asks) > 0").select("block", F.inline("asks"))
+    rare = rows.select("block", "at", F.inline("rare")).join(counts.select("token", "n"), "token")
+    found = rare.groupBy("block", "at").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * F.log10((F.col("n") + 1) / F.lit(float(n + v + 1)))).alias("more_base"),
-        F.sum(F.col("times") * F.col("bits")).alias("more_bits"),
     )
-    both = rows.drop("rare").join(found, "key", "left")
-    bits = F.col("bits") + F.coalesce("more_bits", F.lit(0.0))
+    both = rows.drop("rare", "asks").join(found, ["block", "at"], "left").join(answered(asked, bits), ["block", "at"], "left")
+    total = F.col("bits") + F.coalesce("more_bits", F.lit(0.0))
     return both.select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        (bits * math.log10(2)).alias("score"),
-        (-bits / F.col("size")).alias("bits_per_byte"),
+        (total * math.log10(2)).alias("score"),
+        (-total / F.col("size")).alias("bits_per_byte"),
     )
 
 

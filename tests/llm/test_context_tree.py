@@ -42,14 +42,13 @@ class BruteTree:
                 self.children[context[1:], node].append((context, node))
 
     def steps(self, text):
-        for word in [*words(text), "\n"]:
-            data = b" " * self.depth + word.encode() + b" " * (word != "\n")
-            for i in range(self.depth, len(data)):
-                node = 1
-                for j in range(7, -1, -1):
-                    bit = data[i] >> j & 1
-                    yield data[i - self.depth : i], node, bit
-                    node = 2 * node + bit
+        data = b"\n" * self.depth + "".join(w + " " for w in words(text)).encode() + b"\n"
+        for i in range(self.depth, len(data)):
+            node = 1
+            for j in range(7, -1, -1):
+                bit = data[i] >> j & 1
+                yield data[i - self.depth : i], node, bit
+                node = 2 * node + bit
 
     def own(self, key):
         a, b = self.n[key]
@@ -102,19 +101,42 @@ def test_no_training_text(spark):
     assert context_tree.score_documents(df.filter("false"), F.lit(True)).collect() == []
 
 
-def test_hash_is_sparks(spark):
-    keys = np.array([0, 1, 255, 1 << 47, (5 << 56) | 12345], dtype=np.int64)
-    df = spark.createDataFrame([(int(k),) for k in keys], "k long")
-    assert [r[0] for r in df.select(F.xxhash64("k")).collect()] == context_tree._hash(keys).view(np.int64).tolist()
-
-
 def test_probabilities_add_up():
+    """Over all bytes that may follow a context, seen or not."""
     rng = np.random.default_rng(1)
-    tree = context_tree.Tree(2, 1 << 12)
-    tree.check = rng.integers(0, 1 << 16, 1 << 12).astype(np.uint16) | np.uint16(1)
-    tree.log_odds = rng.normal(size=1 << 12).astype(np.float32)
-    tree.weight = rng.uniform(size=1 << 12).astype(np.float32)
-    assert (2 ** tree.log2(np.arange(256) | (ord("a") << 8) | (ord("b") << 16))).sum() == pytest.approx(1)
+    key = np.unique(rng.integers(0, 3, 40) << 8 | rng.integers(0, 256, 40))
+    every = (np.arange(4)[:, None] << 8 | np.arange(256)).ravel()
+    n = np.where(np.isin(every, key), rng.integers(1, 9000, len(every)), 0)
+    total = np.zeros(len(every))
+    for _, bit, place, tree in context_tree._byte_trees(every, n, 1):
+        some = rng.uniform(0.1, 0.5, len(tree.key)), rng.uniform(0.1, 0.5, len(tree.key))
+        p = tree.down(*some)[0][place]
+        total += np.log2(np.where(bit == 1, p, 1 - p))
+    assert (2**total).reshape(4, 256).sum(axis=1) == pytest.approx(np.ones(4))
+
+
+def test_packing_and_grams(monkeypatch):
+    values = np.array([0, 1, -5, 1 << 62], dtype=np.int64)
+    assert context_tree.unpack(context_tree.pack(values)).tolist() == values.tolist()
+    streams = [b"ab \n", b"\n", "é \n".encode()]
+    whole = [(g, o) for grams, owners in context_tree.grams_of(streams, 2) for g, o in zip(grams.tolist(), owners.tolist(), strict=True)]
+    want = []
+    for number, stream in enumerate(streams):
+        data = b"\n\n" + stream
+        want += [(data[i - 1] << 16 | data[i - 2] << 8 | data[i], number) for i in range(2, len(data))]
+    assert whole == want
+    monkeypatch.setattr(context_tree, "PLACES", 3)  # a text is cut into blocks, its contexts are not
+    assert want == [(g, o) for grams, owners in context_tree.grams_of(streams, 2) for g, o in zip(grams.tolist(), owners.tolist(), strict=True)]
+
+
+def test_empty_and_very_long(spark, monkeypatch):
+    """One word of 300,000 characters beside a null and an empty text; small blocks, tasks pass on what they hold."""
+    monkeypatch.setattr(context_tree, "PLACES", 5000)
+    monkeypatch.setattr(context_tree, "FLUSH_GRAMS", 300)
+    df = spark.createDataFrame([(1, "xyz" * 100_000), (2, None), (3, ""), (1, "xyz" * 100_000)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in context_tree.score_documents(df, F.lit(True)).collect())
+    assert got[0] == got[1] and got[2][1:] == got[3][1:] and got[0][1] == 2
+    assert got[0][6] < 0.01
 
 
 def test_whole_table(spark):
@@ -128,12 +150,13 @@ def test_whole_table(spark):
         assert r.base_score == pytest.approx(base)
     held = [r for r in got.values() if r.held_out]
     assert np.mean([r.bits_per_byte for r in held]) < 4  # bytes in the table's alphabet take over five bits
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
 def test_rare_contexts_count(spark, monkeypatch):
     """Every node of rare words counts, in full precision, and with hardly any broadcast cache."""
     monkeypatch.setattr(context_tree, "HOT_TOKENS", 0)
-    monkeypatch.setattr(context_tree, "HOT_GRAMS", 3)
+    monkeypatch.setattr(context_tree, "CACHE", 3)
     rng = np.random.default_rng(3)
     long = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(500)) for _ in range(4)]
     rows = list(enumerate(long)) + [(100, long[3][:300]), (101, "zzz unseen " + long[1][:99])]
