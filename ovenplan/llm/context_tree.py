@@ -41,13 +41,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ovenplan.llm import common
 from ovenplan.llm.lang_id import held_out
-from ovenplan.session import materialize
+from ovenplan.session import materialize, remove, shared_dir
 
 DEPTH = 7
 TOP = 3
@@ -101,12 +102,14 @@ def bucket_of(prefix: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Eight-byte values, first bytes first: counts and sorted keys then compress well."""
-    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Eight-byte values, first bytes first, compressed: sorted keys and small counts take about a byte or two."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.compress(planes.tobytes(), 1)
 
 
 def unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 def merged(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -476,8 +479,11 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
     ends = marked.filter("learned").count()
     words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n, v = words.n + ends, words.v + (ends > 0)
-    grams = materialize(tree_grams(gram_pieces(marked, depth, buckets), depth), "tree-grams")
-    bits = materialize(gram_bits(grams, depth), "tree-bits")
+    folder = shared_dir(spark, "tree-grams")
+    grams = tree_grams(gram_pieces(marked, depth, buckets), depth)
+    grams.write.parquet(folder)
+    bits = materialize(gram_bits(spark.read.schema(grams.schema).parquet(folder), depth), "tree-bits")
+    remove(spark, folder)
     name = F.when(F.octet_length("token") <= LONG_WORD, F.col("token")).otherwise(F.concat(F.lit(" "), F.sha2(F.col("token").cast("binary"), 256)))
     hot = counts.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select(name.alias("name"), "n")
     known_words = {r.name.encode(): r.n for r in hot.collect()}
