@@ -486,7 +486,8 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
     remove(spark, folder)
     name = F.when(F.octet_length("token") <= LONG_WORD, F.col("token")).otherwise(F.concat(F.lit(" "), F.sha2(F.col("token").cast("binary"), 256)))
     hot = counts.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select(name.alias("name"), "n")
-    known_words = {r.name.encode(): r.n for r in hot.collect()}
+    # Whether a word is known, and its log10 probability in the base.
+    known_words = {r.name.encode(): (int(r.n > 0), math.log10((r.n + 1) / (n + v + 1))) for r in hot.collect()}
     sent = spark.sparkContext.broadcast((known_words, *frequent_grams(bits, CACHE)))
 
     def scored(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -498,23 +499,30 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
         for counter in lists:
             sum_known, sum_base, others = int(ends > 0), math.log10((ends + 1) / (n + v + 1)), []
             for word, times in counter.items():
-                count = hot.get(_name(word))
-                if count is None:
+                found = hot.get(_name(word))
+                if found is None:
                     others.append((word.decode(), times))
                 else:
-                    sum_known += times * (count > 0)
-                    sum_base += times * math.log10((count + 1) / (n + v + 1))
+                    sum_known += times * found[0]
+                    sum_base += times * found[1]
             tokens.append(counter.total() + 1)
             known.append(sum_known)
             base.append(sum_base)
             rare.append(others)
         total, ask_keys, ask_owners = np.zeros(len(rows)), [], []
         for gram, owner in grams_of(streams, depth):
-            at = np.minimum(np.searchsorted(keys, gram), max(len(keys) - 1, 0))
-            there = keys[at] == gram if len(keys) else np.zeros(len(gram), dtype=bool)
-            total += np.bincount(owner[there], values[at[there]], len(rows))
-            ask_keys.append(gram[~there])
-            ask_owners.append(owner[~there])
+            # Each gram is looked up once, in the order of the table.
+            order = np.argsort(gram)
+            gram, owner = gram[order], owner[order]
+            first = np.concatenate([[True], gram[1:] != gram[:-1]])
+            own, place = gram[first], np.cumsum(first) - 1
+            at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
+            there = keys[at] == own if len(keys) else np.zeros(len(own), dtype=bool)
+            if len(keys):
+                total += np.bincount(owner, np.where(there, values[at], 0.0)[place], len(rows))
+            missing = ~there[place]
+            ask_keys.append(gram[missing])
+            ask_owners.append(owner[missing])
         key, owner = np.concatenate(ask_keys), np.concatenate(ask_owners)
         bucket = bucket_of(key >> (8 * (depth - top) + 8), buckets)
         order = np.argsort(bucket, kind="stable")
