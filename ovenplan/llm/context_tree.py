@@ -53,14 +53,14 @@ from ovenplan.session import materialize, remove, shared_dir
 DEPTH = 7
 TOP = 3
 CACHE = 1 << 21
-HOT_TOKENS = 32_768
+HOT_TOKENS = 131_072
 LONG_WORD = 64
 #: Words that a task counts before it passes them on; grams likewise, and places looked at together.
-FLUSH = 200_000
+FLUSH = 500_000
 FLUSH_GRAMS = 1_500_000
 PLACES = 1 << 20
 #: Buckets for each shuffle partition.
-BUCKETS = 16
+BUCKETS = 2
 END = b"\n"
 PACKED = "binary"
 
@@ -70,7 +70,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def stream_of(words: list[bytes]) -> bytes:
-    return b"".join([w + b" " for w in words]) + END
+    return b" ".join([*words, END])
 
 
 # ---- grams ---------------------------------------------------------------------------------------
@@ -81,10 +81,11 @@ def grams_of(streams: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.
     before = END * depth
     data = np.frombuffer(b"".join(before + s for s in streams), dtype=np.uint8)
     sizes = np.array([len(s) for s in streams], dtype=np.int64) + depth
-    ends = np.cumsum(sizes)
+    starts = np.cumsum(sizes) - sizes
     inner = np.ones(len(data), dtype=bool)
     for k in range(depth):
-        inner[ends - sizes + k] = False
+        inner[starts + k] = False
+    owner = np.repeat(np.arange(len(streams)), sizes)
     for a in range(depth, len(data), PLACES):
         part = data[a - depth : a + PLACES].astype(np.int64)
         n = len(part) - depth
@@ -93,7 +94,7 @@ def grams_of(streams: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, np.
             gram = (gram << 8) | part[depth - k : depth - k + n]
         gram = (gram << 8) | part[depth:]
         at = np.flatnonzero(inner[a : a + n])
-        yield gram[at], np.searchsorted(ends, at + a, side="right")
+        yield gram[at], owner[a : a + n][at]
 
 
 def bucket_of(prefix: np.ndarray, buckets: int) -> np.ndarray:
