@@ -393,7 +393,6 @@ def frequent_grams(bits: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def answered(asked: DataFrame, bits: DataFrame) -> DataFrame:
     """(block, at, bits): of ``asked`` (block, bucket, owners, keys), the sums of each owner's grams."""
-    kind = "bucket int, block long, owners binary, keys binary, bits binary"
     none = F.lit(None).cast("binary")
     table = bits.select("bucket", F.lit(None).cast("long").alias("block"), none.alias("owners"), "keys", "bits")
     rows = table.unionAll(asked.select("bucket", "block", "owners", "keys", none.alias("bits")))
@@ -404,10 +403,8 @@ def answered(asked: DataFrame, bits: DataFrame) -> DataFrame:
 
         def out():
             for block, parts in held.items():
-                at, sums = merged(*zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), block)), pa.array(at), pa.array(sums)], ["block", "at", "bits"]
-                )
+                packed = (pa.array([pack(v)], pa.binary()) for v in merged(*zip(*parts, strict=True)))
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *packed], ["block", "owners", "bits"])
             held.clear()
 
         for batch in batches:
@@ -427,8 +424,19 @@ def answered(asked: DataFrame, bits: DataFrame) -> DataFrame:
         yield from out()
 
     ordered = rows.repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first())
-    found = ordered.select(*(c.split()[0] for c in kind.split(", "))).mapInArrow(task, "block long, at long, bits double")
-    return found.groupBy("block", "at").agg(F.sum("bits").alias("more_bits"))
+    found = ordered.select("bucket", "block", "owners", "keys", "bits").mapInArrow(task, f"block long, owners {PACKED}, bits {PACKED}")
+    # A block has as many answers as places at most.
+    blocks = found.groupBy("block").agg(F.collect_list(F.struct("owners", "bits")).alias("found"))
+
+    def together(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                parts = batch.column("found")[r].as_py()
+                at, total = merged([unpack(x["owners"]) for x in parts], [unpack(x["bits"], np.float64) for x in parts])
+                block = np.full(len(at), batch.column("block")[r].as_py(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(at), pa.array(total)], ["block", "at", "more_bits"])
+
+    return blocks.mapInArrow(together, "block long, at long, more_bits double")
 
 
 # ---- scores --------------------------------------------------------------------------------------
@@ -438,22 +446,23 @@ def token_counts(docs: DataFrame) -> DataFrame:
     """(token, n, times) of the words of ``docs`` (text, learned): in the learned rows, and in all."""
 
     def task(batches):
-        counters = (Counter(), Counter())
+        other, own = Counter(), Counter()
 
         def out():
-            for learned, counter in enumerate(counters):
-                tokens = pa.array([t.decode() for t in counter], pa.string())
-                times = pa.array(list(counter.values()), pa.int64())
-                n = times if learned else pa.array(np.zeros(len(counter), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([tokens, n, times], ["token", "n", "times"])
-                counter.clear()
+            names = list(own.keys() | other.keys())
+            n = np.array([own[t] for t in names], dtype=np.int64)
+            times = n + np.array([other[t] for t in names], dtype=np.int64)
+            tokens = pa.array([t.decode() for t in names], pa.string())
+            yield pa.RecordBatch.from_arrays([tokens, pa.array(n), pa.array(times)], ["token", "n", "times"])
+            own.clear()
+            other.clear()
 
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
                 for text, learned in zip(part.column("text").to_pylist(), part.column("learned").to_pylist(), strict=True):
-                    counters[learned].update(words_of(text))
-                    if sum(map(len, counters)) > FLUSH:
+                    (own if learned else other).update(words_of(text))
+                    if len(own) + len(other) > FLUSH:
                         yield from out()
         yield from out()
 
