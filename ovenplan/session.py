@@ -71,6 +71,30 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Frees the shuffle files of an execution once it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_once(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` and read it back; the write's shuffle files go once it has ended.
+
+    Later steps read the table, never the shuffle files, which otherwise stay on the
+    executors' disks until the driver's next full collection. While the write runs a lost
+    executor's shuffle files are worked out again as usual.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -80,9 +104,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     executor re-reads files instead of replaying the plan, and reads get
     column pruning and filter pushdown.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_once(df, shared_dir(df.sparkSession, name))
+
+
+class Scratch:
+    """The tables of one job under the shared folder, each dropped once no frame in use reads it."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark, self.root = spark, shared_dir(spark, job)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        return write_once(df, f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables; what was derived from them must have been written before."""
+        for name in names:
+            remove(self.spark, f"{self.root}/{name}")
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
