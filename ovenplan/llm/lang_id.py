@@ -1,11 +1,12 @@
 """Language ID: words first, then shorter and shorter character n-grams.
 
-Words are runs of letters, lower-cased. All training rows are counted, by language
-and word; n-grams of one to five characters are counted from the word
-counts. All counts of all languages stay in tables, one entry per language that a word or
-n-gram was seen in. The distinct words of the documents are joined to them, and the
-documents' words to what was found; the most frequent words' entries (``CACHE_ENTRIES``)
-are broadcast to save that join. Only what belongs to a language as a whole is one array.
+Words are runs of letters, lower-cased. The texts are counted once, by language and word; one table
+holds, for each word, how often the texts to predict have it and how often each language was
+seen with it. N-grams of one to five characters are counted from that table. All counts of all
+languages stay in tables. Words that no language has go by a number through the n-gram
+joins, the longest n-grams first. The documents' words are joined to what was found; the
+most frequent words' entries (``CACHE_ENTRIES``) are broadcast to save that join. Only what belongs
+to a language as a whole is one array.
 
 A known word adds its log frequency in each language. Of an unseen word the
 longest n-grams that are known count instead: the mean of their log frequencies.
@@ -15,7 +16,7 @@ Defined cases: a text that is null or has no letter is ``und`` with score 0, as
 text when nothing was learned. Without any known n-gram, and in ties, the
 language with the most training rows wins, then the first by name. Rows with a null
 lang or text teach nothing; a null doc_id is not held out. Equal texts get equal
-predictions. Other columns are not read.
+predictions, and repeated rows teach as often as they occur. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +32,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ovenplan.llm import common, spans
-from ovenplan.session import materialize
+from ovenplan.session import Scratch
 
-KEEP = 100_000
 LONGEST = 5
-#: Entries (of a word and a language) of the most frequent words that are broadcast.
+#: Entries (of a word and a language) of the most frequent words that are broadcast, the words, and the bytes of one at most.
 CACHE_ENTRIES = 1_000_000
+CACHE_WORDS = 100_000
+CACHE_WORD_BYTES = 256
 SMOOTHING = 0.5
 UNKNOWN = "und"
-#: Tokens that a worker remembers, and their characters.
-CACHE_TOKENS = 300_000
-CACHE_CHARS = 16_000_000
+#: Distinct keys that a task counts before it hands them on.
 FLUSH = 400_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
+ENTRY = "struct<at:int,d:double>"
+ENTRIES = f"array<{ENTRY}>"
+#: What a word of the documents is.
+NOTHING, KNOWN, BY_GRAMS = 0, 1, 2
+#: In sums of entries, the places that count the n-grams found or the words of either sort.
+HITS = -1
+
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
@@ -63,22 +71,25 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 def _counted(df: DataFrame, fill, key: str, named=lambda counter: counter) -> DataFrame:
-    """Sums by language and key of what ``fill(counters, batch)`` counts, with bounded partial sums in each task.
+    """(at, asked, key, n): what ``fill(counters, batch)`` counts by (at, asked), in bounded partial sums of each task.
 
-    ``named`` turns what was counted for a language into counts by key.
+    ``named`` turns what was counted into counts by key.
     """
 
     def task(batches):
         counters = defaultdict(Counter)
 
         def out():
-            for lang, counter in counters.items():
+            for (at, asked), counter in counters.items():
                 found = named(counter)
-                langs = pa.array([lang] * len(found), pa.string())
+                size = len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [langs, pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
-                    ["lang", key, "n"],
-                )
+                    [
+                        pa.array([at] * size, pa.int32()), pa.array([asked] * size, pa.bool_()),
+                        pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64()),
+                    ],
+                    ["at", "asked", key, "n"],
+                )
             counters.clear()
 
         for batch in batches:
@@ -88,16 +99,28 @@ def _counted(df: DataFrame, fill, key: str, named=lambda counter: counter) -> Da
                     yield from out()
         yield from out()
 
-    parts = df.mapInArrow(task, f"lang string, {key} string, n long")
-    return parts.groupBy("lang", key).agg(F.sum("n").alias("n"))
+    return df.mapInArrow(task, f"at int, asked boolean, {key} string, n long")
+
+
+def _by_key(parts: DataFrame, key: str) -> DataFrame:
+    """(key, times, seen): how often it was asked for, and (at, n) of each language seen with it.
+
+    One shuffle: the sums by language keep the partitioning by key.
+    """
+    sums = parts.repartition(key).groupBy(key, "at").agg(
+        F.sum(F.when(F.col("asked"), F.col("n")).otherwise(0)).alias("times"), F.sum("n").alias("n")
+    )
+    seen = F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "n")))
+    return sums.groupBy(key).agg(F.sum("times").alias("times"), seen.alias("seen"))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) over all rows of ``docs`` (text, lang)."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, times, seen) of all ``rows`` (text, at, asked); at: the number of the language that a row teaches, or null."""
 
     def fill(counters, batch):
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            counters[lang].update(text.lower().split())
+        columns = (batch.column(c).to_pylist() for c in ("text", "at", "asked"))
+        for text, at, asked in zip(*columns, strict=True):
+            counters[at, asked].update(text.lower().split())
 
     def words(tokens):
         found = Counter()
@@ -106,180 +129,85 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 found[word] += n
         return found
 
-    return _counted(docs.filter("text is not null and lang is not null").select("text", "lang"), fill, "word", words)
+    return _by_key(_counted(rows.filter("text is not null"), fill, "word", words), "word")
 
 
 def gram_counts(words: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """(lang, gram, n) from word counts."""
+    """(gram, seen) from (word, seen)."""
 
     def fill(counters, batch):
-        for lang, word, count in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
-            counter = counters[lang]
-            for n in range(1, longest + 1):
-                if count == 1:
-                    counter.update(grams_of(word, n))
-                else:
-                    for gram in grams_of(word, n):
-                        counter[gram] += count
-
-    return _counted(words, fill, "gram")
-
-
-def _most_frequent(counts: DataFrame, key: str, keep: int) -> list:
-    """Rows of ``counts`` whose frequency is above the one at which ``keep`` rows would be exceeded."""
-    by = counts.groupBy(F.least("n", F.lit(1_000_000)).alias("n")).agg(F.count("*").alias("rows"))
-    total, least = 0, None
-    for r in by.orderBy(F.desc("n")).toLocalIterator():
-        total += r.rows
-        if total > keep:
-            least = r.n
-            break
-    return counts.filter(F.col("n") > least).collect() if least is not None else counts.collect()
-
-
-class Model:
-    """A small model in memory, of the most frequent words only (``identify`` uses all): log frequencies of kept words and n-grams, one column per language."""
-
-    def __init__(self, languages: list[str], words: list, grams: list, totals: dict):
-        self.languages = languages
-        self.words = self._table(words, "word", totals["word"])
-        self.grams = self._table(grams, "gram", totals["gram"])
-        self.cache: dict[str, int] = {}
-        self.chars = 0
-        self.weights = np.zeros((0, len(languages)))
-
-    def _table(self, rows, key, total):
-        at = {name: i for i, name in enumerate(self.languages)}
-        number: dict[str, int] = {}
-        for r in rows:
-            number.setdefault(r[key], len(number))
-        n = np.full((len(number), len(at)), SMOOTHING)
-        for r in rows:
-            if r.lang in at:
-                n[number[r[key]], at[r.lang]] += r.n
-        size = np.array([total.get(name, 0) for name in self.languages]) + SMOOTHING * (len(number) + 1)
-        return number, np.log(n / size)
-
-    def weigh(self, words: list[str]) -> np.ndarray:
-        """Log frequencies of each word; of an unseen one the mean over its longest known n-grams, 0 without any."""
-        out = np.zeros((len(words), len(self.languages)))
-        number, grams = self.words[0], self.grams[0]
-        known, rows, unseen, starts, found = [], [], [], [], []
-        for i, word in enumerate(words):
-            if (at := number.get(word)) is not None:
-                known.append(i)
-                rows.append(at)
-                continue
-            start = len(found)
-            for n in range(LONGEST, 0, -1):
-                found += [at for g in grams_of(word, n) if (at := grams.get(g)) is not None and g != " "]
-                if len(found) > start:
-                    unseen.append(i)
-                    starts.append(start)
-                    break
-        out[known] = self.words[1][rows]
-        if unseen:
-            sizes = np.diff([*starts, len(found)])
-            out[unseen] = np.add.reduceat(self.grams[1][found], starts) / sizes[:, None]
-        return out
-
-    def learn(self, tokens: set[str]) -> None:
-        """Remember the log frequencies of the words of ``tokens``, and of others met lately."""
-        if len(self.cache) > CACHE_TOKENS or self.chars > CACHE_CHARS:
-            self.cache, self.weights, self.chars = {}, self.weights[:0], 0
-        new = [t for t in tokens if t not in self.cache]
-        owners, words = [], []
-        for i, token in enumerate(new):
-            for word in words_of(token):
-                owners.append(i)
-                words.append(word)
-        weights = np.zeros((len(new), len(self.languages)))
-        if words:
-            np.add.at(weights, owners, self.weigh(words))
-        self.cache.update(zip(new, range(len(self.cache), len(self.cache) + len(new)), strict=True))
-        self.weights = np.concatenate([self.weights, weights])
-        self.chars += sum(map(len, new))
-
-    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        counters = [Counter((t or "").lower().split()) for t in texts]
-        self.learn(set().union(*counters))
-        return [self._predict(c) for c in counters]
-
-    def _predict(self, tokens: Counter) -> tuple[str, float]:
-        if not self.languages or not any(t.isalpha() or any(map(str.isalpha, t)) for t in tokens):
-            return UNKNOWN, 0.0
-        rows = self.weights[[self.cache[t] for t in tokens]]
-        total = (rows * np.array(list(tokens.values()), dtype=float)[:, None]).sum(axis=0)
-        share = np.exp(total - total.max())
-        best = int(total.argmax())
-        return self.languages[best], float(share[best] / share.sum())
-
-
-def fit(docs: DataFrame, keep: int = KEEP) -> Model:
-    """The model of the ``keep`` most frequent words and n-grams of ``docs`` (text, lang)."""
-    docs = docs.filter("text is not null and lang is not null")
-    rows = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
-    words = materialize(word_counts(docs), "lang-words")
-    grams = materialize(gram_counts(words), "lang-grams")
-    totals = {
-        key: {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        for key, counts in (("word", words), ("gram", grams))
-    }
-    return Model([r.lang for r in rows], _most_frequent(words, "word", keep), _most_frequent(grams, "gram", keep), totals)
-
-
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def of(batch):
-        texts = batch.column("text").to_pylist()
-        found = [p for i in range(0, len(texts), 200) for p in sent.value.predict_all(texts[i : i + 200])]
-        return [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()), [f[1] for f in found]]
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return common.map_batches(docs.select("doc_id", "text"), of, f"doc_id {kind}, lang_pred string, score double")
-
+        once = defaultdict(list)
+        for word, at, count in zip(*(batch.column(c).to_pylist() for c in ("word", "at", "n")), strict=True):
+            grams = [grams_of(word, n) for n in range(1, longest + 1)]
+            if count == 1:
+                once[at].extend(grams)
+            else:
+                counter = counters[at, False]
+                for gram in chain.from_iterable(grams):
+                    counter[gram] += count
+        for at, grams in once.items():
+            counters[at, False].update(chain.from_iterable(grams))
 
-ENTRIES = "array<struct<at:int,d:double>>"
-#: What a word of the documents is.
-NOTHING, KNOWN, BY_GRAMS = 0, 1, 2
+    return _by_key(_counted(words.select("word", F.inline("seen")), fill, "gram"), "gram").drop("times")
 
 
-def _entries(counts: DataFrame, languages: DataFrame, key: str) -> DataFrame:
-    """(key, entries): of each language seen with it, its number and how far the log frequency lies above an unseen one's."""
-    d = F.log((F.col("n") + SMOOTHING) / SMOOTHING)
-    each = counts.join(languages, "lang").select(key, F.struct("at", d.alias("d")).alias("entry"))
-    return each.groupBy(key).agg(F.collect_list("entry").cast(ENTRIES).alias("entries"))
+def _entries(seen: Column) -> Column:
+    """Of each language seen, its number and how far the log frequency lies above an unseen one's."""
+    return F.transform(seen, lambda s: F.struct(s["at"].alias("at"), F.log((s["n"] + SMOOTHING) / SMOOTHING).alias("d")))
 
 
-def _unseen_logs(counts: DataFrame, key: str, languages: list[str]) -> np.ndarray:
+def _unseen_logs(table: DataFrame, languages: int) -> np.ndarray:
     """Log frequency in each language of what it was not seen with."""
-    total = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    distinct = counts.select(key).distinct().count()
-    size = np.array([total.get(name, 0) for name in languages], dtype=float) + SMOOTHING * (distinct + 1)
+    total = {r["at"]: r.n for r in table.select(F.inline("seen")).groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    distinct = table.filter("size(seen) > 0").count()
+    size = np.array([total.get(at, 0) for at in range(languages)], dtype=float) + SMOOTHING * (distinct + 1)
     return np.log(SMOOTHING / size)
 
 
-def looked_up(asked: DataFrame, words: DataFrame, grams: DataFrame) -> DataFrame:
-    """(word, times, kind, entries) of ``asked`` (word, times), by (word, entries) and (gram, entries) of all that was learned."""
-    known = asked.join(words, "word").select("word", "times", F.lit(KNOWN).alias("kind"), "entries")
-    todo = materialize(asked.join(words.select("word"), "word", "left_anti"), "lang-unseen")
+def _summed(rows: DataFrame, key: str) -> DataFrame:
+    """(key, entries) from rows (key, entries): sums by language, in one shuffle."""
+    sums = rows.repartition(key).select(key, F.inline("entries")).groupBy(key, "at").agg(F.sum("d").alias("d"))
+    return sums.groupBy(key).agg(F.collect_list(F.struct("at", "d")).cast(ENTRIES).alias("entries"))
+
+
+def _with(entries: Column, at: Column, d: Column) -> Column:
+    """``entries`` and one more."""
+    return F.concat(entries, F.array(F.struct(at.cast("int").alias("at"), d.cast("double").alias("d"))))
+
+
+def _own_grams(words: DataFrame, n: int) -> DataFrame:
+    """(id, gram) of each place of ``words`` (id, word), in time linear in a word's length."""
+
+    def task(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                ids, grams = [], []
+                part = batch.slice(i, 1000)
+                for number, word in zip(part.column("id").to_pylist(), part.column("word").to_pylist(), strict=True):
+                    own = [g for g in grams_of(word, n) if g != " "]
+                    ids += [number] * len(own)
+                    grams += own
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams, pa.string())], ["id", "gram"])
+
+    return words.select("id", "word").mapInArrow(task, "id long, gram string")
+
+
+def by_grams(unseen: DataFrame, grams: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """(word, times, kind, entries) of ``unseen`` (id, word, times), in parts, by (gram, entries) of all n-grams learned."""
+    parts, todo = [], unseen
     for n in range(LONGEST, 0, -1):
-        marked = F.concat(F.lit(" "), "word", F.lit(" "))
-        places = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - n + 1))
-        own = todo.select("word", F.explode(F.transform(places, lambda i: F.substring(marked, i, F.lit(n)))).alias("gram"))
-        hits = materialize(own.filter("gram <> ' '").join(grams, "gram").select("word", "entries"), f"lang-hits-{n}")
-        sums = hits.select("word", F.inline("entries")).groupBy("word", "at").agg(F.sum("d").alias("d"))
-        number = hits.groupBy("word").agg(F.count("*").alias("hits"))
-        mean = sums.join(number, "word").groupBy("word").agg(
-            F.collect_list(F.struct("at", (F.col("d") / F.col("hits")).alias("d"))).cast(ENTRIES).alias("entries")
+        own = _own_grams(todo, n)
+        hits = own.join(grams.filter(F.length("gram") == n), "gram").select("id", _with(F.col("entries"), F.lit(HITS), F.lit(1)).alias("entries"))
+        number = F.filter("entries", lambda e: e["at"] == HITS)[0]["d"]
+        mean = F.transform(
+            F.filter("entries", lambda e: e["at"] != HITS),
+            lambda e: F.struct(e["at"].alias("at"), (e["d"] / F.col("number")).alias("d")),
         )
-        tried = materialize(todo.join(mean, "word", "left"), f"lang-tried-{n}")
-        found = tried.filter("entries is not null").select("word", "times", F.lit(BY_GRAMS).alias("kind"), "entries")
-        known = known.unionAll(found)
-        todo = tried.filter("entries is null").select("word", "times")
-    return known.unionAll(todo.select("word", "times", F.lit(NOTHING).alias("kind"), F.array().cast(ENTRIES).alias("entries")))
+        found = _summed(hits, "id").withColumn("number", number).select("id", mean.cast(ENTRIES).alias("entries"))
+        tried = scratch.write(todo.join(found, "id", "left"), f"tried-{n}")
+        parts.append(tried.filter("entries is not null").select("word", "times", F.lit(BY_GRAMS).alias("kind"), "entries"))
+        todo = tried.filter("entries is null").select("id", "word", "times")
+    return [*parts, todo.select("word", "times", F.lit(NOTHING).alias("kind"), F.array().cast(ENTRIES).alias("entries"))]
 
 
 class Cache:
@@ -296,40 +224,59 @@ class Cache:
         self.at = flat.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
         self.d = flat.field("d").to_numpy(zero_copy_only=False)
 
-    def entries_of(self, numbers: list[int], times: list[int]) -> list[tuple[int, float]]:
-        """Sums by language of the words' entries."""
+    def entries_of(self, rows: np.ndarray, numbers: np.ndarray, times: np.ndarray, n_rows: int, languages: int) -> pa.Array:
+        """Sums by row and language of the entries of words (row, number, times)."""
         sizes = self.sizes[numbers]
         place = np.arange(sizes.sum()) + np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes)
-        own, to = np.unique(self.at[place], return_inverse=True)
-        sums = np.bincount(to, self.d[place] * np.repeat(np.array(times, dtype=float), sizes), len(own))
-        return list(zip(own.tolist(), sums.tolist(), strict=True))
+        cell = np.repeat(rows, sizes) * max(languages, 1) + self.at[place]
+        own, to = np.unique(cell, return_inverse=True)
+        sums = np.bincount(to, self.d[place] * np.repeat(times, sizes), len(own))
+        at, row = own % max(languages, 1), own // max(languages, 1)
+        ends = np.searchsorted(row, np.arange(n_rows + 1))
+        flat = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums)], ["at", "d"])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+
 
+def identify(docs: DataFrame, learned: DataFrame | Column, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row, by all words, n-grams and languages of ``learned``.
 
-def identify(docs: DataFrame, learned: DataFrame, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row, by all words, n-grams and languages of ``learned`` (text, lang)."""
+    ``learned``: rows (text, lang), or which rows of ``docs``, that then have a column lang, teach.
+    """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    learned = learned.filter("text is not null and lang is not null")
-    languages = [r.lang for r in learned.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    scratch = Scratch(spark, "lang")
+    own = isinstance(learned, Column)
+    taught = (docs.filter(learned) if own else learned).filter("text is not null and lang is not null")
+    languages = [r.lang for r in taught.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     numbered = F.broadcast(spark.createDataFrame(list(zip(languages, range(len(languages)), strict=True)), "lang string, at int"))
-    words = materialize(word_counts(learned), "lang-words")
-    grams = materialize(gram_counts(words), "lang-grams")
-    logs = (_unseen_logs(words, "word", languages), _unseen_logs(grams, "gram", languages))
-    asked = word_counts(docs.select("text", F.lit("").alias("lang"))).select("word", F.col("n").alias("times"))
-    word_table = materialize(_entries(words, numbered, "word"), "lang-word-entries")
-    gram_table = materialize(_entries(grams, numbered, "gram"), "lang-gram-entries")
-    table = materialize(looked_up(materialize(asked, "lang-asked"), word_table, gram_table), "lang-looked-up")
-    hot = table.orderBy(F.desc("times"), "word").limit(min(KEEP, cache_entries // max(len(languages), 1)))
+    if own:
+        texts = docs.select("text", F.when(learned, F.col("lang")).alias("lang"), F.lit(True).alias("asked"))
+    else:
+        texts = docs.select("text", F.lit(None).cast("string").alias("lang"), F.lit(True).alias("asked"))
+        texts = texts.unionAll(taught.select("text", "lang", F.lit(False).alias("asked")))
+    docs = docs.select("doc_id", "text")
+    words = scratch.write(word_counts(texts.join(numbered, "lang", "left").select("text", "at", "asked")), "words")
+    grams = scratch.write(gram_counts(words), "grams")
+    logs = (_unseen_logs(words, len(languages)), _unseen_logs(grams, len(languages)))
+    unseen = words.filter("times > 0 and size(seen) = 0").select(F.monotonically_increasing_id().alias("id"), "word", "times")
+    unseen = scratch.write(unseen, "unseen")
+    table = words.filter("times > 0 and size(seen) > 0").select("word", "times", F.lit(KNOWN).alias("kind"), _entries(F.col("seen")).alias("entries"))
+    for part in by_grams(unseen, grams.select("gram", _entries(F.col("seen")).alias("entries")), scratch):
+        table = table.unionAll(part)
+    scratch.drop("unseen", "grams")
+    hot = table.filter(F.octet_length("word") <= CACHE_WORD_BYTES).orderBy(F.desc("times"), "word")
+    hot = hot.limit(min(CACHE_WORDS, cache_entries // max(len(languages), 1)))
     sent = spark.sparkContext.broadcast((Cache(hot.select("word", "kind", "entries").toArrow()), languages, logs))
 
     def counted(batch):
-        cache = sent.value[0]
-        split: dict[str, list[str]] = {}
-        keys, letters, known, by_grams, own, rare = [], [], [], [], [], []
+        cache, languages, _ = sent.value
+        number, split = cache.number, {}
+        keys, letters, rare, sizes = [], [], [], []
+        numbers: list[int] = []
+        times: list[int] = []
         for text in batch.column("text").to_pylist():
-            numbers, times, others = [], [], Counter()
+            before, others = len(numbers), Counter()
             for token, n in Counter((text or "").lower().split()).items():
-                at = cache.number.get(token)
+                at = number.get(token)
                 if at is not None:
                     numbers.append(at)
                     times.append(n)
@@ -337,22 +284,23 @@ def identify(docs: DataFrame, learned: DataFrame, cache_entries: int = CACHE_ENT
                 if (parts := split.get(token)) is None:
                     parts = split[token] = words_of(token)
                 for word in parts:
-                    at = cache.number.get(word)
+                    at = number.get(word)
                     if at is None:
                         others[word] += n
                     else:
                         numbers.append(at)
                         times.append(n)
-            kinds = np.bincount(cache.kind[numbers], times, 3) if numbers else np.zeros(3)
             keys.append(hashlib.blake2b(repr(text).encode(), digest_size=16).digest())
-            letters.append(bool(numbers or others))
-            known.append(int(kinds[KNOWN]))
-            by_grams.append(int(kinds[BY_GRAMS]))
-            own.append(cache.entries_of(numbers, times) if numbers else [])
+            letters.append(len(numbers) > before or bool(others))
+            sizes.append(len(numbers) - before)
             rare.append(list(others.items()))
+        n_rows = len(keys)
+        at, n = np.array(numbers, dtype=np.int64), np.array(times, dtype=float)
+        row = np.repeat(np.arange(n_rows), sizes)
+        kinds = np.bincount(row * 3 + cache.kind[at], n, n_rows * 3).reshape(n_rows, 3).astype(np.int64)
         return [
-            batch.column("doc_id"), pa.array(keys, pa.binary()), letters, known, by_grams,
-            pa.array(own, pa.list_(pa.struct([("at", pa.int32()), ("d", pa.float64())]))),
+            batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(letters, pa.bool_()), pa.array(kinds[:, KNOWN]), pa.array(kinds[:, BY_GRAMS]),
+            cache.entries_of(row, at, n, n_rows, len(languages)),
             pa.array(rare, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))),
         ]
 
@@ -362,17 +310,14 @@ def identify(docs: DataFrame, learned: DataFrame, cache_entries: int = CACHE_ENT
         counted,
         f"doc_id {kind}, key binary, letters boolean, known long, by_grams long, own {ENTRIES}, rare array<struct<word:string,times:bigint>>",
     )
-    rows = materialize(rows, "lang-rows")
+    rows = scratch.write(rows, "rows")
     # Equal texts have one key; their words are looked up once.
-    rare = rows.filter("size(rare) > 0").select("key", "rare").dropDuplicates(["key"]).select("key", F.inline("rare"))
-    rare = materialize(rare.join(table.select("word", "kind", "entries"), "word"), "lang-rare")
-    number = lambda k: F.sum(F.when(F.col("kind") == k, F.col("times")).otherwise(0))
-    kinds = rare.groupBy("key").agg(number(KNOWN).alias("more_known"), number(BY_GRAMS).alias("more_by_grams"))
-    sums = rare.select("key", "times", F.inline("entries")).groupBy("key", "at").agg(F.sum(F.col("times") * F.col("d")).alias("d"))
-    sums = sums.groupBy("key").agg(F.collect_list(F.struct("at", "d")).cast(ENTRIES).alias("more"))
-    found = kinds.join(sums, "key", "left")
-    found = found.select("key", F.struct("more_known", "more_by_grams", F.coalesce("more", F.array().cast(ENTRIES)).alias("more")).alias("found"))
-    both = spans.joined_by_text(rows.drop("rare"), found, "lang-found").select("doc_id", "letters", "known", "by_grams", "own", "found.*")
+    rare = scratch.write(rows.filter("size(rare) > 0").select("key", "rare").dropDuplicates(["key"]), "rare")
+    rare = rare.select("key", F.inline("rare")).join(table.select("word", "kind", "entries"), "word")
+    weighed = F.transform("entries", lambda e: F.struct(e["at"].alias("at"), (e["d"] * F.col("times")).alias("d")))
+    # Places -1, -2 and -3 count the words of each kind.
+    found = _summed(rare.select("key", _with(weighed, F.lit(-1) - F.col("kind"), F.col("times")).alias("entries")), "key")
+    both = spans.joined_by_text(rows.drop("rare"), found, "lang-found").select("doc_id", "letters", "known", "by_grams", "own", "entries")
 
     def pick(batch):
         _, languages, logs = sent.value
@@ -382,9 +327,14 @@ def identify(docs: DataFrame, learned: DataFrame, cache_entries: int = CACHE_ENT
                 preds.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            total = (r["known"] + (r["more_known"] or 0)) * logs[0] + (r["by_grams"] + (r["more_by_grams"] or 0)) * logs[1]
-            for e in [*r["own"], *(r["more"] or [])]:
-                total[e["at"]] += e["d"]
+            number = {KNOWN: r["known"], BY_GRAMS: r["by_grams"], NOTHING: 0}
+            total = np.zeros(len(languages))
+            for e in [*r["own"], *(r["entries"] or [])]:
+                if e["at"] < 0:
+                    number[-1 - e["at"]] += e["d"]
+                else:
+                    total[e["at"]] += e["d"]
+            total += number[KNOWN] * logs[0] + number[BY_GRAMS] * logs[1]
             total = np.round(total, 9)  # sums in another order are still ties
             best = int(total.argmax())
             preds.append(languages[best])
@@ -397,4 +347,4 @@ def identify(docs: DataFrame, learned: DataFrame, cache_entries: int = CACHE_ENT
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     out = held_out(F.col("doc_id"), 3, 1)
-    return identify(docs, docs.filter(~out)).withColumn("held_out", out)
+    return identify(docs, ~out).withColumn("held_out", out)

@@ -1,12 +1,78 @@
+import math
 import zlib
+from collections import Counter, defaultdict
 
-import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ovenplan.llm import lang_id
 from tests.conftest import SF_MID
 
 
+def words(text):
+    """Runs of letters (by Unicode category, numbers like Ⅷ excepted) of the lower-cased text."""
+    out = []
+    for token in (text or "").lower().split():
+        run = ""
+        for c in token + " ":
+            if c.isalnum() and not c.isdecimal():
+                run += c
+            elif run:
+                out.append(run)
+                run = ""
+    return [w for w in out if any(c.isalpha() for c in w)]
+
+
+def brute(asked, learned):
+    """(lang, score) of each text by all words and n-grams of ``learned`` (text, lang)."""
+    rows = Counter(lang for text, lang in learned if text is not None and lang is not None)
+    languages = sorted(rows, key=lambda lang: (-rows[lang], lang))
+    by_word, by_gram = defaultdict(Counter), defaultdict(Counter)
+    for text, lang in learned:
+        if lang is not None:
+            for w in words(text):
+                by_word[w][lang] += 1
+                marked = f" {w} "
+                for n in range(1, 6):
+                    for i in range(len(marked) + 1 - n):
+                        by_gram[marked[i : i + n]][lang] += 1
+    total = {id(t): Counter() for t in (by_word, by_gram)}
+    for t in (by_word, by_gram):
+        for c in t.values():
+            total[id(t)].update(c)
+
+    def log(table, key, lang):
+        return math.log((table[key][lang] + 0.5) / (total[id(table)][lang] + 0.5 * (len(table) + 1)))
+
+    def weigh(word, lang):
+        if word in by_word:
+            return log(by_word, word, lang)
+        for n in range(5, 0, -1):
+            marked = f" {word} "
+            grams = [marked[i : i + n] for i in range(len(marked) + 1 - n)]
+            grams = [g for g in grams if g in by_gram and g != " "]
+            if grams:
+                return sum(log(by_gram, g, lang) for g in grams) / len(grams)
+        return 0.0
+
+    out = []
+    for text in asked:
+        if not languages or not words(text):
+            out.append(("und", 0.0))
+            continue
+        count = Counter(words(text))
+        sums = [round(sum(n * weigh(w, lang) for w, n in count.items()), 9) for lang in languages]
+        best = sums.index(max(sums))
+        out.append((languages[best], 1 / sum(math.exp(s - sums[best]) for s in sums)))
+    return out
+
+
+def same(got, want):
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert g[:-1] == w[:-1] and g[-1] == pytest.approx(w[-1], abs=1e-6)
+
+
 def test_held_out_accuracy(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "lang").collect()}
     got = lang_id.op9_language_id(spark, SF_MID).collect()
@@ -18,65 +84,46 @@ def test_held_out_accuracy(spark):
     assert sum(held) >= 0.98 * len(held)
 
 
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").collect()
+    learned = [(r.text, r.lang) for r in docs if zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    want = [(r.doc_id, *p) for r, p in zip(docs, brute([r.text for r in docs], learned), strict=True)]
+    got = lang_id.op9_language_id(spark, SF_MID).orderBy("doc_id").collect()
+    same([(r.doc_id, r.lang_pred, r.score) for r in got], want)
+
+
 def test_edge_cases(spark):
     rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (2, "le chat et le chien", "fr"), (None, "the end", "en")]
     rows += [(3, None, "en"), (4, "teaches nothing", None), (5, "", "fr")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
-    model = lang_id.fit(df)
-    assert model.languages == ["fr", "en"]
-    ask = [(1, "the dogs"), (2, "LE CHIEN"), (3, None), (4, ""), (5, "12 + 3 = ²"), (6, "日本"), (7, "chats"), (None, "the " * 50_000), (8, "Ⅷ ½")]
-    asked = spark.createDataFrame(ask, "doc_id long, text string").withColumn("lang_pred", F.lit(1))
-    got = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.predict(asked, model).collect()}
-    assert {i: g[0] for i, g in got.items()} == {1: "en", 2: "fr", 3: "und", 4: "und", 5: "und", 6: "fr", 7: "fr", None: "en", 8: "und"}
-    assert got[3][1] == 0 and got[6][1] == 0.5 and got[None][1] > 0.99
-    nothing = lang_id.fit(df.filter("false"))
-    assert {r.lang_pred for r in lang_id.predict(asked, nothing).collect()} == {"und"}
-    assert lang_id.predict(asked.filter("false"), model).collect() == []
-
-
-def test_kept_words_are_bounded(spark):
-    rows = [(f"w{'x' * i} " * (i + 1), "en") for i in range(30)]
-    df = spark.createDataFrame(rows, "text string, lang string")
-    model = lang_id.fit(df, keep=10)
-    assert len(model.words[0]) == 10 and "w" + "x" * 29 in model.words[0]
-
-
-def test_weights_add_up(spark):
-    rows = [("the cat and the dog", "en"), ("le chat et le chien", "fr")] * 3
-    model = lang_id.fit(spark.createDataFrame(rows, "text string, lang string"))
-    number, logs = model.words
-    grams, gram_logs = model.grams
-    longest = [grams[g] for g in lang_id.grams_of("thex", 4) if g in grams]
-    # Two known words in one token, an unseen word, and a token without letters.
-    model.learn({"cat,dog", "thex", "12"})
-    assert np.allclose(model.weights[model.cache["cat,dog"]], logs[number["cat"]] + logs[number["dog"]])
-    assert longest and np.allclose(model.weights[model.cache["thex"]], gram_logs[longest].mean(axis=0))
-    assert not model.weights[model.cache["12"]].any()
-    assert model.predict_all([None, "", "12"]) == [(lang_id.UNKNOWN, 0.0)] * 3
-
-
-def test_all_words_count(spark):
-    """Same as the model that holds everything, whether words are broadcast or joined."""
+    learned = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x")).withColumn("at", F.lit("x"))
+    ask = [(1, "the dogs"), (2, "LE CHIEN"), (3, None), (4, ""), (5, "12 + 3 = ²"), (6, "日本"), (7, "chats"), (8, "Ⅷ ½"), (9, "the " * 50_000)]
+    ask += [(10, "q" * 100_000), (11, "x" * 300), (12, "cat,dog THEX 12"), (12, "cat,dog THEX 12"), (None, "the")]
+    asked = spark.createDataFrame(ask, "doc_id long, text string")
+    for name in ("lang_pred", "at", "asked", "key", "times", "entries", "lang"):
+        asked = asked.withColumn(name, F.lit(1))
+    want = sorted(((i or -1, *p) for (i, _), p in zip(ask, brute([t for _, t in ask], [r[1:] for r in rows]), strict=True)))
+    for entries in (4, 1_000_000):
+        got = sorted((r.doc_id or -1, r.lang_pred, r.score) for r in lang_id.identify(asked, learned, entries).collect())
+        same(got, want)
+    assert {i: p for i, p, _ in want}[2] == "fr" and {i: p for i, p, _ in want}[8] == "und"
+    assert {r.lang_pred for r in lang_id.identify(asked, learned.filter("false")).collect()} == {"und"}
+    assert lang_id.identify(asked.filter("false"), learned).collect() == []
+    assert lang_id.identify(learned.filter("false"), F.lit(True)).collect() == []
+
+
+def test_many_languages(spark):
+    """Words are known, broadcast or joined, in more than 100 languages."""
     name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")
-    rows = [(i, f"common words {name(i) * 2} and {name(i)}x{name(i)}, {'rare' if i == 89 else 'usual'}", f"l{i:03d}") for i in range(90)]
+    rows = [(i, f"common words {name(i) * 2} and {name(i)}x{name(i)}, {'rare' if i == 89 else 'usual'}", f"l{i:03d}") for i in range(130)]
     rows += [(1000 + i, t, "l000") for i, t in enumerate(["common words here", "usual things", "and more"] * 5)]
+    ask = [(i, t) for i, t, _ in rows] + [(2000, "rare aabbzz"), (2001, "rare"), (2002, None), (2003, "12 3"), (2004, "日本"), (2005, name(77) * 3), (2001, "rare")]
     learned = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    asked = [(i, t) for i, t, _ in rows] + [(2000, "rare aabbzz"), (2001, "rare"), (2002, None), (2003, "12 3"), (2004, "日本"), (None, name(77) * 3), (2001, "rare")]
-    df = spark.createDataFrame(asked, "doc_id long, text string")
-    model = lang_id.fit(learned)
-    assert len(model.languages) == 90
-    want = sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 6)) for r in lang_id.predict(df, model).collect()))
-    for entries in (0, 1000, 1_000_000):
-        got = sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 6)) for r in lang_id.identify(df, learned, entries).collect()))
-        assert got == want
-    assert dict((g[0], g[1]) for g in got)[2001] == "l089"
-    assert {r.lang_pred for r in lang_id.identify(df, learned.filter("false")).collect()} == {"und"}
-
-
-def test_more_than_100_languages(spark):
-    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:03d}")
-    rows = [(i, f"common and {name(i)}x{name(i)}", f"l{i:03d}") for i in range(130)] + [(1000, "common", "l000")]
-    learned = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    assert {r.doc_id: r.lang_pred for r in lang_id.identify(learned, learned).collect()} == {i: lang for i, _, lang in rows}
-    model = lang_id.fit(learned)
-    assert {r.doc_id: r.lang_pred for r in lang_id.predict(learned, model).collect()} == {i: lang for i, _, lang in rows}
+    asked = spark.createDataFrame(ask, "doc_id long, text string")
+    want = sorted((i, *p) for (i, _), p in zip(ask, brute([t for _, t in ask], [r[1:] for r in rows]), strict=True))
+    for entries in (0, 1000):
+        got = sorted((r.doc_id, r.lang_pred, r.score) for r in lang_id.identify(asked, learned, entries).collect())
+        same(got, want)
+    assert dict((g[0], g[1]) for g in want)[2001] == "l089"
+    # Which rows teach may also be a condition on the rows themselves.
+    got = sorted((r.doc_id, r.lang_pred, r.score) for r in lang_id.identify(learned, F.col("doc_id") >= 0).collect())
+    same(got, [w for w in want if w[0] < 2000])
