@@ -311,12 +311,16 @@ def identify(docs: DataFrame, learned: DataFrame | Column, cache_entries: int =
         f"doc_id {kind}, key binary, letters boolean, known long, by_grams long, own {ENTRIES}, rare array<struct<word:string,times:bigint>>",
     )
     rows = scratch.write(rows, "rows")
-    # Equal texts have one key; their words are looked up once.
-    rare = scratch.write(rows.filter("size(rare) > 0").select("key", "rare").dropDuplicates(["key"]), "rare")
-    rare = rare.select("key", F.inline("rare")).join(table.select("word", "kind", "entries"), "word")
+    # Equal texts have one key; their words are looked up once, by a number that is shorter to shuffle.
+    rare = rows.filter("size(rare) > 0").select("key", "rare").dropDuplicates(["key"])
+    rare = scratch.write(rare.withColumn("id", F.monotonically_increasing_id()), "rare")
+    pairs = rare.select("id", F.inline("rare")).join(table.select("word", "kind", "entries"), "word")
     weighed = F.transform("entries", lambda e: F.struct(e["at"].alias("at"), (e["d"] * F.col("times")).alias("d")))
     # Places -1, -2 and -3 count the words of each kind.
-    found = _summed(rare.select("key", _with(weighed, F.lit(-1) - F.col("kind"), F.col("times")).alias("entries")), "key")
+    sums = _summed(pairs.select("id", _with(weighed, F.lit(-1) - F.col("kind"), F.col("times")).alias("entries")), "id")
+    sums = scratch.write(sums, "sums")
+    scratch.drop("words", *(f"tried-{n}" for n in range(1, LONGEST + 1)))
+    found = sums.join(rare.select("id", "key"), "id").select("key", "entries")
     both = spans.joined_by_text(rows.drop("rare"), found, "lang-found").select("doc_id", "letters", "known", "by_grams", "own", "entries")
 
     def pick(batch):
