@@ -107,3 +107,36 @@ def test_l2_model_is_saved_with_its_leaves(spark, split, tmp_dir):
 def test_remove_only_under_the_shared_folder(spark, tmp_dir):
     with pytest.raises(ValueError, match="not under"):
         remove(spark, tmp_dir)
+
+
+def test_a_tree_takes_a_job_per_level_and_one_for_its_error(spark, split):
+    train, stop, _ = split
+    rows, held = vectors(train, gbt.BASELINE), vectors(stop, gbt.BASELINE)
+
+    def jobs(trees):
+        group = f"boost-{trees}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            boosting.boost(rows, held, trees, 50, keep_all, checkpoint_interval=100, maxDepth=2)
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    assert jobs(5) - jobs(2) <= 3 * (2 + 1)
+
+
+def test_missing_values_go_right_in_training_as_in_prediction(spark):
+    nan = float("nan")
+    data = [(nan if i % 3 == 0 else float(i % 5), float(i % 2), 50.0 if i % 3 == 0 else float(i % 5)) for i in range(300)]
+    df = spark.createDataFrame(data, "a double, b double, label double")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep").transform(df)
+    ensemble, errors = boosting.boost(rows, rows, 4, 50, keep_all, step_size=0.5, maxDepth=3, maxBins=32)
+    got = ensemble.model().transform(rows).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0]
+    assert got == pytest.approx(errors[-1], abs=1e-9) and errors[-1] < 1e-9
+
+
+def test_one_leaf_if_nothing_splits(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "a double, label double")
+    rows = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    ensemble, _ = boosting.boost(rows, None, 1, 50, keep_all, l2=1.0)
+    assert ensemble.leaves == [[2.0]] and ensemble.trees[0].numNodes == 1
