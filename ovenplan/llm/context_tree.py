@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 
 from ovenplan.llm import common
 from ovenplan.llm.lang_id import held_out
-from ovenplan.session import materialize, remove, shared_dir
+from ovenplan.session import materialize, remove, shared_dir, write_once
 
 DEPTH = 7
 TOP = 3
@@ -59,6 +59,8 @@ LONG_WORD = 64
 FLUSH = 500_000
 FLUSH_GRAMS = 1_500_000
 PLACES = 1 << 20
+#: Grams that a task sorts together.
+RAW_GRAMS = 1 << 22
 #: Buckets for each shuffle partition.
 BUCKETS = 2
 END = b"\n"
@@ -136,6 +138,16 @@ def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
 
     def task(batches):
         parts, size = [], 0
+        raw: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        held = {True: 0, False: 0}
+
+        def counted(learned):
+            """Adds the grams at hand, sorted together, to the parts."""
+            key, times = np.unique(np.concatenate(raw[learned]), return_counts=True)
+            parts.append((key, times if learned else np.zeros_like(times), times))
+            raw[learned].clear()
+            held[learned] = 0
+            return len(key)
 
         def out():
             key, n, times = merged(*zip(*parts, strict=True))
@@ -150,15 +162,20 @@ def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
 
         for learned, streams in _streams(batches):
             for grams, _ in grams_of(streams, depth):
-                key, times = np.unique(grams, return_counts=True)
-                parts.append((key, times if learned else np.zeros_like(times), times))
-                size += len(key)
+                raw[learned].append(grams)
+                held[learned] += len(grams)
+                if held[learned] < RAW_GRAMS:
+                    continue
+                size += counted(learned)
                 if size > 2 * FLUSH_GRAMS:
                     parts = [merged(*zip(*parts, strict=True))]
                     size = len(parts[0][0])
                     if size > FLUSH_GRAMS:
                         yield from out()
                         parts, size = [], 0
+        for learned in raw:
+            if raw[learned]:
+                counted(learned)
         if parts:
             yield from out()
 
@@ -203,9 +220,8 @@ def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(n, dtype=values.dtype)
-    np.add.at(out, at, values)
-    return out
+    # Counts are whole below 2**53.
+    return np.bincount(at, values, n).astype(values.dtype, copy=False)
 
 
 class Levels:
@@ -490,9 +506,9 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
     words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n, v = words.n + ends, words.v + (ends > 0)
     folder = shared_dir(spark, "tree-grams")
-    grams = tree_grams(gram_pieces(marked, depth, buckets), depth)
-    grams.write.parquet(folder)
-    bits = materialize(gram_bits(spark.read.schema(grams.schema).parquet(folder), depth), "tree-bits")
+    # The shuffle files of the pieces go with the write: they are as much as the table.
+    grams = write_once(tree_grams(gram_pieces(marked, depth, buckets), depth), folder)
+    bits = materialize(gram_bits(grams, depth), "tree-bits")
     remove(spark, folder)
     name = F.when(F.octet_length("token") <= LONG_WORD, F.col("token")).otherwise(F.concat(F.lit(" "), F.sha2(F.col("token").cast("binary"), 256)))
     hot = counts.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select(name.alias("name"), "n")
@@ -505,20 +521,23 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
         hot, keys, values = sent.value
         lists = [Counter(own) for _, own in rows]
         streams = [stream_of(own) for _, own in rows]
-        tokens, known, base, rare = [], [], [], []
+        tokens, known, base = [], [], []
+        rare, rare_times, rare_ends = [], [], [0]
         for counter in lists:
-            sum_known, sum_base, others = int(ends > 0), math.log10((ends + 1) / (n + v + 1)), []
-            for word, times in counter.items():
-                found = hot.get(_name(word))
+            sum_known, sum_base = int(ends > 0), math.log10((ends + 1) / (n + v + 1))
+            for (word, times), found in zip(counter.items(), map(hot.get, counter), strict=True):
+                if found is None and len(word) > LONG_WORD:
+                    found = hot.get(_name(word))
                 if found is None:
-                    others.append((word.decode(), times))
+                    rare.append(word)
+                    rare_times.append(times)
                 else:
                     sum_known += times * found[0]
                     sum_base += times * found[1]
             tokens.append(counter.total() + 1)
             known.append(sum_known)
             base.append(sum_base)
-            rare.append(others)
+            rare_ends.append(len(rare))
         total, ask_keys, ask_owners = np.zeros(len(rows)), [], []
         for gram, owner in grams_of(streams, depth):
             # Each gram is looked up once, in the order of the table.
@@ -537,6 +556,7 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
         bucket = bucket_of(key >> (8 * (depth - top) + 8), buckets)
         order = np.argsort(bucket, kind="stable")
         asks = [(number, pack(owner[order[at]]), pack(key[order[at]])) for number, at in slices(bucket[order])]
+        rare = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(rare_times, pa.int64())], ["token", "times"])
         ask_type = pa.list_(pa.struct([("bucket", pa.int32()), ("owners", pa.binary()), ("keys", pa.binary())]))
         block = uuid.uuid4().int >> 65
         return pa.RecordBatch.from_arrays(
@@ -544,7 +564,7 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
                 pa.array([block] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int64()), pa.array([i for i, _ in rows], kind),
                 pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(total),
                 pa.array([len(s) for s in streams], pa.int64()),
-                pa.array(rare, pa.list_(pa.struct([("token", pa.string()), ("times", pa.int64())]))),
+                pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare),
                 pa.array([asks, *[[]] * (len(rows) - 1)], ask_type),
             ],
             ["block", "at", "doc_id", "n_tokens", "known", "base", "bits", "size", "rare", "asks"],
