@@ -42,7 +42,7 @@ END_ID = 0
 #: Chunks whose ids a worker remembers in one generation; it keeps two.
 CACHE_CHUNKS = 200_000
 #: Characters of text, or more by one document, that are encoded together.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 #: Partitions whose totals are summed by one task.
 BLOCK = 1000
 
@@ -116,18 +116,26 @@ class ChunkIds:
         ]
 
     def _learn(self, new: set[str]) -> None:
-        words, raw = self.words, self.raw
-        new_words, new_raw = set(), set()
+        words, raw, known = self.words, self.raw, self.known
+        # Most keys are plain letters: no parts to tell apart.
+        plain = [key for key in new if key.isascii() and key.isalpha()]
+        new_words, new_raw = set(plain).difference(words), set()
+        new.difference_update(plain)
+        parts, fed, others = [], [], []
         for key in new:
             word = key.rstrip(_MARKS)
-            if _LETTERS.fullmatch(word):
+            if word in words or _LETTERS.fullmatch(word):
                 if word not in words:
                     new_words.add(word)
-                new_raw.add(key[len(word) :])
+                marks = key[len(word) :]
+                new_raw.add(marks)
+                parts += key, word, marks
             elif key[0] == "\n" and _LETTERS.fullmatch(word, 1):
-                new_raw.update((word[1:], key[len(word) :]))
+                fed.append((key, word[1:], key[len(word) :]))
+                new_raw.update(fed[-1][1:])
             else:
-                new_raw.add(_text_of(key))
+                others.append((key, _text_of(key)))
+                new_raw.add(others[-1][1])
         new_words = list(new_words)
         for i in range(0, len(new_words), 20_000):
             block = new_words[i : i + 20_000]
@@ -138,15 +146,14 @@ class ChunkIds:
             words.update(zip(block, [all_ids[a:b] for a, b in zip(at, [*at[1:], len(all_ids)], strict=True)], strict=True))
         new_raw = list(new_raw - raw.keys())
         raw.update(zip(new_raw, self._encode(new_raw), strict=True))
-        known = self.known
-        for key in new:
-            word = key.rstrip(_MARKS)
-            if word in words:
-                known[key] = words[word] + raw[key[len(word) :]]
-            elif key[0] == "\n" and _LETTERS.fullmatch(word, 1):
-                known[key] = self.line_feed + raw[word[1:]] + raw[key[len(word) :]]
-            else:
-                known[key] = raw[_text_of(key)]
+        known.update(zip(plain, map(words.__getitem__, plain), strict=True))
+        parts = iter(parts)
+        for key, word, marks in zip(parts, parts, parts, strict=True):
+            known[key] = words[word] + raw[marks]
+        for key, word, marks in fed:
+            known[key] = self.line_feed + raw[word] + raw[marks]
+        for key, text in others:
+            known[key] = raw[text]
 
 
 def _text_of(key: str) -> str:

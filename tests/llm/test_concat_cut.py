@@ -118,3 +118,18 @@ def test_sequences_hold_the_ids(spark, tokenizer):
     found = sorted(concat_cut.sequences(pieces).collect(), key=lambda r: r.sequence_id)
     want = np.concatenate([ids_of(tokenizer, t) for _, t in rows])
     assert b"".join(bytes(r.ids) for r in found) == want.tobytes()
+
+
+def test_plain_words_are_not_taken_apart(tokenizer, monkeypatch):
+    asked = []
+
+    class Letters:
+        def fullmatch(self, word, *at, of=concat_cut._LETTERS):
+            asked.append(word)
+            return of.fullmatch(word, *at)
+
+    monkeypatch.setattr(concat_cut, "_LETTERS", Letters())
+    text = "plain letters, Été naïve ×sign x1 done.\nplain again and words here"
+    got = concat_cut.ChunkIds(PATH).of([text, "words"])
+    assert got == [ids_of(tokenizer, t)[:-1].tobytes() for t in (text, "words")]
+    assert not {"words", "again", "and", "here"} & set(asked) and "Été" in asked
