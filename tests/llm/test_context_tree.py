@@ -166,3 +166,41 @@ def test_rare_contexts_count(spark, monkeypatch):
     tree.below = functools.cache(tree.below)
     for i, text in [rows[0], *rows[-2:]]:
         assert got[i] == pytest.approx(tree.score(text), rel=1e-9)
+
+
+def test_the_tree_table_frees_its_shuffle_files(spark, monkeypatch):
+    from ovenplan import session
+
+    docs = spark.createDataFrame([(i, f"some words {i} of text") for i in range(40)], "doc_id long, text string")
+    freed, before = [], session.write_once
+    monkeypatch.setattr(context_tree, "write_once", lambda df, path: freed.append(path) or before(df, path))
+    assert context_tree.score_documents(docs, F.col("doc_id") % 2 == 0).count() == 40
+    assert len(freed) == 1 and "tree-grams" in freed[0]
+
+
+def test_grams_sorted_in_small_lots_give_the_same_counts(spark, monkeypatch):
+    # In the session's own process: the limits hold where the plan's function is made and run.
+    import pyarrow as pa
+
+    rows = [(f"a few words {i % 7} and a few more {i}", i % 3 > 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "text string, learned boolean")
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+    context_tree.gram_pieces(docs, 3, 4)
+    batch = pa.RecordBatch.from_pylist([dict(text=t, learned=known) for t, known in rows])
+
+    def counts():
+        found = {}
+        for out in tasks[0](iter([batch, batch])):
+            for key, n, times in zip(*(context_tree.unpack(out.column(c)[0].as_py()) for c in ("keys", "n", "times")), strict=True):
+                a, b = found.get(int(key), (0, 0))
+                found[int(key)] = a + int(n), b + int(times)
+        return found
+
+    whole = counts()
+    for limits in ((10, 1 << 20), (10, 50), (1 << 20, 50)):
+        monkeypatch.setattr(context_tree, "RAW_GRAMS", limits[0])
+        monkeypatch.setattr(context_tree, "FLUSH_GRAMS", limits[1])
+        monkeypatch.setattr(context_tree, "PLACES", 100)
+        assert counts() == whole
+    assert sum(b for _, b in whole.values()) == 2 * sum(len(context_tree.stream_of(context_tree.words_of(t))) for t, _ in rows)
