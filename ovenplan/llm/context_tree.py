@@ -59,8 +59,6 @@ LONG_WORD = 64
 FLUSH = 500_000
 FLUSH_GRAMS = 1_500_000
 PLACES = 1 << 20
-#: Grams that a task sorts together.
-RAW_GRAMS = 1 << 22
 #: Buckets for each shuffle partition.
 BUCKETS = 2
 END = b"\n"
@@ -138,16 +136,6 @@ def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
 
     def task(batches):
         parts, size = [], 0
-        raw: dict[bool, list[np.ndarray]] = {True: [], False: []}
-        held = {True: 0, False: 0}
-
-        def counted(learned):
-            """Adds the grams at hand, sorted together, to the parts."""
-            key, times = np.unique(np.concatenate(raw[learned]), return_counts=True)
-            parts.append((key, times if learned else np.zeros_like(times), times))
-            raw[learned].clear()
-            held[learned] = 0
-            return len(key)
 
         def out():
             key, n, times = merged(*zip(*parts, strict=True))
@@ -162,20 +150,15 @@ def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
 
         for learned, streams in _streams(batches):
             for grams, _ in grams_of(streams, depth):
-                raw[learned].append(grams)
-                held[learned] += len(grams)
-                if held[learned] < RAW_GRAMS:
-                    continue
-                size += counted(learned)
+                key, times = np.unique(grams, return_counts=True)
+                parts.append((key, times if learned else np.zeros_like(times), times))
+                size += len(key)
                 if size > 2 * FLUSH_GRAMS:
                     parts = [merged(*zip(*parts, strict=True))]
                     size = len(parts[0][0])
                     if size > FLUSH_GRAMS:
                         yield from out()
                         parts, size = [], 0
-        for learned in raw:
-            if raw[learned]:
-                counted(learned)
         if parts:
             yield from out()
 
