@@ -36,11 +36,11 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 
 from ovenplan.llm import common
 from ovenplan.llm.lang_id import held_out
-from ovenplan.session import materialize, remove, shared_dir, write_once
+from ovenplan.session import Scratch, remove, shared_dir, write_once
 
 DEPTH = 7
 TOP = 3
@@ -56,9 +56,11 @@ CACHE = 1 << 21
 HOT_TOKENS = 131_072
 LONG_WORD = 64
 #: Words that a task counts before it passes them on; grams likewise, and places looked at together.
-FLUSH = 500_000
-FLUSH_GRAMS = 1_500_000
+FLUSH = 250_000
+FLUSH_GRAMS = 1_000_000
 PLACES = 1 << 20
+BLOCK_ROWS = 2000
+LOOKED_UP = 1 << 16
 #: Buckets for each shuffle partition.
 BUCKETS = 2
 END = b"\n"
@@ -73,6 +75,22 @@ def stream_of(words: list[bytes]) -> bytes:
     return b" ".join([*words, END])
 
 
+def word_lists(texts: pa.Array) -> pa.ListArray:
+    """``words_of`` each text, as strings."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+    # White space at the ends of a text leaves an empty string there.
+    full = pc.not_equal(pc.binary_length(words), 0)
+    kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[np.concatenate([[0], ends])]
+    return pa.ListArray.from_arrays(pa.array(kept, pa.int32()), words.filter(full))
+
+
+def coded_words(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(names, codes, owners): the distinct words, and of each word its place among them and the number of its list."""
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+
+
 # ---- grams ---------------------------------------------------------------------------------------
 
 
@@ -102,6 +120,11 @@ def bucket_of(prefix: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
 
+def by_bucket(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """The order of the buckets; within one as given. Numbers of 16 bits are sorted by digits, in a fraction of the time."""
+    return np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+
+
 def pack(values: np.ndarray) -> bytes:
     """Eight-byte values, first bytes first, compressed: sorted keys and small counts take about a byte or two."""
     planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T)
@@ -137,10 +160,9 @@ def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
     def task(batches):
         parts, size = [], 0
 
-        def out():
-            key, n, times = merged(*zip(*parts, strict=True))
+        def out(key, n, times):
             bucket = bucket_of(key >> cut, buckets)
-            order = np.argsort(bucket, kind="stable")
+            order = by_bucket(bucket, buckets)
             for number, at in slices(bucket[order]):
                 own = order[at]
                 yield pa.RecordBatch.from_arrays(
@@ -157,10 +179,10 @@ def gram_pieces(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
                     parts = [merged(*zip(*parts, strict=True))]
                     size = len(parts[0][0])
                     if size > FLUSH_GRAMS:
-                        yield from out()
-                        parts, size = [], 0
+                        yield from out(*parts.pop())
+                        size = 0
         if parts:
-            yield from out()
+            yield from out(*merged(*zip(*parts, strict=True)))
 
     return docs.select("text", "learned").mapInArrow(task, f"bucket int, keys {PACKED}, n {PACKED}, times {PACKED}")
 
@@ -358,12 +380,15 @@ def gram_bits(grams: DataFrame, depth: int) -> DataFrame:
 
 
 def frequent_grams(bits: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and bits of the grams with most places, ``most`` at most."""
+    """Keys and bits of the grams with most places, ``most`` at most, about in the order of their places."""
+
+    def class_of(times: pa.Scalar) -> np.ndarray:
+        return (8 * np.log2(unpack(times.as_buffer()))).astype(np.int64)
 
     def classes(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                of = (8 * np.log2(unpack(batch.column("times")[r].as_buffer()))).astype(np.int64)
+                of = class_of(batch.column("times")[r])
                 own, n = np.unique(of, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n)], ["class", "n"])
 
@@ -378,18 +403,54 @@ def frequent_grams(bits: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     def chosen(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                own = (8 * np.log2(unpack(batch.column("times")[r].as_buffer()))).astype(np.int64) >= least
+                of = class_of(batch.column("times")[r])
+                own = of >= least
                 key = unpack(batch.column("keys")[r].as_buffer())[own]
                 value = unpack(batch.column("bits")[r].as_buffer(), np.float64)[own]
-                yield pa.RecordBatch.from_arrays([pa.array([key.tobytes()]), pa.array([value.tobytes()])], ["keys", "bits"])
+                columns = [pa.array([v.tobytes()]) for v in (key, value, of[own].astype(np.uint16))]
+                yield pa.RecordBatch.from_arrays(columns, ["keys", "bits", "of"])
 
-    table = bits.mapInArrow(chosen, "keys binary, bits binary").toArrow()
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.int64)
-    values = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.float64)
-    order = np.argsort(keys)
+    table = bits.mapInArrow(chosen, "keys binary, bits binary, of binary").toArrow()
+    keys, values, of = (
+        np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=kind)
+        for c, kind in (("keys", np.int64), ("bits", np.float64), ("of", np.uint16))
+    )
+    order = np.argsort(of, kind="stable")[::-1]
     return keys[order], values[order]
 
 
+def _slots(keys: np.ndarray, turn: int, bits: int) -> np.ndarray:
+    mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93 + 2 * turn)
+    mixed >>= np.uint64(64 - bits)
+    return mixed.view(np.int64)
+
+
+def hashed(keys: np.ndarray) -> list[np.ndarray]:
+    """Places of distinct keys by hash; what shares its slot in one table with a key before it is in a later one."""
+    tables, left = [], np.arange(len(keys), dtype=np.int32)
+    while len(left):
+        bits = (2 * len(left) - 1).bit_length()
+        at = _slots(keys[left], len(tables), bits)
+        tables.append(np.zeros(1 << bits, dtype=np.int32))
+        tables[-1][at[::-1]] = left[::-1]
+        left = left[tables[-1][at] != left]
+    return tables
+
+
+def look_up(tables: list[np.ndarray], keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(found, missing): the values of ``asked``, 0 where ``keys`` lacks it, and the places where it does."""
+    found, left = np.zeros(len(asked)), np.arange(len(asked))
+    for turn, table in enumerate(tables):
+        own = asked[left]
+        at = table[_slots(own, turn, len(table).bit_length() - 1)]
+        same = keys[at] == own
+        found[left] = np.where(same, values[at], 0.0)
+        left = left[~same]
+    return found, left
+
+
 def answered(asked: DataFrame, bits: DataFrame) -> DataFrame:
     """(block, at, bits): of ``asked`` (block, bucket, owners, keys), the sums of each owner's grams."""
     none = F.lit(None).cast("binary")
@@ -441,37 +502,55 @@ def answered(asked: DataFrame, bits: DataFrame) -> DataFrame:
 # ---- scores --------------------------------------------------------------------------------------
 
 
+def blocks_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of rows: ``PLACES`` bytes of text and one text more at most, and ``BLOCK_ROWS`` rows."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    i = 0
+    while i < len(texts):
+        j = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PLACES)) + 1
+        j = min(j, i + BLOCK_ROWS, len(texts))
+        yield i, j
+        i = j
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token, n, times) of the words of ``docs`` (text, learned): in the learned rows, and in all."""
 
-    def task(batches):
-        other, own = Counter(), Counter()
-
-        def out():
-            names = list(own.keys() | other.keys())
-            n = np.array([own[t] for t in names], dtype=np.int64)
-            times = n + np.array([other[t] for t in names], dtype=np.int64)
-            tokens = pa.array([t.decode() for t in names], pa.string())
-            yield pa.RecordBatch.from_arrays([tokens, pa.array(n), pa.array(times)], ["token", "n", "times"])
-            own.clear()
-            other.clear()
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(parts).group_by("token", use_threads=False).aggregate([("n", "sum"), ("times", "sum")])
+        return pa.table([found["token"], found["n_sum"], found["times_sum"]], names=["token", "n", "times"]).combine_chunks()
 
+    def task(batches):
+        parts, size = [], 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                for text, learned in zip(part.column("text").to_pylist(), part.column("learned").to_pylist(), strict=True):
-                    (own if learned else other).update(words_of(text))
-                    if len(own) + len(other) > FLUSH:
-                        yield from out()
-        yield from out()
+            learned_rows = batch.column("learned").to_numpy(zero_copy_only=False).astype(bool)
+            for i, j in blocks_of(batch.column("text")):
+                names, codes, owners = coded_words(word_lists(batch.column("text").slice(i, j - i)))
+                n, times = (np.bincount(c, minlength=len(names)) for c in (codes[learned_rows[i:j][owners]], codes))
+                parts.append(pa.table([names.cast(pa.string()), n, times], names=["token", "n", "times"]))
+                size += len(names)
+                if size > 2 * FLUSH:
+                    parts = [summed(parts)]
+                    size = len(parts[0])
+                    if size > FLUSH:
+                        yield from parts[0].to_batches()
+                        parts, size = [], 0
+        if parts:
+            yield from summed(parts).to_batches()
+        # The worker goes on with other tasks, whose memory is not Arrow's.
+        parts.clear()
+        pa.default_memory_pool().release_unused()
 
     parts = docs.select("text", "learned").mapInArrow(task, "token string, n long, times long")
     return parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
 
-def _name(word: bytes) -> bytes:
-    """The word, or if long its digest (after a space, which no word has)."""
-    return word if len(word) <= LONG_WORD else b" " + hashlib.sha256(word).hexdigest().encode()
+def _names(words: pa.Array) -> list[str]:
+    """The words, of the long ones their digests (after a space, which no word has)."""
+    names = words.to_numpy(zero_copy_only=False)
+    for i in np.flatnonzero(pc.binary_length(words).to_numpy() > LONG_WORD):
+        names[i] = " " + hashlib.sha256(names[i].encode()).hexdigest()
+    return names.tolist()
 
 
 def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
@@ -484,87 +563,71 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
     top = min(TOP, depth)
     marked = docs.select("text", F.coalesce(train, F.lit(False)).alias("learned"))
     docs = docs.select("doc_id", "text")
-    counts = materialize(token_counts(marked), "token-counts")
+    scratch = Scratch(spark, "lm-scoring")
+    counts = scratch.write(token_counts(marked), "token-counts")
     ends = marked.filter("learned").count()
     words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n, v = words.n + ends, words.v + (ends > 0)
-    folder = shared_dir(spark, "tree-grams")
     # The shuffle files of the pieces go with the write: they are as much as the table.
+    folder = shared_dir(spark, "tree-grams")
     grams = write_once(tree_grams(gram_pieces(marked, depth, buckets), depth), folder)
-    bits = materialize(gram_bits(grams, depth), "tree-bits")
+    bits = scratch.write(gram_bits(grams, depth), "tree-bits")
     remove(spark, folder)
     name = F.when(F.octet_length("token") <= LONG_WORD, F.col("token")).otherwise(F.concat(F.lit(" "), F.sha2(F.col("token").cast("binary"), 256)))
     hot = counts.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select(name.alias("name"), "n")
     # Whether a word is known, and its log10 probability in the base.
-    known_words = {r.name.encode(): (int(r.n > 0), math.log10((r.n + 1) / (n + v + 1))) for r in hot.collect()}
-    sent = spark.sparkContext.broadcast((known_words, *frequent_grams(bits, CACHE)))
-
-    def scored(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-        """A block of (doc_id, words); what the broadcast lacks is left in rare, and for all of them in asks of the first row."""
-        hot, keys, values = sent.value
-        lists = [Counter(own) for _, own in rows]
-        streams = [stream_of(own) for _, own in rows]
-        tokens, known, base = [], [], []
-        rare, rare_times, rare_ends = [], [], [0]
-        for counter in lists:
-            sum_known, sum_base = int(ends > 0), math.log10((ends + 1) / (n + v + 1))
-            for (word, times), found in zip(counter.items(), map(hot.get, counter), strict=True):
-                if found is None and len(word) > LONG_WORD:
-                    found = hot.get(_name(word))
-                if found is None:
-                    rare.append(word)
-                    rare_times.append(times)
-                else:
-                    sum_known += times * found[0]
-                    sum_base += times * found[1]
-            tokens.append(counter.total() + 1)
-            known.append(sum_known)
-            base.append(sum_base)
-            rare_ends.append(len(rare))
-        total, ask_keys, ask_owners = np.zeros(len(rows)), [], []
+    known_words = {r.name: (int(r.n > 0), math.log10((r.n + 1) / (n + v + 1))) for r in hot.collect()}
+    keys, values = frequent_grams(bits, CACHE)
+    sent = spark.sparkContext.broadcast((known_words, hashed(keys), keys, values))
+
+    def scored(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        """A block of rows; what the broadcast lacks is left in rare, and for all of them in asks of the first row."""
+        hot, tables, *table = sent.value
+        rows, lists = len(ids), word_lists(texts)
+        streams = [(text + b" " if text else b"") + END for text in pc.binary_join(lists, " ").cast(pa.binary()).to_pylist()]
+        names, codes, owners = coded_words(lists)
+        found = list(map(hot.get, _names(names)))
+        lacking = np.array([f is None for f in found], dtype=bool)
+        own_known, own_base = (np.array([f[k] if f else 0 for f in found], dtype=float) for k in (0, 1))
+        known = np.bincount(owners, own_known[codes], rows).astype(np.int64) + int(ends > 0)
+        base = np.bincount(owners, own_base[codes], rows) + math.log10((ends + 1) / (n + v + 1))
+        at = lacking[codes]
+        pairs, rare_times = np.unique(owners[at] * len(names) + codes[at], return_counts=True)
+        rare_owners, rare_codes = np.divmod(pairs, max(len(names), 1))
+        rare_ends = np.searchsorted(rare_owners, np.arange(rows + 1))
+        rare = pa.StructArray.from_arrays([names.take(pa.array(rare_codes)).cast(pa.string()), pa.array(rare_times, pa.int64())], ["token", "times"])
+        total, ask_keys, ask_owners = np.zeros(rows), [], []
         for gram, owner in grams_of(streams, depth):
-            # Each gram is looked up once, in the order of the table.
-            order = np.argsort(gram)
-            gram, owner = gram[order], owner[order]
-            first = np.concatenate([[True], gram[1:] != gram[:-1]])
-            own, place = gram[first], np.cumsum(first) - 1
-            at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
-            there = keys[at] == own if len(keys) else np.zeros(len(own), dtype=bool)
-            if len(keys):
-                total += np.bincount(owner, np.where(there, values[at], 0.0)[place], len(rows))
-            missing = ~there[place]
-            ask_keys.append(gram[missing])
-            ask_owners.append(owner[missing])
+            # A few at a time, which the processor's cache holds.
+            for i in range(0, len(gram), LOOKED_UP):
+                own, of = gram[i : i + LOOKED_UP], owner[i : i + LOOKED_UP]
+                values, missing = look_up(tables, *table, own)
+                total += np.bincount(of, values, rows)
+                ask_keys.append(own[missing])
+                ask_owners.append(of[missing])
         key, owner = np.concatenate(ask_keys), np.concatenate(ask_owners)
+        order = np.argsort(key)
+        key, owner = key[order], owner[order]
         bucket = bucket_of(key >> (8 * (depth - top) + 8), buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = by_bucket(bucket, buckets)
         asks = [(number, pack(owner[order[at]]), pack(key[order[at]])) for number, at in slices(bucket[order])]
-        rare = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(rare_times, pa.int64())], ["token", "times"])
         ask_type = pa.list_(pa.struct([("bucket", pa.int32()), ("owners", pa.binary()), ("keys", pa.binary())]))
         block = uuid.uuid4().int >> 65
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([block] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int64()), pa.array([i for i, _ in rows], kind),
-                pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(total),
+                pa.array(np.full(rows, block, dtype=np.int64)), pa.array(np.arange(rows, dtype=np.int64)), ids,
+                pc.add(pc.list_value_length(lists).cast(pa.int64()), 1), pa.array(known), pa.array(base), pa.array(total),
                 pa.array([len(s) for s in streams], pa.int64()),
                 pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare),
-                pa.array([asks, *[[]] * (len(rows) - 1)], ask_type),
+                pa.array([asks, *[[]] * (rows - 1)], ask_type),
             ],
             ["block", "at", "doc_id", "n_tokens", "known", "base", "bits", "size", "rare", "asks"],
         )
 
     def task(batches):
-        rows, size, kind = [], 0, None
         for batch in batches:
-            kind = batch.schema.field("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                rows.append((doc_id.as_py(), words_of(text.as_py())))
-                size += len(text.as_py() or "")
-                if size >= PLACES or len(rows) == 2000:
-                    yield scored(rows, kind)
-                    rows, size = [], 0
-        if rows:
-            yield scored(rows, kind)
+            for i, j in blocks_of(batch.column("text")):
+                yield scored(*(batch.column(c).slice(i, j - i) for c in ("doc_id", "text")))
 
     schema = T.StructType.fromDDL(
         "block long, at long, doc_id long, n_tokens long, known long, base double, bits double, size long, "
@@ -572,14 +635,20 @@ def score_documents(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataF
     )
     schema["doc_id"].dataType = docs.schema["doc_id"].dataType
     # Blocks are named at random: the table is written once, and all that follows reads it.
-    rows = materialize(docs.mapInArrow(task, schema), "scored-rows")
+    rows = scratch.write(docs.mapInArrow(task, schema), "scored-rows")
+    sent.destroy()
     asked = rows.filter("size(asks) > 0").select("block", F.inline("asks"))
     rare = rows.select("block", "at", F.inline("rare")).join(counts.select("token", "n"), "token")
     found = rare.groupBy("block", "at").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * F.log10((F.col("n") + 1) / F.lit(float(n + v + 1)))).alias("more_base"),
     )
-    both = rows.drop("rare", "asks").join(found, ["block", "at"], "left").join(answered(asked, bits), ["block", "at"], "left")
+    # Written one after the other, so that the shuffle files of the one are gone when the next writes its own.
+    found = scratch.write(found, "rare-words")
+    scratch.drop("token-counts")
+    more = scratch.write(answered(asked, bits), "rare-grams")
+    scratch.drop("tree-bits")
+    both = rows.drop("rare", "asks").join(found, ["block", "at"], "left").join(more, ["block", "at"], "left")
     total = F.col("bits") + F.coalesce("more_bits", F.lit(0.0))
     return both.select(
         "doc_id",

@@ -203,3 +203,62 @@ def test_grams_sorted_in_small_lots_give_the_same_counts(spark, monkeypatch):
         monkeypatch.setattr(context_tree, "FLUSH_GRAMS", limit)
         assert counts() == whole
     assert sum(b for _, b in whole.values()) == 2 * sum(len(context_tree.stream_of(context_tree.words_of(t))) for t, _ in rows)
+
+
+def test_frequent_grams_are_found_by_hash_and_others_are_not():
+    rng = np.random.default_rng(3)
+    every = np.unique(np.concatenate([rng.integers(-(1 << 62), 1 << 62, 3000), np.arange(0, 1 << 40, 1 << 30), [0, -1]]))
+    rng.shuffle(every)
+    for n in (0, 1, 2, 1500):
+        keys, values = every[:n], rng.random(n)
+        found, missing = context_tree.look_up(context_tree.hashed(keys), keys, values, every)
+        assert missing.tolist() == list(range(n, len(every)))
+        assert found.tolist() == [*values, *[0.0] * (len(every) - n)]
+
+
+def test_word_lists_are_the_words_of_each_text():
+    import pyarrow as pa
+
+    texts = [None, "", "  ", " A b\t\x0b\x0cC\r\nd ", "x\x1cy\x85Z\xa0q", "ÀB\x00 c", "one"]
+    want = [[w.decode() for w in context_tree.words_of(t)] for t in texts]
+    lists = context_tree.word_lists(pa.array(["skipped", *texts], pa.string()).slice(1))
+    assert lists.to_pylist() == want
+    names, codes, owners = context_tree.coded_words(lists)
+    assert [(i, names[c].as_py()) for i, c in zip(owners, codes)] == [(i, w) for i, own in enumerate(want) for w in own]
+
+
+def test_tables_go_once_nothing_reads_them(spark, tmp_path, monkeypatch):
+    from ovenplan import session
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: f"file://{tmp_path}")
+    docs = spark.createDataFrame([(i, f"some words {i} of text") for i in range(40)], "doc_id long, text string")
+    assert context_tree.score_documents(docs, F.col("doc_id") % 2 == 0).count() == 40
+    left = {p.name for p in tmp_path.glob("lm-scoring-*/*")}
+    assert left == {"scored-rows", "rare-words", "rare-grams"}
+
+
+def test_counting_words_holds_no_memory_afterwards(spark, monkeypatch):
+    # In the session's own process: the limits hold where the plan's function is made and run.
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([("a", True)], "text string, learned boolean")
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *_: self, raising=False)
+    monkeypatch.setattr(type(docs), "agg", lambda self, *_: self, raising=False)
+    context_tree.token_counts(docs)
+    rows = [(f"a few words {i % 7} and a few more {i}", i % 3 > 0) for i in range(60)]
+    batch = pa.RecordBatch.from_pylist([dict(text=t, learned=known) for t, known in rows])
+    want = Counter(w.decode() for t, _ in rows for w in context_tree.words_of(t))
+    own = Counter(w.decode() for t, known in rows if known for w in context_tree.words_of(t))
+    for limit in (10, 50, 10_000):
+        monkeypatch.setattr(context_tree, "FLUSH", limit)
+        monkeypatch.setattr(context_tree, "PLACES", 100)
+        n, times, most = Counter(), Counter(), 0
+        for out in tasks[0](iter([batch])):
+            most = max(most, out.num_rows)
+            for r in out.to_pylist():
+                n[r["token"]] += r["n"]
+                times[r["token"]] += r["times"]
+        assert (times, +n) == (want, own)
+        assert most <= 2 * limit + 100
