@@ -40,9 +40,9 @@ from ovenplan.session import materialize, shared_dir
 CAPACITY = 1024
 END_ID = 0
 #: Chunks whose ids a worker remembers in one generation; it keeps two.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 400_000
 #: Characters of text, or more by one document, that are encoded together.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 4_000_000
 #: Partitions whose totals are summed by one task.
 BLOCK = 1000
 
@@ -50,9 +50,10 @@ BLOCK = 1000
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CHUNKS = re.compile(r"\s*\S+|\s+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Space to Python but not to the tokenizer; and the mark of chunks taken as they are.
 _CONTROLS = re.compile(r"[\x00\x1c-\x1f]")
+#: These, and white space other than spaces and line feeds; for Arrow.
+_ODD = r"[\x00\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _SPACE_MARK = "Ġ"
 
 
@@ -85,35 +86,60 @@ class ChunkIds:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _keys(self, text: str) -> list[str] | None:
-        """The keys of a text's chunks, a line feed before the first; None: encode it whole."""
+        """The keys of any text's chunks, a line feed before the first; None: encode it whole."""
         if any(token in text for token in self.special) or _CONTROLS.search(text):
             return None
-        keys = ("\n" + text).replace("\n", " \n").split(" ")
-        del keys[0]
-        if "" in keys or "\n" in keys or _OTHER_SPACE.search(text):
-            keys = [c[1:] if c[0] == " " and not c[1:2].isspace() and c != " " else "\0" + c for c in _CHUNKS.findall(text)]
-            if not text[0].isspace():
-                keys[0] = "\0" + text[: len(keys[0]) - 1]
-            keys.insert(0, "\0\n")
-        return keys
+        keys = [c[1:] if c[0] == " " and not c[1:2].isspace() and c != " " else "\0" + c for c in _CHUNKS.findall(text)]
+        if not text[0].isspace():
+            keys[0] = "\0" + text[: len(keys[0]) - 1]
+        return ["\0\n", *keys]
+
+    def _spaced(self, text: str) -> str | None:
+        """The text whose parts between single spaces are the chunks' keys, a line feed before the first; None if there is none."""
+        fed = ("\n" + text).replace("\n", " \n")
+        if "  " in fed or "\n " in fed or fed[-1] in " \n" or any(token in text for token in self.special):
+            return None
+        return fed[1:]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        keys = [self._keys(t) if t else [] for t in texts]
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD).to_numpy(zero_copy_only=False)
+        spaced = [None if o or not t else self._spaced(t) for t, o in zip(texts, odd, strict=True)]
+        lists = pc.split_pattern(pa.array([t for t in spaced if t is not None], pa.large_string()), " ")
+        others = [self._keys(t) if s is None and t else None for t, s in zip(texts, spaced, strict=True)]
+        rest = pa.array([key for keys in others if keys for key in keys], pa.large_string())
+        coded = pa.concat_arrays([lists.flatten(), rest]).dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._remember(names)
+        # The ids of all chunks, end to end: gathered from those of the distinct ones.
+        ids = list(map(self.known.__getitem__, names))
+        sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        codes = coded.indices.to_numpy()
+        own = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        at = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], own)
+        at += np.arange(ends[-1])
+        data = np.frombuffer(b"".join(ids), dtype="<u4")[at].tobytes()
+        chunks = pc.list_value_length(lists).to_pylist()
+        counts = iter([*chunks, *(len(keys) for keys in others if keys)])
+        # Spaced texts come first, then the others.
+        cuts, done = [None] * len(texts), 0
+        for of_kind in ([s is not None for s in spaced], [bool(keys) for keys in others]):
+            for i in np.flatnonzero(of_kind).tolist():
+                first, done = done, done + next(counts)
+                cuts[i] = slice(int(ends[first]) * 4 + len(self.line_feed), int(ends[done]) * 4)
+        return [data[c] if c else self._encode([t])[0] if t else b"" for t, c in zip(texts, cuts, strict=True)]
+
+    def _remember(self, keys: list[str]) -> None:
+        """Makes the ids of keys known."""
         if len(self.known) > CACHE_CHUNKS:
             self.before, self.known = self.known, {}
         for parts in (self.words, self.raw):
             if len(parts) > 2 * CACHE_CHUNKS:
                 parts.clear()
-        new = set().union(*(k for k in keys if k)) - self.known.keys()
-        for key in [k for k in new if k in self.before]:
-            self.known[key] = self.before[key]
-            new.discard(key)
-        self._learn(new)
-        cut = len(self.line_feed)
-        find = self.known.__getitem__
-        return [
-            self._encode([t])[0] if k is None else b"".join(map(find, k))[cut:] for t, k in zip(texts, keys, strict=True)
-        ]
+        new = set(keys).difference(self.known)
+        again = new & self.before.keys()
+        self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
+        self._learn(new - again)
 
     def _learn(self, new: set[str]) -> None:
         words, raw, known = self.words, self.raw, self.known

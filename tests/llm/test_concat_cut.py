@@ -133,3 +133,27 @@ def test_plain_words_are_not_taken_apart(tokenizer, monkeypatch):
     got = concat_cut.ChunkIds(PATH).of([text, "words"])
     assert got == [ids_of(tokenizer, t)[:-1].tobytes() for t in (text, "words")]
     assert not {"words", "again", "and", "here"} & set(asked) and "Été" in asked
+
+
+def test_ids_of_any_spacing_are_those_of_the_tokenizer(monkeypatch):
+    # Spaced and other texts in one batch, chunks forgotten and taken up again.
+    monkeypatch.setattr(concat_cut, "CACHE_CHUNKS", 40)
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(4)
+    tokenizer = Tokenizer.from_file(path)
+    ids_of = concat_cut.ChunkIds(path)
+    parts = ["a", "Bé", " ", "  ", "\n", "\n\n", "\t", "\r\n", "word", "Word's", " the", " the,", "...", "\x85", "\xa0"]
+    parts += ["\u2003", "\x1c", "\x00", "<|endoftext|>", "12", "!", "日本", "\u3000", "😀", "\x0b", "ɏ", "Ġ"]
+    for size in (1, 3, 40, 400):
+        texts = ["", *("".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(size)), ""]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in ids_of.of(texts)] == want
+    assert ids_of.of([]) == [] and ids_of.of(["", ""]) == [b"", b""]
+
+
+def test_chunks_in_common_are_looked_up_once_a_batch(monkeypatch):
+    # Before, every place of a chunk was looked up.
+    ids_of, asked = concat_cut.ChunkIds(public_tokenizers.path("byte_bpe_50k.json")), []
+    before = ids_of._remember
+    monkeypatch.setattr(ids_of, "_remember", lambda keys: asked.append(list(keys)) or before(keys))
+    ids_of.of(["one two two\none two"] * 50)
+    assert sorted(asked[0]) == ["\none", "two"]
